@@ -119,7 +119,7 @@ def clean_token_list(
             kept = kept & token.rlike(f"[{SPANISH_LETTERS}]")
         return kept
 
-    return F.filter(F.transform(tokens, normalize_text), keep)
+    return F.filter(F.transform(tokens, lambda token: normalize_text(token)), keep)
 
 
 def rebuild_text(tokens: Column) -> Column:

@@ -43,6 +43,12 @@ def space_markers(tokens: Column) -> Column:
     return F.filter(tokens, lambda token: token.startswith("▁"))
 
 
+def round_even(value: Column, digits: int) -> Column:
+    """Round as numpy does: scale, take the nearest whole number (even on ties), scale back."""
+    scale = float(10**digits)
+    return F.rint(value * scale) / scale
+
+
 def ratio(numerator: Column, denominator: Column, digits: int = 3) -> Column:
     """Half-even rounded quotient; NULL for a zero denominator."""
-    return F.bround(numerator / F.nullif(denominator, F.lit(0)), digits)
+    return round_even(numerator / F.nullif(denominator, F.lit(0)), digits)

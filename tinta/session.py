@@ -59,3 +59,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of executors and stops the plan from growing."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a source that arrives in fewer partitions, such as one file with one row group.
+
+    Larger inputs come back as they are: their scan is already parallel and a shuffle would only cost.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
