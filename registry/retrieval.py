@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from registry import query
 from registry.sqltext import collapse, quote
+from tinta.functions.rows import posexplode_rows
 from tinta.functions.text import WS, chunk_text, format_for_model, model_slug, preview
 from tinta.operators import chunking as ch
 from tinta.operators import encoding as en
@@ -65,7 +66,7 @@ def run_pages(spark, folder):
 )
 def run_fixed(spark, folder):
     documents = spread(load(spark, folder, "documents").select("doc_id", "text"))
-    rows = documents.select("doc_id", F.posexplode(ch.fixed_windows(F.col("text"))).alias("chunk_index", "chunk"))
+    rows = posexplode_rows(documents, ch.fixed_windows(F.col("text")), "chunk_index", "chunk", "doc_id")
     return rows.withColumn("chunk_index", F.col("chunk_index").cast("bigint"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from registry import query
 from registry.sqltext import joined, words
+from tinta.functions.rows import posexplode_rows
 from tinta.functions.text import cell_tokens, column_key_expr, parse_token_list, split_words
 from tinta.operators.splits import first_per_split, split_counts, split_rows
 from tinta.sources.conll import parse_conll
@@ -77,9 +78,8 @@ def run_conll(spark, folder):
         CAST(len({words('text')}) AS BIGINT) AS n_tokens FROM documents WHERE len({words('text')}) > 0""",
 )
 def run_token_rows(spark, folder):
-    rows = load(spark, folder, "documents").select(
-        "doc_id", F.posexplode(split_words(F.col("text"))).alias("_row", "word")
-    )
+    documents = load(spark, folder, "documents")
+    rows = posexplode_rows(documents, split_words(F.col("text")), "_row", "word", "doc_id")
     sentences = sentences_from_token_rows(rows, "word", "doc_id", "_row")
     return sentences.select("sentence_id", "text", F.size("tokens").cast("bigint").alias("n_tokens"))
 

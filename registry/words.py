@@ -12,7 +12,7 @@ from tinta.operators import corpus_stats as cs
 from tinta.operators import projection as pr
 from tinta.operators import subword_vectors as sv
 from tinta.operators import word_vectors as wv
-from tinta.session import scratch_path
+from tinta.session import cut_lineage, scratch_path
 from tinta.sinks import writers as wr
 from tinta.sources.corpus import load, read_chunks_jsonl, read_report, read_sentences_jsonl
 from tinta.streaming import corpus_stream as st
@@ -34,7 +34,8 @@ def word_table(spark, folder, shift=0):
     vectors = load(spark, folder, "embeddings").select(
         (F.col("vec_id") + shift).alias("idx"), F.col("embedding").alias("vector")
     )
-    return vocabulary.join(vectors, "idx").select("word", "idx", "count", "vector")
+    # the table is read several times by most operators, so it is built once, as one would store it
+    return cut_lineage(vocabulary.join(vectors, "idx").select("word", "idx", "count", "vector"))
 
 
 def query_words(spark, folder):
@@ -85,7 +86,7 @@ def run_first_vectors(spark, folder):
 
 def _similar_sql(table: str, asked: str, model: str) -> str:
     return f"""
-    SELECT {quote(model)} AS modelo, palabra_consultada, palabra_similar, round(score, 6) AS score, ranking,
+    SELECT {quote(model)} AS modelo, palabra_consultada, palabra_similar, score, ranking,
         'ok' AS estado FROM (
         SELECT a.word AS palabra_consultada, b.word AS palabra_similar,
             round(list_cosine_similarity(a.vector, b.vector), 9) AS score,
@@ -100,18 +101,14 @@ SIMILAR_SQL = lambda: f"""WITH {WORDS()}, asked AS (SELECT word FROM vocab WHERE
     {_similar_sql('first', 'asked', 'Word2Vec')}"""
 
 
-def rounded(df):
-    return df.withColumn("score", F.round("score", 6))
-
-
 @query("similar_words", SIMILAR_SQL)
 def run_similar(spark, folder):
-    return rounded(wv.similar_words(word_table(spark, folder), query_words(spark, folder), "Word2Vec"))
+    return wv.similar_words(word_table(spark, folder), query_words(spark, folder), "Word2Vec")
 
 
 @query(
     "nearest_by_blocks",
-    lambda: f"""SELECT query_id, neighbour_id, round(score, 6) AS score, ranking FROM (
+    lambda: f"""SELECT query_id, neighbour_id, score, ranking FROM (
         SELECT a.vec_id AS query_id, b.vec_id AS neighbour_id,
             round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) AS score,
             row_number() OVER (PARTITION BY a.vec_id ORDER BY
@@ -120,7 +117,7 @@ def run_similar(spark, folder):
 )
 def run_blocks(spark, folder):
     vectors = load(spark, folder, "embeddings")
-    return rounded(wv.nearest(vectors, vectors, 10, "vec_id", "embedding", max_shared_numbers=0))
+    return wv.nearest(vectors, vectors, 10, "vec_id", "embedding", max_shared_numbers=0)
 
 
 @query(
@@ -136,7 +133,7 @@ def run_similarity_report(spark, folder):
         query_words(spark, folder),
         ("Word2Vec", "FastText"),
     )
-    return rounded(report)
+    return report
 
 
 @query(
@@ -237,11 +234,11 @@ def run_ngrams(spark, folder):
     unseen_vectors AS (SELECT word, list(x ORDER BY d) AS vector FROM unseen_cells GROUP BY 1),
     queries AS (SELECT word, vector, true AS explicit FROM first JOIN asked USING (word)
         UNION ALL SELECT word, vector, false FROM unseen_vectors),
-    ranked AS (SELECT q.word, explicit, f.word AS similar, round(list_cosine_similarity(q.vector, f.vector), 9) AS score,
+    ranked AS (SELECT q.word, explicit, f.word AS other, round(list_cosine_similarity(q.vector, f.vector), 9) AS score,
         row_number() OVER (PARTITION BY q.word ORDER BY round(list_cosine_similarity(q.vector, f.vector), 9) DESC, f.word)
         AS ranking FROM queries q, first f WHERE q.word <> f.word)
     SELECT 'FastText' AS modelo, word AS palabra_oov, explicit AS esta_en_vocabulario_explicito,
-        similar AS palabra_similar, round(score, 6) AS score, ranking, 'ok' AS estado FROM ranked WHERE ranking <= 10
+        other AS palabra_similar, score, ranking, 'ok' AS estado FROM ranked WHERE ranking <= 10
     UNION ALL SELECT 'FastText', word, false, NULL, NULL, NULL, 'error: no known n-gram' FROM asked
     WHERE word NOT IN (SELECT word FROM queries)""",
 )
@@ -250,7 +247,7 @@ def run_oov(spark, folder):
     names = F.array_distinct(sv.char_ngrams(F.col("word")))
     grams = sv.mean_vectors(table.select(F.explode(names).alias("ngram"), "vector"), ["ngram"])
     found = sv.unseen_neighbours(table, grams, query_words(spark, folder), gram="ngram", buckets=None)
-    return rounded(found).drop("nota")
+    return found.drop("nota")
 
 
 @query("train_word2vec")

@@ -41,9 +41,11 @@ def _normal(value):
 def compare(spark, connection, name: str, folder: str) -> list[str]:
     """Differences between the Spark rows and the SQL rows; empty when they agree."""
     entry = load_all()[name]
+    start = time.time()
     df = entry.run(spark, folder)
     columns = sorted(df.columns)
     rows = df.select(*[f"`{c}`" for c in columns]).collect()
+    print(f"[spark {time.time() - start:.1f}s]", end=" ")
     if entry.sql is None:
         return [] if rows else ["no rows"]
     relation = connection.sql(entry.sql())
@@ -69,7 +71,7 @@ def compare(spark, connection, name: str, folder: str) -> list[str]:
 def main() -> None:
     scale, *names = sys.argv[1:]
     folder = f"{DATA}/{scale}"
-    spark = build_session("oracle", "local[8]", 8, {"spark.driver.memory": "12g"})
+    spark = build_session("oracle", "local[8]", 8, {"spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(folder)
     failed = 0

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tinta.functions.rows import explode_rows
 from tinta.functions.text import clean_tokens, split_words
 from tinta.functions.tokens import round_even
 from tinta.sources.corpus import with_text
@@ -48,7 +49,7 @@ def raw_and_clean(
 
 def token_counts(sentences: DataFrame) -> DataFrame:
     """``token, count`` of a corpus; Spark adds up per task before the shuffle, so hot tokens are cheap."""
-    return sentences.select(F.explode("tokens").alias("token")).groupBy("token").count()
+    return explode_rows(sentences, F.col("tokens"), "token").groupBy("token").count()
 
 
 def vocabulary(sentences: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:

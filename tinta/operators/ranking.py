@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -10,7 +11,8 @@ from tinta.session import cut_lineage
 
 # Digits of the digest that name a bucket, and ranges of an ordered column. Both bound what is broadcast.
 HASH_DIGITS = 3
-RANGE_BUCKETS = 512
+MAX_RANGES = 4096
+RANGE_ROWS = 250_000
 
 
 def shuffle_key(seed: int, row_id: Column) -> Column:
@@ -47,13 +49,14 @@ def keys_at_ranks(keys: DataFrame, ranks: dict[str, Callable[[Column], Column]],
     return found.agg(*[F.max(F.when(F.col("name") == n, F.col("_key"))).alias(n) for n in ranks])
 
 
-def running_offset(df: DataFrame, order: str, weight: str, buckets: int = RANGE_BUCKETS) -> DataFrame:
+def running_offset(df: DataFrame, order: str, weight: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """``order, weight, offset``: the weights of all rows that come before, for unique order values.
 
     Quantiles of the order column cut it into ranges; the cuts only balance the work, any cuts give
-    the exact result. Totals of the ranges are added up over at most ``buckets`` rows.
+    the exact result. Totals of the ranges are added up over at most ``MAX_RANGES`` rows.
     """
-    cuts = _cut_points(df, order, buckets)
+    ranges = min(MAX_RANGES, -(-df.count() // range_rows))
+    cuts = _cut_points(df, order, ranges) if ranges > 1 else []
     # totals and windows both read this one shuffle
     rows = df.select(order, weight).withColumn("_range", _range_of(F.col(order), cuts)).repartition("_range")
     totals = rows.groupBy("_range").agg(F.sum(weight).alias("_sum"))
@@ -81,9 +84,21 @@ def _cut_points(df: DataFrame, order: str, buckets: int) -> list:
 
 
 def _range_of(value: Column, cuts: list) -> Column:
+    """Number of cuts up to a value: found among every n-th cut first, then among the n that follow."""
     if not cuts:
         return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda cut: cut <= value))
+    n = math.isqrt(len(cuts)) + 1
+    groups = [cuts[i : i + n] for i in range(0, len(cuts), n)]
+
+    def passed(points: Column) -> Column:
+        return F.size(F.filter(points, lambda cut: cut <= value))
+
+    def literals(values: list) -> Column:
+        return F.array(*[F.lit(v) for v in values])
+
+    group = passed(literals([g[0] for g in groups]))
+    inside = passed(F.element_at(F.array(*[literals(g) for g in groups]), group))
+    return F.when(group == 0, 0).otherwise((group - 1) * n + inside)
 
 
 def row_positions(df: DataFrame, name: str) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tinta.functions.rows import explode_rows
 from tinta.functions.text import pretokenize, rebuild_text, split_words
 from tinta.operators.corpus_stats import token_counts
 
@@ -47,7 +48,7 @@ def _piece_counts(words: DataFrame, pieces: Column) -> DataFrame:
     counted = token_counts(words).where(F.length("token").between(1, MAX_WORD))
     # a word grows some sixty-fold here, so the small table of words is spread before it does
     partitions = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    exploded = counted.repartition(partitions).select(F.explode(pieces).alias("piece"), "count")
+    exploded = explode_rows(counted.repartition(partitions), pieces, "piece", "count")
     return exploded.groupBy("piece").agg(F.sum("count").alias("count"))
 
 

@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tinta.functions.rows import explode_rows
 from tinta.functions.text import DIGIT_PATTERN
 from tinta.operators.corpus_stats import MIN_COUNT, vocabulary
 from tinta.operators.neighbours import nearest
 from tinta.operators.ranking import running_offset
+from tinta.session import cut_lineage
 
 VECTOR_SIZE = 300
 WINDOW = 5
@@ -32,7 +34,8 @@ OUT_OF_VOCABULARY = "fuera_del_vocabulario"
 def vocabulary_index(counts: DataFrame) -> DataFrame:
     """``word, idx, count`` from ``token, count``: idx is 0 for the most frequent word, ties by word."""
     key = F.concat(F.lpad((F.lit(2**62) - F.col("count")).cast("string"), 20, "0"), F.col("token"))
-    keyed = counts.withColumn("_key", key).withColumn("_one", F.lit(1))
+    # the vocabulary is read for its cut points and again to number it; the corpus is read once
+    keyed = cut_lineage(counts.select(key.alias("_key"), F.lit(1).alias("_one")))
     numbered = running_offset(keyed, "_key", "_one")
     # the key holds both columns, so nothing is joined back
     return numbered.select(
@@ -55,8 +58,8 @@ def skipgram_pairs(sentences: DataFrame, window: int = WINDOW) -> DataFrame:
         right = F.slice(tokens, i + 2, F.lit(window))
         return F.struct(center.alias("center"), F.concat(left, right).alias("contexts"))
 
-    centers = sentences.select(F.inline(F.transform(tokens, around)))
-    pairs = centers.select("center", F.explode("contexts").alias("context"))
+    centers = explode_rows(sentences, F.transform(tokens, around), "_around")
+    pairs = explode_rows(centers, F.col("_around.contexts"), "context", F.col("_around.center").alias("center"))
     return pairs.groupBy("center", "context").count()
 
 

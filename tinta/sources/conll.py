@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tinta.functions.rows import posexplode_rows
 from tinta.functions.text import WS, strip
 from tinta.sources.files import SPLIT_ALIASES, TABLE_SUFFIXES, list_files, split_files
 
@@ -26,7 +27,7 @@ def sentence_blocks(text: Column) -> Column:
 def parse_conll(texts: DataFrame, text: str = "value") -> DataFrame:
     """Explode whole texts into sentences ``pos, tokens, text``; the other columns stay."""
     kept = [c for c in texts.columns if c != text]
-    return texts.select(*kept, F.posexplode(sentence_blocks(F.col(text))).alias("pos", "tokens")).select(
+    return posexplode_rows(texts, sentence_blocks(F.col(text)), "pos", "tokens", *kept).select(
         *kept,
         F.col("pos").cast("bigint").alias("pos"),
         "tokens",

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tinta.functions.rows import explode_rows
 from tinta.operators.corpus_stats import MIN_TOKENS, clean_corpus
 
 MAX_FILES = 64
@@ -53,7 +54,7 @@ def write_token_counts(
     A batch that is repeated after a failure overwrites its own folder, so nothing counts twice, and
     no state grows with the vocabulary. ``read_token_counts`` adds the batches up.
     """
-    tokens = clean_corpus(stream, stopwords, text).select(F.explode("tokens").alias("token"))
+    tokens = explode_rows(clean_corpus(stream, stopwords, text), F.col("tokens"), "token")
 
     def write(batch: DataFrame, number: int) -> None:
         batch.groupBy("token").count().write.mode("overwrite").parquet(f"{output}/batch={number}")
