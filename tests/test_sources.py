@@ -65,7 +65,7 @@ def test_table_layouts(spark, tmp_path):
     found = tables.sentences_from_table(tables.read_table(spark, text))
     assert sentences(found) == [("0", ["hola", "mundo"]), ("1", ["adios"])]
     assert found.first().text == "hola  mundo"
-    for unusable in ("id,value\n1,2\n", "text\n1\n2\n", "text\na\na\na\nb\n"):
+    for unusable in ("id,value\n1,2\n", "text\n1\n2\n", "text\na\na\na\na\nb\n"):
         with pytest.raises(ValueError, match="cannot infer"):
             tables.sentences_from_table(tables.read_table(spark, write(tmp_path, "d.csv", unusable)))
     assert sentences(tables.load_table_corpus(spark, str(tmp_path)))[0] == ("0", ["a", "b"])

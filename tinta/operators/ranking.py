@@ -49,21 +49,24 @@ def keys_at_ranks(keys: DataFrame, ranks: dict[str, Callable[[Column], Column]],
     return found.agg(*[F.max(F.when(F.col("name") == n, F.col("_key"))).alias(n) for n in ranks])
 
 
-def running_offset(df: DataFrame, order: str, weight: str, range_rows: int = RANGE_ROWS) -> DataFrame:
+def running_offset(
+    df: DataFrame, order: str, weight: str, range_rows: int = RANGE_ROWS, rows: int | None = None
+) -> DataFrame:
     """``order, weight, offset``: the weights of all rows that come before, for unique order values.
 
     Quantiles of the order column cut it into ranges; the cuts only balance the work, any cuts give
     the exact result. Totals of the ranges are added up over at most ``MAX_RANGES`` rows.
+    ``rows`` is the number of rows if the caller knows it.
     """
-    ranges = min(MAX_RANGES, -(-df.count() // range_rows))
+    ranges = min(MAX_RANGES, -(-(df.count() if rows is None else rows) // range_rows))
     cuts = _cut_points(df, order, ranges) if ranges > 1 else []
     # totals and windows both read this one shuffle
-    rows = df.select(order, weight).withColumn("_range", _range_of(F.col(order), cuts)).repartition("_range")
-    totals = rows.groupBy("_range").agg(F.sum(weight).alias("_sum"))
+    ranged = df.select(order, weight).withColumn("_range", _range_of(F.col(order), cuts)).repartition("_range")
+    totals = ranged.groupBy("_range").agg(F.sum(weight).alias("_sum"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
     inside = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.join(F.broadcast(starts), "_range").select(
+    return ranged.join(F.broadcast(starts), "_range").select(
         order,
         weight,
         (F.col("_start") + F.coalesce(F.sum(weight).over(inside), F.lit(0))).alias("offset"),
