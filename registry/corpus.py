@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from registry import query
 from registry.sqltext import clean, collapse, joined, stopword_list, words
 from tinta.functions.stopwords import stopwords
-from tinta.functions.text import DIGIT_PATTERN, SPANISH_LETTERS, WORD_LETTERS
+from tinta.functions.text import digit_pattern, SPANISH_LETTERS, WORD_LETTERS
 from tinta.functions.text import clean_token_list, normalize_text, split_words
 from tinta.operators import corpus_stats as cs
 from tinta.session import spread
@@ -146,7 +146,7 @@ def run_raw_and_clean(spark, folder):
 
 
 def _token_list_sql() -> str:
-    digit = DIGIT_PATTERN
+    digit = digit_pattern()
     return f"""
     SELECT doc_id, {joined('kept')} AS tokens FROM (
         SELECT doc_id, list_filter(

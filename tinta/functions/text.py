@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import unicodedata
 from collections.abc import Iterable, Sequence
+from functools import lru_cache
 from itertools import groupby
 
 from pyspark.sql import Column, functions as F
@@ -12,6 +13,10 @@ from pyspark.sql import Column, functions as F
 # Whitespace as Python's str.split() sees it; the syntax is valid in Java regex and in RE2.
 WS = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
+WS_CHARACTERS = "".join(
+    chr(p) for p in [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)]
+) + "\u2028\u2029\u202f\u205f\u3000"
+
 # Letters of the word pattern, ASCII letters plus the Spanish ones. The dotless i and the
 # long s belong to it because case-insensitive a-z accepts them.
 SPANISH_LETTERS = "a-záéíóúüñ"
@@ -43,8 +48,9 @@ _ALONE = rf"\p{{P}}$+<=>\^`|~{_CJK}"
 PRETOKEN_PATTERN = f"[^{_ALONE}{WS}]+|[{_ALONE}]"
 
 
-def _non_decimal_digits() -> str:
-    """Character class body of the code points Python calls digits although they are not ``Nd``."""
+@lru_cache(maxsize=None)
+def digit_pattern() -> str:
+    """What Python calls a digit: category ``Nd`` and the superscripts, circled digits and so on."""
     points = [
         p for p in range(sys.maxunicode + 1) if chr(p).isdigit() and unicodedata.category(chr(p)) != "Nd"
     ]
@@ -52,14 +58,11 @@ def _non_decimal_digits() -> str:
     for _, run in groupby(enumerate(points), key=lambda pair: pair[1] - pair[0]):
         members = [point for _, point in run]
         runs.append(rf"\x{{{members[0]:x}}}-\x{{{members[-1]:x}}}")
-    return "".join(runs)
-
-
-DIGIT_PATTERN = rf"[\p{{Nd}}{_non_decimal_digits()}]"
+    return rf"[\p{{Nd}}{''.join(runs)}]"
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^[{WS}]+|[{WS}]+$", "")
+    return F.btrim(text, F.lit(WS_CHARACTERS))
 
 
 def split_words(text: Column) -> Column:
@@ -82,7 +85,7 @@ def is_valid_token(token: Column, stopwords: Iterable[str] = ()) -> Column:
     valid = (
         (F.length(candidate) >= 2)
         & candidate.rlike(f"[{WORD_LETTERS}]")
-        & ~candidate.rlike(DIGIT_PATTERN)
+        & ~candidate.rlike(digit_pattern())
     )
     words = list(stopwords)
     return valid & ~candidate.isin(words) if words else valid
@@ -114,7 +117,7 @@ def clean_token_list(
     def keep(token: Column) -> Column:
         kept = is_valid_token(token, stopwords)
         if remove_numbers:
-            kept = kept & ~token.rlike(DIGIT_PATTERN)
+            kept = kept & ~token.rlike(digit_pattern())
         if remove_punctuation:
             kept = kept & token.rlike(f"[{SPANISH_LETTERS}]")
         return kept

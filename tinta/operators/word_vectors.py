@@ -8,7 +8,7 @@ from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tinta.functions.rows import explode_rows
-from tinta.functions.text import DIGIT_PATTERN
+from tinta.functions.text import digit_pattern
 from tinta.operators.corpus_stats import MIN_COUNT, vocabulary
 from tinta.operators.neighbours import nearest
 from tinta.operators.ranking import running_offset
@@ -187,7 +187,7 @@ def default_words(
     """Query words: preferred ones both vocabularies hold, topped up with frequent longer words."""
     wanted = common_words(word_list(first.sparkSession, preferred), first, second)
     frequent = common_words(first.select("word", "idx"), second).where(
-        (F.length("word") >= 4) & ~F.col("word").isin(*LIGHT_STOPWORDS) & ~F.col("word").rlike(DIGIT_PATTERN)
+        (F.length("word") >= 4) & ~F.col("word").isin(*LIGHT_STOPWORDS) & ~F.col("word").rlike(digit_pattern())
     )
     return _by_priority(wanted, frequent, n)
 
@@ -195,7 +195,7 @@ def default_words(
 def display_words(vectors: DataFrame, max_words: int = 200, preferred: Sequence[str] = ()) -> DataFrame:
     """Words to show: preferred ones first, then frequent words of three letters or more, no digits."""
     wanted = common_words(word_list(vectors.sparkSession, list(dict.fromkeys(preferred))), vectors)
-    frequent = vectors.where((F.length("word") >= 3) & ~F.col("word").rlike(DIGIT_PATTERN))
+    frequent = vectors.where((F.length("word") >= 3) & ~F.col("word").rlike(digit_pattern()))
     return _by_priority(wanted, frequent.select("word", "idx"), max_words)
 
 
