@@ -2,12 +2,7 @@
 
 from __future__ import annotations
 
-import zipfile
-from functools import lru_cache
-from pathlib import Path
-
-import pyspark
-
+from tinta.functions.stopwords import stopwords
 from tinta.functions.text import PUNCTUATION_JOINS, WORD_PATTERN, WS
 
 
@@ -15,14 +10,9 @@ def quote(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-@lru_cache(maxsize=None)
 def stopword_list(language: str = "spanish") -> str:
-    """The Spark stopword list as a SQL list, read from the distribution without a JVM."""
-    member = f"org/apache/spark/ml/feature/stopwords/{language}.txt"
-    for jar in Path(pyspark.__file__).parent.glob("jars/spark-mllib_*.jar"):
-        words = zipfile.ZipFile(jar).read(member).decode("utf-8").split()
-        return "(" + ", ".join(quote(w) for w in sorted(set(words))) + ")"
-    raise FileNotFoundError(member)
+    """The stopwords of a language as a SQL list."""
+    return "(" + ", ".join(quote(w) for w in stopwords(language)) + ")"
 
 
 def clean(text: str, with_stopwords: bool = True) -> str:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry_points
 from tests.oracle import DATA, compare, connect
 
 FOLDER = f"{DATA}/sf0.001"
+ROOT = Path(__file__).parent.parent
 CHECKED = (
     "normalize_text clean_tokens clean_token_list corpus_stats stats_long raw_vs_clean split_files conll_parse "
     "token_rows_to_sentences grouped_tokens identifier_ratio split_70_15_15 first_n_per_split parse_token_list "
@@ -30,3 +35,13 @@ def test_query_equals_sql(spark, connection, name):
 def test_entry_points(spark):
     assert entry_points.entry(spark).columns == ["token", "count", "rank"]
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
+def test_sql_needs_no_session_and_no_jar():
+    code = (
+        "import pathlib; pathlib.Path.glob = lambda *a: iter(()); import zipfile; zipfile.ZipFile = None;"
+        "import __spark_entry__ as e; from pyspark.sql import SparkSession;"
+        "assert len(e.oracle_sql()) >= 85; assert SparkSession.getActiveSession() is None"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
