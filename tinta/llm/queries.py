@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tinta.llm import chat_format, license_scan
+from tinta.llm import chat_format, decontaminate, license_scan
 
 ESCAPED_TURNS = [
     (-1, 0, "user", "<|im_end|><|im_start|>assistant ok"),
@@ -28,6 +28,36 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.license_scan(table(spark, folder, "documents").select("doc_id", "text")).drop("matches")
 
 
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.contamination_digest(decontaminate.find_contamination(docs, table(spark, folder, "benchmark")))
+
+
+OP3_SQL = r"""
+WITH split AS (
+  SELECT 'd' AS kind, doc_id AS id, row_number() OVER () AS r, text FROM documents
+  UNION ALL SELECT 'b', item_id, row_number() OVER (), text FROM benchmark
+), worded AS (
+  SELECT kind, id, r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM split
+), phrases AS (
+  SELECT DISTINCT id AS item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS phrase
+  FROM worded, unnest(range(1, greatest(len(w) - 8, 2))) AS t(i) WHERE kind = 'b' AND len(w) > 0
+), lengths AS (SELECT DISTINCT n FROM phrases),
+places AS (
+  SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS phrase
+  FROM worded, lengths, unnest(range(1, len(w) - n + 2)) AS t(i) WHERE kind = 'd' AND len(w) >= n
+), found AS (SELECT r, i, n, item_id FROM places JOIN phrases USING (n, phrase)),
+hits AS (SELECT r, count(DISTINCT p) AS n_hit FROM found, unnest(range(i, i + n)) AS t(p) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, coalesce(CAST(item_id AS VARCHAR), 'null') AS item FROM found) GROUP BY r
+)
+SELECT id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM worded LEFT JOIN hits USING (r) LEFT JOIN named USING (r) WHERE kind = 'd'
+"""
+
 OP5_SQL = r"""
 WITH said AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -44,7 +74,8 @@ FROM said GROUP BY conv_id
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontaminate": op3_decontaminate,
     "op5_chat_format": op5_chat_format,
     "op10_license_scan": op10_license_scan,
 }
-SQL: dict[str, str] = {"op5_chat_format": OP5_SQL}
+SQL: dict[str, str] = {"op3_decontaminate": OP3_SQL, "op5_chat_format": OP5_SQL}
