@@ -34,6 +34,7 @@ def _inverse(odd: int) -> int:
 LOWER = np.arange(256)
 LOWER[65:91] += 32
 VALUES = _mix((LOWER.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+EXACT_VALUES = _mix((np.arange(256, dtype=np.uint64) + np.uint64(257)) * np.uint64(0x9E3779B97F4A7C15))
 _powers = {}
 
 
@@ -118,7 +119,7 @@ def find_words(column: pa.Array, inside: np.ndarray) -> Words:
     return Words(data, starts, stops, np.searchsorted(starts, offsets, "left"))
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = VALUES) -> np.ndarray:
     """64-bit hash of each span; the bytes are summed with powers of an odd base, in bounded chunks."""
     out = np.empty(len(starts), np.uint64)
     inverse = _inverse(int(BASE))
@@ -128,7 +129,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         j = max(i + 1, int(np.searchsorted(ends, base + CHUNK, "right")))
         piece = data[base : int(ends[j - 1])]
         sums = np.zeros(len(piece) + 1, np.uint64)
-        np.cumsum(VALUES[piece] * powers(int(BASE), len(piece)), out=sums[1:])
+        np.cumsum(values[piece] * powers(int(BASE), len(piece)), out=sums[1:])
         s, e = starts[i:j] - base, ends[i:j] - base
         back = powers(inverse, int(s[-1]) + 1)[s]
         out[i:j] = (sums[e] - sums[s]) * back + (e - s).astype(np.uint64)
