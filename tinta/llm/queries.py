@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tinta.llm import chat_format, decontaminate, feistel_output, fixity, language_id, license_scan, mixing
+from tinta.llm import chat_format, decontaminate, feistel_output, fixity, jaccard_join, language_id, license_scan, mixing
 
 ESCAPED_TURNS = [
     (-1, 0, "user", "<|im_end|><|im_start|>assistant ok"),
@@ -41,6 +41,10 @@ def op6_fixity(spark: SparkSession, folder: str) -> DataFrame:
     return fixity.audit(pages, worn_replica(pages))
 
 
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, folder, "documents").select("doc_id", "text")).drop("k1", "k2")
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents").select("doc_id", "source"))
 
@@ -128,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op5_chat_format": op5_chat_format,
     "op6_fixity": op6_fixity,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_license_scan": op10_license_scan,
