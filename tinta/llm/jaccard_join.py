@@ -32,10 +32,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tinta.llm.byte_words import _mix
 from tinta.llm.components import components
+from tinta.llm.group_rows import forest, groups
 from tinta.llm.set_hashes import set_digest, shingle_sets
 from tinta.session import cut_lineage, scratch_path
 
 
+GROUP = ("fid", "ti", "tj")
+
+
 @dataclass(frozen=True)
 class JoinSettings:
     """``limit``: members of a bucket that is not split; ``tile``: classes of a tile; ``dense``: share of common
@@ -230,26 +234,6 @@ def tiled(buckets: DataFrame, s: JoinSettings) -> DataFrame:
     return meets.select("fid", F.least("t", "o").alias("ti"), F.greatest("t", "o").alias("tj"), "cno", "t")
 
 
-def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of one ``fid, ti, tj`` after the other, from rows sorted by them."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("fid", "ti", "tj")])
-        cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-        for b, e in zip(cuts[:-1], cuts[1:]):
-            name = tuple(key[:, b].tolist())
-            if held and name != last:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held = []
-            held.append(batch.slice(b, e - b))
-            last = name
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 def own_pairs(group: pa.RecordBatch, threshold: float) -> np.ndarray:
     """Matrix of the pairs that are compared in this group: sizes fit, and no bucket before this one holds both."""
     fid, ti, tj = (group.column(c)[0].as_py() for c in ("fid", "ti", "tj"))
@@ -281,10 +265,10 @@ def compared(buckets: DataFrame, classes: DataFrame, s: JoinSettings) -> DataFra
     """``k1, k2, cno, n, size, fids, places``: classes with a pair to compare, and the groups where that is."""
     fids = buckets.groupBy("cno").agg(F.sort_array(F.collect_list("fid")).alias("fids"))
     rows = tiled(buckets, s).join(classes.select("cno", "n").join(fids, "cno"), "cno")
-    rows = rows.repartition("fid", "ti", "tj").sortWithinPartitions("fid", "ti", "tj")
+    rows = rows.repartition(*GROUP).sortWithinPartitions(*GROUP)
 
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups(batches):
+        for group in groups(batches, GROUP):
             pairs = own_pairs(group, s.threshold)
             used = pa.array(pairs.any(axis=0) | pairs.any(axis=1))
             yield group.select(["cno", "fid", "ti", "tj", "t"]).filter(used)
@@ -317,21 +301,6 @@ def overlaps(sets: list[np.ndarray], pairs: np.ndarray) -> tuple[np.ndarray, np.
     return i, j, common[i, j].astype(np.int64)
 
 
-def forest(a: np.ndarray, b: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges from every member to the smallest member of its component."""
-    label = np.arange(m)
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == label).all():
-            at = np.flatnonzero(label != np.arange(m))
-            return at, label[at]
-        label = new
-
-
 def verified(docs: DataFrame, wanted: DataFrame, s: JoinSettings) -> DataFrame:
     """``cno, links, other``: counts of linked documents per class, and edges of spanning forests (``other`` not NULL)."""
     named = docs.select(*row_keys(), "text")
@@ -352,10 +321,10 @@ def verified(docs: DataFrame, wanted: DataFrame, s: JoinSettings) -> DataFrame:
                 )
 
     schema = "fid bigint, ti int, tj int, t int, cno bigint, n int, size bigint, fids array<bigint>, tokens binary"
-    spread_ = rows.mapInArrow(spread, schema).repartition("fid", "ti", "tj").sortWithinPartitions("fid", "ti", "tj")
+    spread_ = rows.mapInArrow(spread, schema).repartition(*GROUP).sortWithinPartitions(*GROUP)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups(batches):
+        for group in groups(batches, GROUP):
             sets = [np.frombuffer(x, np.uint64) for x in group.column("tokens").to_pylist()]
             i, j, common = overlaps(sets, own_pairs(group, s.threshold))
             n = np.array([len(x) for x in sets])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tinta.llm import chat_format, decontaminate, feistel_output, fixity, jaccard_join, language_id, license_scan, mixing
+from tinta.llm import chat_format, decontaminate, feistel_output, fixity, jaccard_join, language_id, license_scan, mixing, multi_index
 
 ESCAPED_TURNS = [
     (-1, 0, "user", "<|im_end|><|im_start|>assistant ok"),
@@ -36,6 +36,10 @@ def worn_replica(pages: DataFrame) -> DataFrame:
     return worn.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies))).drop("_copy")
 
 
+def op4_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    return multi_index.near_vectors(table(spark, folder, "embeddings").select("vec_id", "embedding", "label"))
+
+
 def op6_fixity(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     return fixity.audit(pages, worn_replica(pages))
@@ -95,6 +99,21 @@ SELECT id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_
 FROM worded LEFT JOIN hits USING (r) LEFT JOIN named USING (r) WHERE kind = 'd'
 """
 
+OP4_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x, row_number() OVER () AS r FROM embeddings
+), good AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+    AND len(list_filter(x, lambda e: e <> 0)) > 0
+), link AS (
+  SELECT a.r AS r, b.r AS other FROM good a JOIN good b ON a.label = b.label AND a.r <> b.r AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.93
+), reach AS (
+  SELECT r, r AS other FROM v UNION SELECT reach.r, link.other FROM reach JOIN link ON reach.other = link.r
+), part AS (SELECT reach.r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.other GROUP BY reach.r)
+SELECT vec_id, (SELECT count(*) FROM link WHERE link.r = v.r) AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN part USING (r)
+"""
+
 OP6_SQL = r"""
 WITH sized AS (
   SELECT page_id, html, page_id // 4096 AS file, CAST(strlen(coalesce(html, '')) + strlen(coalesce(url, '')) + 103
@@ -130,6 +149,7 @@ FROM said GROUP BY conv_id
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_output": op2_token_output,
     "op3_decontaminate": op3_decontaminate,
+    "op4_multi_index": op4_multi_index,
     "op5_chat_format": op5_chat_format,
     "op6_fixity": op6_fixity,
     "op7_jaccard_join": op7_jaccard_join,
@@ -137,4 +157,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_license_scan": op10_license_scan,
 }
-SQL: dict[str, str] = {"op3_decontaminate": OP3_SQL, "op5_chat_format": OP5_SQL, "op6_fixity": OP6_SQL}
+SQL: dict[str, str] = {"op3_decontaminate": OP3_SQL, "op4_multi_index": OP4_SQL, "op5_chat_format": OP5_SQL, "op6_fixity": OP6_SQL}
