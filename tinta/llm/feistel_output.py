@@ -1,7 +1,7 @@
 """Training-order materialisation of token sequences in fixed-stride shards.
 
 1. Documents become token ids (two bytes each if the vocabulary allows), cut into sequences of a fixed length.
-   They are stored once, numbered inside their task; sizes of the tasks turn that into one number per sequence.
+   They are stored once, numbered inside their task; the sizes of the tasks turn that into one number per sequence.
 2. A keyed Feistel network permutes the numbers: a bijection of the next power of four, walked along its cycle until it falls below the
    number of sequences. The result is the sequence's slot in the training order. No sort of the corpus and no table of the order is needed.
 3. Slots are range-partitioned; each shard holds a set number of slots as one payload with a fixed stride, so slot ``s`` begins at byte
@@ -28,9 +28,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tinta.llm.byte_words import EXACT_VALUES, span_hashes, text_bytes
-from tinta.session import scratch_path
+from tinta.session import cut_lineage, scratch_path
 
 NULL_ID = -(1 << 63)
+# Rows of two numbers that may be broadcast.
+MOST_SHARED = 1 << 20
 HEAD = np.dtype([("doc_id", "<i8"), ("part", "<i4"), ("n_tokens", "<i4")])
 SEQUENCES = "part int, at bigint, doc_id bigint, seq int, n_tokens int, tokens binary"
 # Fixed value: the public pattern that splits text before the merges of this vocabulary.
@@ -60,12 +62,13 @@ class Layout:
 # ---- tokens
 
 
-@lru_cache(maxsize=2)
-def _encoding(path: str, rank_bytes: bytes):
+@lru_cache(maxsize=1)
+def _memo(path: str, rank_bytes: bytes) -> PieceMemo:
+    """One memo per worker process, kept over its tasks."""
     import tiktoken
 
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_bytes.splitlines())}
-    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return PieceMemo(tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}))
 
 
 def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,29 +85,61 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, np.append(starts[1:], len(data))
 
 
-def encode_texts(column: pa.Array, encoding, end: int) -> tuple[np.ndarray, np.ndarray]:
+class PieceMemo:
+    """Token ids of pieces that were met before; it starts anew when it holds ``most`` pieces."""
+
+    def __init__(self, encoding, most: int = 400_000):
+        self.encoding, self.most = encoding, most
+        self._reset()
+
+    def _reset(self) -> None:
+        self.number: dict[int, int] = {}
+        self.begin, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def numbers(self, hashes: np.ndarray, pieces_: list[bytes]) -> np.ndarray:
+        """Number of each of some different pieces in the memo."""
+        if len(self.number) > self.most:
+            self._reset()
+        found = np.fromiter((self.number.get(h, -1) for h in hashes.tolist()), np.int64, len(hashes))
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            ids = [self.encoding.encode_ordinary(pieces_[i].decode("utf-8", "replace")) for i in new]
+            found[new] = np.arange(len(new)) + len(self.number)
+            self.number.update(zip(hashes[new].tolist(), found[new].tolist()))
+            sizes = np.array([len(k) for k in ids], np.int64)
+            self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum(sizes)))
+            self.flat = np.concatenate((self.flat, np.fromiter((t for k in ids for t in k), np.uint32, int(sizes.sum()))))
+        return found
+
+
+def encode_texts(data: np.ndarray, offsets: np.ndarray, memo: PieceMemo, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of all texts, each with the end token behind, and where each text begins. Every different piece is encoded once."""
-    data, offsets = text_bytes(column)
     starts, ends = pieces(data, offsets)
-    _, first, which = np.unique(span_hashes(data, starts, ends, EXACT_VALUES), return_index=True, return_inverse=True)
+    hashes, first, which = np.unique(span_hashes(data, starts, ends, EXACT_VALUES), return_index=True, return_inverse=True)
     raw = data.tobytes()
-    known = [encoding.encode_ordinary(raw[starts[i] : ends[i]].decode("utf-8", "replace")) for i in first]
-    sizes = np.array([len(k) for k in known], np.int64)
-    flat = np.fromiter((t for k in known for t in k), np.uint32, int(sizes.sum()))
-    at = np.cumsum(sizes) - sizes
+    number = memo.numbers(hashes, [raw[b:e] for b, e in zip(starts[first].tolist(), ends[first].tolist())])[which]
+    at, sizes = memo.begin[number], memo.begin[number + 1] - memo.begin[number]
     text = np.searchsorted(offsets, starts, "right") - 1
-    piece_sizes = sizes[which]
-    n = np.bincount(text, weights=piece_sizes, minlength=len(offsets) - 1).astype(np.int64) + 1
+    n = np.bincount(text, weights=sizes, minlength=len(offsets) - 1).astype(np.int64) + 1
     begin = np.concatenate(([0], np.cumsum(n)))
     tokens = np.full(begin[-1], end, np.uint32)
-    total = int(piece_sizes.sum())
-    before = np.cumsum(piece_sizes) - piece_sizes
-    source = np.arange(total) + np.repeat(at[which] - before, piece_sizes)
-    target = np.arange(total) + np.repeat(text, piece_sizes)  # one end token per text before
-    tokens[target] = flat[source]
+    total = int(sizes.sum())
+    place = np.arange(total)
+    before = np.cumsum(sizes) - sizes
+    tokens[place + np.repeat(text, sizes)] = memo.flat[place + np.repeat(at - before, sizes)]  # one end token per text before
     return tokens, begin
 
 
+def runs_of_texts(column: pa.Array, most_bytes: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``first text, end, bytes, offsets`` of runs of texts of a bounded size; a longer text is a run alone."""
+    data, offsets = text_bytes(column)
+    first = 0
+    while first < len(column):
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most_bytes, "right")) - 1)
+        yield first, last, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
+        first = last
+
+
 def store_sequences(docs: DataFrame, vocabulary: Vocabulary, layout: Layout) -> DataFrame:
     """Sequences of all documents as a stored table; ``part, at`` is the number of a sequence inside its task."""
     spark = docs.sparkSession
@@ -112,30 +147,29 @@ def store_sequences(docs: DataFrame, vocabulary: Vocabulary, layout: Layout) ->
     ranks = spark.sparkContext.broadcast(spark.read.format("binaryFile").load(vocabulary.path).first()["content"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, part, at = _encoding(vocabulary.path, bytes(ranks.value)), TaskContext.get().partitionId(), 0
+        memo, part, at = _memo(vocabulary.path, bytes(ranks.value)), TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids = batch.column("doc_id").cast(pa.int64()).fill_null(NULL_ID).to_numpy(zero_copy_only=False)
-            tokens, begin = encode_texts(batch.column("text"), encoding, vocabulary.end)
-            each = -(-np.diff(begin) // layout.length)
-            of = np.repeat(np.arange(len(each)), each)
-            seq = np.arange(len(of)) - np.repeat(np.cumsum(each) - each, each)
-            starts = begin[:-1][of] + seq * layout.length
-            sizes = np.minimum(layout.length, begin[1:][of] - starts)
-            packed = tokens.astype(vocabulary.dtype)
-            width = packed.itemsize
-            # sequences lie one behind the other, so the tokens themselves are the values of the column
-            bounds = np.append(starts, begin[-1]) * width
-            values = pa.Array.from_buffers(pa.large_binary(), len(of), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(packed)])
-            for i in range(0, len(of), 8192):
-                s = slice(i, i + 8192)
+            every = batch.column("doc_id").cast(pa.int64()).fill_null(NULL_ID).to_numpy(zero_copy_only=False)
+            for first, last, data, offsets in runs_of_texts(batch.column("text")):
+                tokens, begin = encode_texts(data, offsets, memo, vocabulary.end)
+                ids = every[first:last]
+                each = -(-np.diff(begin) // layout.length)
+                of = np.repeat(np.arange(len(each)), each)
+                seq = np.arange(len(of)) - np.repeat(np.cumsum(each) - each, each)
+                starts = begin[:-1][of] + seq * layout.length
+                sizes = np.minimum(layout.length, begin[1:][of] - starts)
+                packed = tokens.astype(vocabulary.dtype)
+                # sequences lie one behind the other, so the tokens themselves are the values of the column
+                bounds = (np.append(starts, begin[-1]) * packed.itemsize).astype(np.int64)
+                values = pa.Array.from_buffers(pa.large_binary(), len(of), [None, pa.py_buffer(bounds), pa.py_buffer(packed)])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(of[s]), part, np.int32)), pa.array(at + np.arange(i, i + len(of[s]))), pa.array(ids[of[s]]),
-                        pa.array(seq[s].astype(np.int32)), pa.array(sizes[s].astype(np.int32)), values[s].cast(pa.binary()),
+                        pa.array(np.full(len(of), part, np.int32)), pa.array(at + np.arange(len(of))), pa.array(ids[of]),
+                        pa.array(seq.astype(np.int32)), pa.array(sizes.astype(np.int32)), values.cast(pa.binary()),
                     ],
                     names=["part", "at", "doc_id", "seq", "n_tokens", "tokens"],
                 )
-            at += len(of)
+                at += len(of)
 
     path = scratch_path(spark, "sequences")
     docs.select("doc_id", "text").mapInArrow(cut, SEQUENCES).write.option("compression", "zstd").parquet(path)
@@ -177,11 +211,13 @@ def slot_of(number: Column, count: int, layout: Layout) -> Column:
 def with_slots(sequences: DataFrame, layout: Layout) -> tuple[DataFrame, int]:
     """Sequences with ``slot`` and ``shard``, and their count."""
     sizes = sequences.groupBy("part").agg((F.max("at") + 1).alias("_n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))  # a row per task
-    count = sequences.count()
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per task
+    starts = cut_lineage(sizes.select("part", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    tasks, count = starts.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    starts = starts.drop("_n")
     slot = slot_of(F.col("_start") + F.col("at"), count, layout)
-    numbered = sequences.join(starts, "part").withColumn("slot", slot).drop("_start", "part", "at")
+    numbered = sequences.join(F.broadcast(starts) if tasks <= MOST_SHARED else starts, "part")
+    numbered = numbered.withColumn("slot", slot).drop("_start", "part", "at")
     return numbered.withColumn("shard", F.floor(F.col("slot") / layout.shard_slots).cast("bigint")), count
 
 
@@ -227,8 +263,9 @@ def write_shards(sequences: DataFrame, path: str, vocabulary: Vocabulary, layout
         placed = placed.join(done, "shard", "left_anti")
     size, slots = stride(vocabulary, layout), layout.shard_slots
     shards = -(-count // slots)
-    parts = partitions or min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards // 64))
-    ordered = placed.repartitionByRange(parts, "shard").sortWithinPartitions("slot")
+    parts = partitions or min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards // 16))
+    # neighbouring shards go to one partition: ranges of equal length need no sampling, because slots are dense
+    ordered = placed.repartitionById(parts, F.floor(F.col("shard") * parts / shards).cast("int")).sortWithinPartitions("slot")
     packed = ordered.mapInArrow(lambda b: _pack(b, size, slots), "shard bigint, first_slot bigint, slots int, stride int, payload binary")
     packed.write.mode("append").option("compression", "zstd").parquet(path)
     return count
@@ -248,13 +285,14 @@ def read_shards(spark: SparkSession, path: str, vocabulary: Vocabulary, from_slo
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, n, size, payload in zip(*[batch.column(c).to_pylist() for c in ("first_slot", "slots", "stride", "payload")]):
-                raw = np.frombuffer(payload, np.dtype((np.void, size)), n)
+            for row in range(batch.num_rows):
+                first, n, size = (batch.column(c)[row].as_py() for c in ("first_slot", "slots", "stride"))
+                payload = batch.column("payload")[row].as_buffer()
                 head = np.frombuffer(payload, np.dtype({"names": HEAD.names, "formats": [HEAD[c] for c in HEAD.names], "offsets": [0, 8, 12], "itemsize": size}), n)
                 skip = max(0, from_slot - first)
-                counts = head["n_tokens"][skip:]
-                tokens = [r.tobytes()[HEAD.itemsize : HEAD.itemsize + int(c) * width] for r, c in zip(raw[skip:], counts)]
-                ids = head["doc_id"][skip:]
+                counts, ids = head["n_tokens"][skip:], head["doc_id"][skip:]
+                at = np.arange(skip, n) * size + HEAD.itemsize
+                tokens = [payload.slice(int(a), int(c) * width).to_pybytes() for a, c in zip(at, counts)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(first + skip, first + n)), pa.array(ids, mask=ids == NULL_ID),
