@@ -45,7 +45,7 @@ def whole_shares(weights: dict, least_period: int) -> tuple[dict, int]:
     total = sum(weights.values())
     exact = {k: 1 + w / total * (period - len(weights)) for k, w in weights.items()}
     shares = {k: math.floor(x) for k, x in exact.items()}
-    rest = sorted(weights, key=lambda k: (shares[k] - exact[k], k is not None, k or ""))
+    rest = sorted(weights, key=lambda k: (shares[k] - exact[k], k is not None, str(k)))
     for k in rest[: period - sum(shares.values())]:
         shares[k] += 1
     return shares, period
