@@ -7,7 +7,8 @@
    buckets are small. A bucket whose members share most of their extensions is dense: splitting would not divide it, so it is compared as it is.
 4. Buckets are compared by brute force. Large dense ones are cut into tiles, and each pair of tiles is a task of its own. A pair that meets in
    several buckets counts in the first of them alone; a task knows this from the buckets of its members, so links are counted
-   without a row per pair. Sets travel only for members that have a pair to compare.
+   without a row per pair. Sets travel only for members that have a pair to
+   compare whose bottom-k samples look alike.
 5. Runs are repeated until a pair at the threshold is found with the target recall.
 
 Per task the links are counted and a spanning forest goes out, so output grows with the documents, not with their pairs.
@@ -42,7 +43,8 @@ GROUP = ("fid", "ti", "tj")
 
 @dataclass(frozen=True)
 class JoinSettings:
-    """``limit``: members of a bucket that is not split; ``tile``: classes of a tile; ``dense``: share of common
+    """``limit``: members of a bucket that is not split; ``tile``: classes of a tile; ``alike``: share of the samples that a pair must have in common to be
+    verified; ``dense``: share of common
     extensions from which a bucket counts as dense; ``deepest``: levels after which a bucket is compared whatever its size."""
 
     shingle: int = 5
@@ -51,8 +53,9 @@ class JoinSettings:
     first_branches: float = 3.0
     branches: float = 1.6
     sample: int = 48
+    alike: float = 0.5
     limit: int = 256
-    tile: int = 512
+    tile: int = 1024
     dense: float = 0.4
     deepest: int = 30
 
@@ -234,9 +237,24 @@ def tiled(buckets: DataFrame, s: JoinSettings) -> DataFrame:
     return meets.select("fid", F.least("t", "o").alias("ti"), F.greatest("t", "o").alias("tj"), "cno", "t")
 
 
+def incidence(rows: np.ndarray, values: np.ndarray, m: int) -> np.ndarray:
+    """Matrix of rows and the values that at least two of them have."""
+    _, which = np.unique(values, return_inverse=True)
+    keep = np.bincount(which)[which] > 1 if len(which) else np.zeros(0, bool)
+    names, which = np.unique(which[keep], return_inverse=True)
+    out = np.zeros((m, len(names)), np.float32)
+    out[rows[keep], which] = 1
+    return out
+
+
+def list_rows(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and value of every element."""
+    return np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()
+
+
 def own_pairs(group: pa.RecordBatch, threshold: float) -> np.ndarray:
     """Matrix of the pairs that are compared in this group: sizes fit, and no bucket before this one holds both."""
-    fid, ti, tj = (group.column(c)[0].as_py() for c in ("fid", "ti", "tj"))
+    fid, ti, tj = (group.column(c)[0].as_py() for c in GROUP)
     t = group.column("t").to_numpy()
     n = group.column("n").to_numpy().astype(np.float64)
     m = len(t)
@@ -244,37 +262,41 @@ def own_pairs(group: pa.RecordBatch, threshold: float) -> np.ndarray:
     if ti != tj:
         pairs = (t == ti)[:, None] & (t == tj)[None, :]
     pairs &= np.minimum(n[:, None], n[None, :]) >= threshold * np.maximum(n[:, None], n[None, :])
-    lists = group.column("fids")
-    values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
-    values, offsets = values[offsets[0] : offsets[-1]], offsets - offsets[0]
-    of = np.repeat(np.arange(m), np.diff(offsets))
-    before = values < fid
-    names, which = np.unique(values[before], return_inverse=True)
-    if len(names):
-        shared = np.bincount(which)
-        keep = shared[which] > 1
-        if keep.any():
-            names, which = np.unique(which[keep], return_inverse=True)
-            incidence = np.zeros((m, len(names)), np.float32)
-            incidence[of[before][keep], which] = 1
-            pairs &= incidence @ incidence.T == 0
-    return pairs
-
-
-def compared(buckets: DataFrame, classes: DataFrame, s: JoinSettings) -> DataFrame:
+    of, fids = list_rows(group.column("fids"))
+    before = fids < fid
+    met = incidence(of[before], fids[before], m)
+    return pairs & (met @ met.T == 0) if met.shape[1] else pairs
+
+
+def alike(group: pa.RecordBatch, s: JoinSettings) -> np.ndarray:
+    """Matrix of the pairs whose samples share enough.
+
+    Of a pair at a threshold of 0.8 the 48 smallest hashes of the union are common with chance 0.8 each, so both samples share fewer than half of them with a
+    chance of one in a million; a sample shorter than that is the whole set. Samples hold 16 bits of each hash, so chance hits only add pairs.
+    """
+    of, sample = list_rows(group.column("sample"))
+    m = group.num_rows
+    held = incidence(of, sample, m)
+    n = np.minimum(group.column("n").to_numpy(), s.sample)
+    return held @ held.T >= s.alike * np.maximum(n[:, None], n[None, :])
+
+
+def compared(buckets: DataFrame, classes: DataFrame, signed: DataFrame, s: JoinSettings) -> DataFrame:
     """``k1, k2, cno, n, size, fids, places``: classes with a pair to compare, and the groups where that is."""
     fids = buckets.groupBy("cno").agg(F.sort_array(F.collect_list("fid")).alias("fids"))
-    rows = tiled(buckets, s).join(classes.select("cno", "n").join(fids, "cno"), "cno")
-    rows = rows.repartition(*GROUP).sortWithinPartitions(*GROUP)
+    short = signed.select("cno", F.transform("sample", lambda x: (x.bitwiseAND(F.lit(0xFFFF)) - F.lit(0x8000)).cast("smallint")).alias("sample"))
+    members = classes.select("cno", "n").join(fids, "cno").join(short, "cno")
+    rows = tiled(buckets, s).join(members, "cno").repartition(*GROUP).sortWithinPartitions(*GROUP)
 
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, GROUP):
             pairs = own_pairs(group, s.threshold)
+            pairs &= alike(group, s)
             used = pa.array(pairs.any(axis=0) | pairs.any(axis=1))
-            yield group.select(["cno", "fid", "ti", "tj", "t"]).filter(used)
+            yield group.select(["cno", *GROUP, "t"]).filter(used)
 
     places = rows.mapInArrow(needed, "cno bigint, fid bigint, ti int, tj int, t int")
-    places = places.groupBy("cno").agg(F.collect_list(F.struct("fid", "ti", "tj", "t")).alias("places"))
+    places = places.groupBy("cno").agg(F.collect_list(F.struct(*GROUP, "t")).alias("places"))
     return cut_lineage(places.join(fids, "cno").join(classes.select("cno", "k1", "k2", "n", "size"), "cno"))
 
 
@@ -361,7 +383,7 @@ def near_duplicates(docs: DataFrame, s: JoinSettings = JoinSettings()) -> DataFr
     signatures(docs, s).join(classes.select("cls", "cno"), "cls").drop("cls").write.parquet(path)
     signed = spark.read.parquet(path)
     buckets = cut_lineage(final_buckets(signed, s))
-    result = verified(docs, compared(buckets, classes, s), s)
+    result = verified(docs, compared(buckets, classes, signed, s), s)
     links = result.groupBy("cno").agg(F.sum("links").alias("links"))
     labels = components(result.where("other IS NOT NULL").select(F.col("cno").alias("a"), F.col("other").alias("b")))
     named = classes.join(labels.withColumnRenamed("node", "cno"), "cno", "left").join(links, "cno", "left")
