@@ -253,39 +253,45 @@ _REGISTRY = ", ".join(f"({quote(name)}, {dim})" for name, dim in rt.MODELS)
 
 RETRIEVAL = f"""
     {CHUNKS},
-    asked AS (SELECT text AS query FROM benchmark ORDER BY item_id LIMIT 1),
+    asked AS (SELECT DISTINCT text AS query FROM benchmark),
     models AS (SELECT * FROM (VALUES {_REGISTRY}) AS t(model_name, dim)),
     prefixed AS (SELECT model_name, dim, lower(model_name) LIKE 'intfloat/multilingual-e5%' AS e5 FROM models),
-    query_terms AS (SELECT model_name, dim, unnest({_terms_sql("CASE WHEN e5 THEN 'query: ' ELSE '' END || query")})
+    query_terms AS (SELECT model_name, dim, query, unnest({_terms_sql("CASE WHEN e5 THEN 'query: ' ELSE '' END || query")})
         AS term FROM prefixed, asked),
-    query_vector AS (SELECT model_name, {_bucket_sql('term', 'dim')} AS bucket, count(*) AS n FROM query_terms
-        GROUP BY 1, 2),
+    query_vector AS MATERIALIZED (SELECT model_name, query, {_bucket_sql('term', 'dim')} AS bucket, count(*) AS n
+        FROM query_terms GROUP BY 1, 2, 3),
     chunk_terms AS (SELECT model_name, dim, global_chunk_index,
         unnest({_terms_sql("CASE WHEN e5 THEN 'passage: ' ELSE '' END || text")}) AS term FROM prefixed, chunks),
-    chunk_vector AS (SELECT model_name, global_chunk_index, {_bucket_sql('term', 'dim')} AS bucket, count(*) AS n
+    chunk_vector AS MATERIALIZED (SELECT model_name, global_chunk_index, {_bucket_sql('term', 'dim')} AS bucket, count(*) AS n
         FROM chunk_terms GROUP BY 1, 2, 3),
-    query_norm AS (SELECT model_name, sqrt(sum(n * n)::DOUBLE) AS qn FROM query_vector GROUP BY 1),
-    products AS (SELECT c.model_name, c.global_chunk_index, sum(c.n * coalesce(q.n, 0))::DOUBLE AS dot,
-        sqrt(sum(c.n * c.n)::DOUBLE) AS cn FROM chunk_vector c
-        LEFT JOIN query_vector q ON q.model_name = c.model_name AND q.bucket = c.bucket GROUP BY 1, 2),
+    query_norm AS (SELECT model_name, query, sqrt(sum(n * n)::DOUBLE) AS qn FROM query_vector GROUP BY 1, 2),
+    chunk_norm AS (SELECT model_name, global_chunk_index, sqrt(sum(n * n)::DOUBLE) AS cn FROM chunk_vector GROUP BY 1, 2),
+    products AS (SELECT c.model_name, q.query, c.global_chunk_index, sum(c.n * q.n)::DOUBLE AS dot FROM chunk_vector c
+        JOIN query_vector q ON q.model_name = c.model_name AND q.bucket = c.bucket GROUP BY 1, 2, 3),
     scored AS (SELECT m.model_name, asked.query, chunks.*, length(text) AS n_characters,
         coalesce(dot / (cn * qn), 0) AS similarity_score
-        FROM models m CROSS JOIN asked CROSS JOIN chunks JOIN query_norm USING (model_name)
-        LEFT JOIN products p ON p.model_name = m.model_name AND p.global_chunk_index = chunks.global_chunk_index),
-    ranked AS (SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY similarity_score DESC, global_chunk_index)
+        FROM models m CROSS JOIN asked CROSS JOIN chunks
+        LEFT JOIN query_norm qv ON qv.model_name = m.model_name AND qv.query = asked.query
+        LEFT JOIN chunk_norm cv ON cv.model_name = m.model_name AND cv.global_chunk_index = chunks.global_chunk_index
+        LEFT JOIN products p ON p.model_name = m.model_name AND p.query = asked.query
+            AND p.global_chunk_index = chunks.global_chunk_index),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY model_name, query ORDER BY similarity_score DESC, global_chunk_index)
         AS rank FROM scored)
 """
 
 
 def retrieval(spark, folder):
-    """Queries, chunk vectors, scored chunks of all models."""
-    asked = load(spark, folder, "benchmark").orderBy("item_id").limit(1).select(F.col("text").alias("query"))
+    """Every chunk scored with every query of its model: the full ranking holds them all."""
+    asked = load(spark, folder, "benchmark").select(F.col("text").alias("query")).distinct()
     queries, chunks = en.encode_query_and_chunks(asked, fixed_chunks(spark, folder), normalize=False)
-    return queries, chunks, rt.cosine_scores_by_model(chunks, queries)
+    return rt.cosine_scores_by_model(chunks, queries)
 
 
-def ranked_chunks(scored):
-    return rt.top_k(scored, 5, "global_chunk_index", ("model_name", "query"))
+def ranked_chunks(spark, folder):
+    """Queries, chunk vectors, and the five best chunks per model and query."""
+    asked = load(spark, folder, "benchmark").select(F.col("text").alias("query")).distinct()
+    queries, chunks = en.encode_query_and_chunks(asked, fixed_chunks(spark, folder), normalize=False)
+    return queries, chunks, rt.top_k_by_model(chunks, queries, 5)
 
 
 @query(
@@ -295,7 +301,7 @@ def ranked_chunks(scored):
         round(similarity_score, 6) AS similarity_score, left({collapse('text')}, 500) AS text_preview FROM scored""",
 )
 def run_ranking(spark, folder):
-    return rounded(rt.similarity_ranking(retrieval(spark, folder)[2], "global_chunk_index"))
+    return rounded(rt.similarity_ranking(retrieval(spark, folder), "global_chunk_index"))
 
 
 @query(
@@ -304,7 +310,7 @@ def run_ranking(spark, folder):
         round(similarity_score, 6) AS similarity_score FROM ranked WHERE rank <= 5""",
 )
 def run_retrieve(spark, folder):
-    ranked = ranked_chunks(retrieval(spark, folder)[2])
+    ranked = ranked_chunks(spark, folder)[2]
     return rounded(ranked).select("model_name", "chunk_id", "source_path", "rank", "similarity_score")
 
 
@@ -317,14 +323,14 @@ def run_retrieve(spark, folder):
     FROM ranked WHERE rank = 1""",
 )
 def run_top_result(spark, folder):
-    return rounded(rt.top_result_per_model(ranked_chunks(retrieval(spark, folder)[2])))
+    return rounded(rt.top_result_per_model(ranked_chunks(spark, folder)[2]))
 
 
 def projected(spark, folder):
-    queries, chunks, scored = retrieval(spark, folder)
+    queries, chunks, ranked = ranked_chunks(spark, folder)
     # chunk ids repeat over directories of equal file names, so the chunk is known by its number here
     by_number = F.col("global_chunk_index").cast("string")
-    ranked = ranked_chunks(scored).withColumn("chunk_id", by_number)
+    ranked = ranked.withColumn("chunk_id", by_number)
     return rt.projection_rows(queries, ranked, chunks.withColumn("chunk_id", by_number))
 
 
@@ -332,7 +338,7 @@ def projected(spark, folder):
     "projection_roles",
     lambda: f"""WITH {RETRIEVAL}
     SELECT model_name, 0::BIGINT AS position, 'Consulta' AS label, 'query' AS role, NULL::DOUBLE AS similarity_score
-    FROM models
+    FROM models, asked
     UNION ALL SELECT model_name, rank, 'Top ' || rank || ' (' || source_file || ', chunk ' || chunk_index || ')',
         CASE WHEN rank = 1 THEN 'best_chunk' ELSE 'chunk' END, round(similarity_score, 6) FROM ranked WHERE rank <= 5""",
 )

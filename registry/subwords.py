@@ -21,11 +21,11 @@ VOCABULARIES = f"""
         GROUP BY w),
     wp_pieces AS (SELECT piece, sum(n) AS n FROM (
         SELECT unnest(list_transform(range(1, least(length(w), 8) + 1), lambda l: left(w, l))) AS piece, n
-        FROM wp_words WHERE length(w) <= 100
+        FROM wp_words
         UNION ALL
         SELECT unnest(list_transform(range(1, least(length(w) - s + 1, 8) + 1),
             lambda l: '##' || substr(w, s, l))) AS piece, n
-        FROM (SELECT w, n, unnest(range(2, length(w) + 1)) AS s FROM wp_words WHERE length(w) <= 100))
+        FROM (SELECT w, n, unnest(range(2, length(w) + 1)) AS s FROM wp_words))
         GROUP BY piece),
     wp_sized AS (SELECT piece, CAST(n AS BIGINT) AS n,
         CASE WHEN piece LIKE '##_%' THEN length(piece) - 2 ELSE length(piece) END AS size FROM wp_pieces),
@@ -36,7 +36,7 @@ VOCABULARIES = f"""
         SELECT '▁' || w AS u, count(*) AS n FROM (SELECT unnest({words('text')}) AS w FROM documents) GROUP BY w),
     sp_pieces AS (SELECT piece, CAST(sum(n) AS BIGINT) AS n FROM (
         SELECT unnest(list_transform(range(1, least(length(u) - s + 1, 8) + 1), lambda l: substr(u, s, l))) AS piece, n
-        FROM (SELECT u, n, unnest(range(1, length(u) + 1)) AS s FROM sp_units WHERE length(u) <= 100)) GROUP BY piece),
+        FROM (SELECT u, n, unnest(range(1, length(u) + 1)) AS s FROM sp_units)) GROUP BY piece),
     sp_kept AS (
         SELECT piece, n FROM sp_pieces WHERE length(piece) = 1
         UNION ALL (SELECT piece, n FROM sp_pieces WHERE length(piece) > 1 ORDER BY n DESC, piece LIMIT 2000)),
@@ -156,6 +156,15 @@ def run_sentencepiece_vocabulary(spark, folder):
     return sw.sentencepiece_vocabulary(units)
 
 
+LONGER = VOCABULARIES.replace("+ 1, 8) + 1)", "+ 1, 12) + 1)").replace("least(length(w), 8)", "least(length(w), 12)").replace("LIMIT 2000", "LIMIT 500")
+
+
+@query("wordpiece_vocabulary_longer", lambda: f"WITH {LONGER} SELECT piece, n AS count FROM wp_vocab")
+def run_wordpiece_vocabulary_longer(spark, folder):
+    tokens = documents_of(spark, folder).select(sw.wordpiece_words(F.col("text")).alias("tokens"))
+    return sw.wordpiece_vocabulary(tokens, size=500, longest=12)
+
+
 def encoded_columns(df):
     return df.select(
         "doc_id",

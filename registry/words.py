@@ -17,25 +17,30 @@ from tinta.sinks import writers as wr
 from tinta.sources.corpus import load, read_chunks_jsonl, read_report, read_sentences_jsonl
 from tinta.streaming import corpus_stream as st
 
-# Two word-vector tables are read off the corpus and the embeddings: word number i of the vocabulary
-# gets vector i in the first and vector i - 100 in the second.
+# Two word-vector tables are read off the corpus and the embeddings: of n vectors, word number i of the
+# vocabulary gets vector i % n in the first and vector (i + 100) % n in the second.
 WORDS = lambda: f"""
     {CLEAN_CTE()},
     vocab AS MATERIALIZED (SELECT token AS word, n, row_number() OVER (ORDER BY n DESC, token) - 1 AS idx FROM counts),
-    first AS MATERIALIZED (SELECT word, idx, n AS count, embedding::DOUBLE[] AS vector
-        FROM vocab JOIN embeddings ON vec_id = idx),
-    second AS MATERIALIZED (SELECT word, idx, n AS count, embedding::DOUBLE[] AS vector
-        FROM vocab JOIN embeddings ON vec_id = idx - 100)
+    many AS (SELECT count(*) AS n FROM embeddings),
+    first AS MATERIALIZED (SELECT word, idx, vocab.n AS count, embedding::DOUBLE[] AS vector, vec_id
+        FROM vocab JOIN embeddings ON vec_id = idx % (SELECT n FROM many)),
+    second AS MATERIALIZED (SELECT word, idx, vocab.n AS count, embedding::DOUBLE[] AS vector, vec_id
+        FROM vocab JOIN embeddings ON vec_id = (idx + 100) % (SELECT n FROM many)),
+    alike AS MATERIALIZED (SELECT x, y, score FROM (
+        SELECT a.vec_id AS x, b.vec_id AS y, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9)
+            AS score, rank() OVER (PARTITION BY a.vec_id ORDER BY
+            round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) DESC) AS place
+        FROM embeddings a, embeddings b) WHERE place <= 11)
 """
 
 
 def word_table(spark, folder, shift=0):
     vocabulary = wv.vocabulary_index(cs.token_counts(clean_documents(spark, folder)))
-    vectors = load(spark, folder, "embeddings").select(
-        (F.col("vec_id") + shift).alias("idx"), F.col("embedding").alias("vector")
-    )
+    vectors = load(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    number = (F.col("idx") + shift) % vectors.count()
     # the table is read several times by most operators, so it is built once, as one would store it
-    return cut_lineage(vocabulary.join(vectors, "idx").select("word", "idx", "count", "vector"))
+    return cut_lineage(vocabulary.join(vectors, number == F.col("vec_id")).select("word", "idx", "count", "vector"))
 
 
 def query_words(spark, folder):
@@ -84,15 +89,18 @@ def run_first_vectors(spark, folder):
     return wv.first_vectors(load(spark, folder, "embeddings"), "vec_id").select("vec_id", "label")
 
 
+# Of the words with one vector only the first eleven in order can be among ten neighbours.
+FEW = "(SELECT word, vec_id FROM {table} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY word) <= 11)"
+
+
 def _similar_sql(table: str, asked: str, model: str) -> str:
     return f"""
     SELECT {quote(model)} AS modelo, palabra_consultada, palabra_similar, score, ranking,
         'ok' AS estado FROM (
-        SELECT a.word AS palabra_consultada, b.word AS palabra_similar,
-            round(list_cosine_similarity(a.vector, b.vector), 9) AS score,
-            row_number() OVER (PARTITION BY a.word ORDER BY round(list_cosine_similarity(a.vector, b.vector), 9) DESC,
-                b.word) AS ranking
-        FROM {table} a JOIN {asked} USING (word), {table} b WHERE a.word <> b.word) WHERE ranking <= 10
+        SELECT a.word AS palabra_consultada, b.word AS palabra_similar, score,
+            row_number() OVER (PARTITION BY a.word ORDER BY score DESC, b.word) AS ranking
+        FROM {table} a JOIN {asked} USING (word) JOIN alike ON x = a.vec_id
+        JOIN {FEW.format(table=table)} b ON y = b.vec_id AND a.word <> b.word) WHERE ranking <= 10
     UNION ALL SELECT {quote(model)}, word, NULL, NULL, NULL, 'fuera_del_vocabulario' FROM {asked}
     WHERE word NOT IN (SELECT word FROM {table})"""
 
@@ -224,7 +232,8 @@ def run_ngrams(spark, folder):
     "oov_neighbours",
     lambda: f"""WITH {WORDS()}, asked AS (SELECT word FROM vocab WHERE n >= 5),
     {GRAMS.format(words='(SELECT word FROM first UNION SELECT word FROM asked)')},
-    gram_list AS (SELECT DISTINCT word, ngram FROM grams),
+    gram_list AS (SELECT DISTINCT word, ngram FROM grams
+        WHERE ngram IN (SELECT ngram FROM grams WHERE word NOT IN (SELECT word FROM first))),
     dims AS (SELECT unnest(range(1, 65)) AS d),
     gram_cells AS (SELECT ngram, d, avg(vector[d]) AS x FROM gram_list JOIN first USING (word), dims GROUP BY 1, 2),
     gram_vectors AS (SELECT ngram, list(x ORDER BY d) AS vector FROM gram_cells GROUP BY 1),
@@ -234,9 +243,13 @@ def run_ngrams(spark, folder):
     unseen_vectors AS (SELECT word, list(x ORDER BY d) AS vector FROM unseen_cells GROUP BY 1),
     queries AS (SELECT word, vector, true AS explicit FROM first JOIN asked USING (word)
         UNION ALL SELECT word, vector, false FROM unseen_vectors),
-    ranked AS (SELECT q.word, explicit, f.word AS other, round(list_cosine_similarity(q.vector, f.vector), 9) AS score,
+    ranked AS (SELECT a.word, true AS explicit, b.word AS other, score,
+        row_number() OVER (PARTITION BY a.word ORDER BY score DESC, b.word) AS ranking
+        FROM first a JOIN asked USING (word) JOIN alike ON x = a.vec_id
+        JOIN {FEW.format(table="first")} b ON y = b.vec_id AND a.word <> b.word
+        UNION ALL SELECT q.word, explicit, f.word, round(list_cosine_similarity(q.vector, f.vector), 9),
         row_number() OVER (PARTITION BY q.word ORDER BY round(list_cosine_similarity(q.vector, f.vector), 9) DESC, f.word)
-        AS ranking FROM queries q, first f WHERE q.word <> f.word)
+        FROM (SELECT * FROM queries WHERE NOT explicit) q, first f WHERE q.word <> f.word)
     SELECT 'FastText' AS modelo, word AS palabra_oov, explicit AS esta_en_vocabulario_explicito,
         other AS palabra_similar, score, ranking, 'ok' AS estado FROM ranked WHERE ranking <= 10
     UNION ALL SELECT 'FastText', word, false, NULL, NULL, NULL, 'error: no known n-gram' FROM asked

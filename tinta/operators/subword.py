@@ -20,6 +20,7 @@ WORDPIECE_MODEL = "dccuchile/bert-base-spanish-wwm-cased"
 SENTENCEPIECE_MODEL = "google-t5/t5-small"
 
 MARKER = "▁"
+# Default length of the longest piece, and the limit of WordPiece inference: a longer word is one unknown token.
 MAX_PIECE = 8
 MAX_WORD = 100
 VOCABULARY_SIZE = 2000
@@ -37,15 +38,15 @@ def sentencepiece_units(text: Column) -> Column:
     return F.transform(split_words(text), lambda unit: F.concat(F.lit(MARKER), unit))
 
 
-def _substrings(word: Column, start: Column) -> Column:
-    """The pieces of up to ``MAX_PIECE`` characters that begin at a 1-based start."""
-    room = F.least(F.length(word) - start + 1, F.lit(MAX_PIECE))
+def _substrings(word: Column, start: Column, longest: int) -> Column:
+    """The pieces of up to ``longest`` characters that begin at a 1-based start."""
+    room = F.least(F.length(word) - start + 1, F.lit(longest))
     return F.transform(F.sequence(F.lit(1), room), lambda n: F.substring(word, start, n))
 
 
 def _piece_counts(words: DataFrame, pieces: Column) -> DataFrame:
     """Counts of pieces, weighted by the word counts; only distinct words are taken apart."""
-    counted = token_counts(words).where(F.length("token").between(1, MAX_WORD))
+    counted = token_counts(words).where(F.length("token") > 0)
     # a word grows some sixty-fold here, so the small table of words is spread before it does
     partitions = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     exploded = explode_rows(counted.repartition(partitions), pieces, "piece", "count")
@@ -58,32 +59,35 @@ def _top_vocabulary(counts: DataFrame, single: Column, size: int) -> DataFrame:
     return counts.where(single).unionByName(longer)
 
 
-def wordpiece_vocabulary(words: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
-    """``piece, count`` from a ``tokens`` column of words: prefixes bare, inner pieces with ``##``."""
+def wordpiece_vocabulary(words: DataFrame, size: int = VOCABULARY_SIZE, longest: int = MAX_PIECE) -> DataFrame:
+    """``piece, count`` from a ``tokens`` column of words: prefixes bare, inner pieces with ``##``.
+
+    Pieces have at most ``longest`` characters; every word counts, whatever its length.
+    """
     word = F.col("token")
     inner = F.when(
         F.length(word) > 1,
         F.flatten(
             F.transform(
                 F.sequence(F.lit(2), F.length(word)),
-                lambda start: F.transform(_substrings(word, start), lambda p: F.concat(F.lit("##"), p)),
+                lambda start: F.transform(_substrings(word, start, longest), lambda p: F.concat(F.lit("##"), p)),
             )
         ),
     ).otherwise(F.array().cast("array<string>"))
-    counts = _piece_counts(words, F.concat(_substrings(word, F.lit(1)), inner))
+    counts = _piece_counts(words, F.concat(_substrings(word, F.lit(1), longest), inner))
     # "##" itself is no continuation, and neither is a single "#"
     bare_length = F.length(F.regexp_replace("piece", r"^##(?=.)", ""))
     return _top_vocabulary(counts, bare_length == 1, size)
 
 
-def sentencepiece_vocabulary(units: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
+def sentencepiece_vocabulary(units: DataFrame, size: int = VOCABULARY_SIZE, longest: int = MAX_PIECE) -> DataFrame:
     """``piece, count, cost`` from a ``tokens`` column of marked units.
 
     The cost is the negative log share in whole millionths, so paths add up without rounding.
     """
     unit = F.col("token")
     pieces = F.flatten(
-        F.transform(F.sequence(F.lit(1), F.length(unit)), lambda start: _substrings(unit, start))
+        F.transform(F.sequence(F.lit(1), F.length(unit)), lambda start: _substrings(unit, start, longest))
     )
     vocabulary = _top_vocabulary(_piece_counts(units, pieces), F.length("piece") == 1, size)
     total = vocabulary.agg(F.sum("count")).scalar()

@@ -20,8 +20,6 @@ EPOCHS = 5
 TOP_WORDS = 30
 TOP_NEIGHBOURS = 10
 SEED = 42
-# The trainer keeps two vocabulary-by-size matrices on the driver; this many numbers are 4 GB.
-MAX_MODEL_NUMBERS = 1_000_000_000
 
 # Default query words, unseen query words, and frequent words that are no queries.
 DEFAULT_WORDS = ("gobierno", "presidente", "ciudad", "equipo", "mercado")
@@ -69,21 +67,25 @@ def train_word2vec(
     window: int = WINDOW,
     min_count: int = MIN_COUNT,
     epochs: int = EPOCHS,
-    partitions: int = 4,
+    partitions: int | None = None,
     seed: int = SEED,
 ) -> Word2VecModel:
-    """Skip-gram Word2Vec over a ``tokens`` column."""
-    words = vocabulary(sentences, min_count).count()
-    if words == 0:
+    """Skip-gram Word2Vec over a ``tokens`` column.
+
+    Spark's trainer holds the model on the driver; ``train_subword_vectors`` keeps its parameters in a table and has
+    no such need. Training runs in as many partitions as there are cores, and no sentence is cut.
+    """
+    if vocabulary(sentences, min_count).limit(1).count() == 0:
         raise ValueError(f"no word occurs {min_count} times")
-    if words * vector_size > MAX_MODEL_NUMBERS:
-        raise ValueError(f"{words} words by {vector_size} exceed the driver; raise min_count")
+    longest = sentences.agg(F.max(F.size("tokens"))).first()[0]
+    partitions = partitions or sentences.sparkSession.sparkContext.defaultParallelism
     trainer = Word2Vec(
         vectorSize=vector_size,
         windowSize=window,
         minCount=min_count,
         maxIter=epochs,
         numPartitions=partitions,
+        maxSentenceLength=max(1000, longest),
         seed=seed,
         inputCol="tokens",
         outputCol="vector",

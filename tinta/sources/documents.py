@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tinta.functions.text import collapse_spaces, strip
 from tinta import schemas
+from tinta.session import cut_lineage
 
 Extractor = Callable[[bytes], str]
 
@@ -34,8 +35,11 @@ def utf8_text(content: bytes) -> str:
 def extract_documents(files: DataFrame, extractor: Extractor = utf8_text) -> DataFrame:
     """``source_path, source_file, text`` of the documents that hold text.
 
-    The extractor turns the bytes of one file into text and runs inside the tasks.
+    The extractor turns the bytes of one file into text and runs inside the tasks. Extracted texts are kept in the shared folder, so
+    an extractor runs once; no files, or no text in any of them, raise ``ValueError``.
     """
+    if files.limit(1).count() == 0:
+        raise ValueError("no document was found")
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -48,7 +52,10 @@ def extract_documents(files: DataFrame, extractor: Extractor = utf8_text) -> Dat
             )
 
     texts = files.select("path", "content").mapInPandas(extract, schemas.DOCUMENT)
-    return texts.withColumn("text", strip(F.col("text"))).where("text <> ''")
+    usable = cut_lineage(texts.withColumn("text", strip(F.col("text"))).where("text <> ''"))
+    if usable.limit(1).count() == 0:
+        raise ValueError("no document holds text")
+    return usable
 
 
 def html_text(html: Column) -> Column:

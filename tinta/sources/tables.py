@@ -59,13 +59,16 @@ POSITION = "_row"
 BLOCK_ROWS = 4096
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Header table, comma or tab by suffix, with missing cells as NULL and a row position ``_row``."""
+def read_table(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Header table, comma or tab by suffix, with missing cells as NULL and a row position ``_row``.
+
+    A file is split over tasks unless ``multi_line`` says that quoted cells may hold line ends.
+    """
     suffix = path.lower().rsplit(".", 1)[-1]
     if suffix in ("xlsx", "xls"):
         raise ValueError("convert Excel files to CSV first")
     separator = "\t" if suffix == "tsv" else ","
-    options = {"header": True, "sep": separator, "multiLine": True, "quote": '"', "escape": '"'}
+    options = {"header": True, "sep": separator, "multiLine": multi_line, "quote": '"', "escape": '"'}
     raw = spark.read.options(**options).csv(path)
     cells = {
         column: F.when(~F.col(f"`{column}`").isin(*MISSING_CELLS), F.col(f"`{column}`"))
@@ -98,12 +101,12 @@ def _with_numeric_types(table: DataFrame) -> DataFrame:
     return table.select(*[typed(i, c) for i, c in enumerate(table.columns)])
 
 
-def load_table_corpus(spark: SparkSession, folder: str) -> DataFrame:
+def load_table_corpus(spark: SparkSession, folder: str, multi_line: bool = False) -> DataFrame:
     """Sentences of the first table (in name order) of a folder."""
     first = list_files(spark, folder, TABLE_SUFFIXES).orderBy("path").first()
     if first is None:
         raise FileNotFoundError(f"no table file in {folder}")
-    return sentences_from_table(read_table(spark, first["path"]))
+    return sentences_from_table(read_table(spark, first["path"], multi_line))
 
 
 def identifier_flags(df: DataFrame, columns: list[str]) -> DataFrame:
