@@ -186,10 +186,17 @@ def classify(column: pa.Array, net: ByteNet, tables: tuple[np.ndarray, ...]) ->
 
 def training_windows(labelled: DataFrame, key: Column, settings: Training) -> DataFrame:
     """``text, lang``: a bounded sample with one window of each chosen document."""
+    usable = labelled.where("text IS NOT NULL AND lang IS NOT NULL AND length(text) > 0")
+    # digests below a label's share hold about twice the wanted windows, so few rows reach the ranking of a label
+    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.most_windows)
+    share = F.least(F.lit(1.0), F.lit(2.0 * settings.per_language) / F.col("count"))
+    shares = F.broadcast(counts.select(F.col("lang").alias("_lang"), share.alias("_share")))  # at most most_windows rows
+    order = F.xxhash64(key, F.lit(settings.seed))
+    drawn = usable.join(shares, F.col("lang") == F.col("_lang")).where(F.pmod(order, F.lit(1 << 20)) < F.col("_share") * (1 << 20))
     room = F.greatest(F.length("text") - settings.window, F.lit(1))
-    rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL AND length(text) > 0").select(
+    rows = drawn.select(
         "lang",
-        F.xxhash64(key, F.lit(settings.seed)).alias("order"),
+        order.alias("order"),
         F.substring("text", F.pmod(F.xxhash64(key), room).cast("int") + 1, F.lit(settings.window)).alias("text"),
     )
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "text"))
