@@ -161,6 +161,38 @@ def test_chunks_are_numbered_in_document_order(spark):
     assert found[0].chunk_id == "file_1_chunk_0000"
 
 
+def test_chunking_refuses_repeated_paths_and_empty_corpora(spark):
+    schema = "source_path string, source_file string, text string"
+    with pytest.raises(ValueError, match="unique"):
+        ch.chunk_documents(spark.createDataFrame([("d", "a", "one two"), ("d", "b", "three")], schema))
+    for rows in ([], [("d", "a", "  "), ("e", "b", None)]):
+        with pytest.raises(ValueError, match="no text"):
+            ch.chunk_documents(spark.createDataFrame(rows, schema))
+
+
+def test_vocabulary_counts_words_of_any_length(spark):
+    long = "qé" * 55
+    words = spark.createDataFrame([([long, "ab"],)], "tokens array<string>")
+    pieces = {r.piece: r["count"] for r in sw.wordpiece_vocabulary(words, size=5000).collect()}
+    assert pieces["q"] == 1 and pieces["##é"] == 55 and pieces["ab"] == 1 and max(map(len, pieces)) <= 10
+    units = {r.piece: r["count"] for r in sw.sentencepiece_vocabulary(words, size=5000, longest=12).collect()}
+    assert units["é"] == 55 and max(map(len, units)) == 12
+
+
+def test_best_chunks_by_model_equal_the_full_ranking(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    chunks = [(m, i, f"t{i}", rng.integers(0, 3, 6).astype(float).tolist()) for m in ("a", "b") for i in range(40)]
+    queries = [(m, f"q{i}", rng.integers(0, 3, 6).astype(float).tolist()) for m in ("a", "b", "c") for i in range(5)]
+    left = spark.createDataFrame(chunks, "model_name string, global_chunk_index bigint, text string, embedding array<double>").repartition(3)
+    right = spark.createDataFrame(queries, "model_name string, query string, embedding array<double>")
+    full = rt.top_k(rt.cosine_scores_by_model(left, right), 5, "global_chunk_index", ("model_name", "query"))
+    columns = ["model_name", "query", "global_chunk_index", "text", "rank", F.round("similarity_score", 9).alias("s")]
+    expected = sorted(map(tuple, full.select(*columns).collect()))
+    assert sorted(map(tuple, rt.top_k_by_model(left, right).select(*columns).collect())) == expected
+    monkeypatch.setattr(rt, "MAX_SHARED_NUMBERS", 0)
+    assert sorted(map(tuple, rt.top_k_by_model(left, right).select(*columns).collect())) == expected
+
+
 def test_running_offset_with_many_ranges(spark):
     df = spark.range(3000).select(F.concat(F.lit("k"), F.md5(F.col("id").cast("string"))).alias("k"), (F.col("id") % 4).alias("w"))
     numeric = df.select(F.monotonically_increasing_id().alias("n"), "w")

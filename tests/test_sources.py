@@ -105,6 +105,11 @@ def test_documents(spark, tmp_path):
     write(tmp_path, "three.txt", "no")
     rows = documents.extract_documents(documents.discover_documents(spark, str(tmp_path))).collect()
     assert [(r.source_file, r.text) for r in rows] == [("one.PDF", "hola")]
+    found = documents.discover_documents(spark, str(tmp_path))
+    with pytest.raises(ValueError, match="found"):
+        documents.extract_documents(found.limit(0))
+    with pytest.raises(ValueError, match="holds text"):
+        documents.extract_documents(found.where("path LIKE '%two.pdf'"))
     pages = spark.createDataFrame([("<p>A&amp;B<script>x</script><!-- c --> <b>c</b></p>",)], "html string")
     assert documents.extract_pages(pages).first().text == "A&B c"
 

@@ -36,6 +36,30 @@ def test_nearest_equals_brute_force_on_both_paths(spark):
         assert found == expected
 
 
+@pytest.mark.parametrize("dimensions", [16, 64, 300])
+def test_score_tiles_are_bounded(dimensions, monkeypatch):
+    monkeypatch.setattr(nb, "TILE_SCORES", 1000)
+    rng = np.random.default_rng(dimensions)
+    queries, units = rng.normal(size=(57, dimensions)), rng.normal(size=(90, dimensions))
+    assert max(len(tile) * 90 for tile in nb.query_tiles(queries, 90)) <= 1000
+    found = nb.best_in_batch(np.arange(57), queries, np.arange(90), units, 3, False)
+    best = np.argsort(-np.round(queries @ units.T, 9), axis=1, kind="stable")[:, :3]
+    assert (found["neighbour_id"].to_numpy().reshape(57, 3) == best).all()
+
+
+def test_blocks_of_a_hot_word_stay_near_the_mean(spark, monkeypatch):
+    monkeypatch.setattr(sv, "BLOCK_PAIRS", 2000)
+    monkeypatch.setattr(sv, "PAIR_SHARE", 500)
+    rng = np.random.default_rng(1)
+    rows = [(["hot" if rng.random() < 1 / 3 else f"w{rng.integers(0, 400)}" for _ in range(30)],) for _ in range(600)]
+    sentences = spark.createDataFrame(rows, "tokens array<string>")
+    words = wv.vocabulary_index(token_counts(sentences))
+    blocks = sv._training_blocks(sentences, words, 5, 1 << 10)
+    totals = blocks.select("block", F.explode("counts").alias("n")).groupBy("block").agg(F.sum("n").alias("n")).collect()
+    sizes = [r["n"] for r in totals]
+    assert max(sizes) < 4 * sum(sizes) / len(sizes)
+
+
 def test_similar_words_and_markers(spark):
     words = table(spark, [("gato", [1.0, 0.0]), ("perro", [0.9, 0.1]), ("sol", [0.0, 1.0])])
     asked = wv.word_list(spark, ["gato", "nadie"])
