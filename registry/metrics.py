@@ -229,7 +229,7 @@ def run_two_places(spark, folder):
         CAST(sum(n_subtokens_sentencepiece) AS BIGINT) AS sentencepiece FROM enriched GROUP BY dataset""",
 )
 def run_union(spark, folder):
-    rows = comparison(spark, folder)
+    rows = cut_lineage(comparison(spark, folder))  # encoded once, used twice
     trained, held_out = rows.where("split = 'train'"), rows.where("split <> 'train'").drop("source_file")
     return (
         tm.union_comparisons(trained, held_out)

@@ -9,7 +9,8 @@ from registry.sqltext import joined, words
 from tinta.functions.rows import posexplode_rows
 from tinta.functions.text import cell_tokens, column_key_expr, parse_token_list, split_words
 from tinta.operators.splits import first_per_split, split_counts, split_rows
-from tinta.sources.conll import parse_conll
+from tinta.session import scratch_path
+from tinta.sources.conll import parse_conll, read_conll
 from tinta.sources.corpus import load
 from tinta.sources.files import split_files
 from tinta.sources.tables import (
@@ -49,9 +50,7 @@ def run_split_files(spark, folder):
     return split_files(files, ["source"]).select("source", "name", "split")
 
 
-@query(
-    "conll_parse",
-    """WITH lines AS (
+CONLL_SQL = """WITH lines AS (
         SELECT doc_id, unnest(string_split(conll, chr(10))) AS line, generate_subscripts(string_split(conll, chr(10)), 1) AS n
         FROM (SELECT doc_id, '# ' || source || chr(10) || replace(replace(text, chr(10), ' O' || chr(10) || '  ' || chr(10)),
             ' ', ' O' || chr(10)) || ' O' AS conll FROM documents)),
@@ -59,19 +58,33 @@ def run_split_files(spark, folder):
         count(CASE WHEN trim(line) = '' THEN 1 END) OVER (PARTITION BY doc_id ORDER BY n) AS block FROM lines),
     blocks AS (SELECT doc_id, block, string_agg(string_split(line, ' ')[1], ' ' ORDER BY n) AS text, count(*) AS n_tokens
         FROM numbered WHERE line <> '' AND line NOT LIKE '#%' GROUP BY doc_id, block)
-    SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY block) - 1 AS pos, text, n_tokens FROM blocks""",
-)
-def run_conll(spark, folder):
+    SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY block) - 1 AS pos, text, n_tokens FROM blocks"""
+
+
+def conll_texts(spark, folder):
     newline = F.lit(" O\n  \n")
     body = F.replace(F.replace("text", F.lit("\n"), newline), F.lit(" "), F.lit(" O\n"))
-    texts = load(spark, folder, "documents").select(
+    return load(spark, folder, "documents").select(
         "doc_id", F.concat(F.lit("# "), "source", F.lit("\n"), body, F.lit(" O")).alias("value")
     )
-    return parse_conll(texts).select(
+
+
+@query("conll_parse", CONLL_SQL)
+def run_conll(spark, folder):
+    return parse_conll(conll_texts(spark, folder)).select(
         "doc_id", "pos", "text", F.size("tokens").cast("bigint").alias("n_tokens")
     )
 
 
+@query("conll_read", f"SELECT text, n_tokens FROM ({CONLL_SQL})")
+def run_conll_read(spark, folder):
+    """The same sentences out of CoNLL files, which are written first; documents end with a blank line."""
+    path = scratch_path(spark, "conll")
+    conll_texts(spark, folder).select(F.concat("value", F.lit("\n")).alias("value")).write.text(path)
+    return read_conll(spark, path).select("text", F.size("tokens").cast("bigint").alias("n_tokens"))
+
+
+
 @query(
     "token_rows_to_sentences",
     f"""SELECT CAST(doc_id AS VARCHAR) AS sentence_id, {joined(words('text'))} AS text,

@@ -10,7 +10,7 @@ from registry.sqltext import joined, quote, rebuilt, words
 from tinta.functions.text import PRETOKEN_PATTERN, rebuild_text, split_words
 from tinta.operators import subword as sw
 from tinta.operators.splits import split_rows
-from tinta.session import spread
+from tinta.session import cut_lineage, spread
 from tinta.sources.corpus import load, record_tokens
 
 PATTERN = quote(PRETOKEN_PATTERN)
@@ -226,7 +226,7 @@ def run_comparison(spark, folder):
         CAST(len(sp) AS BIGINT) AS t5_token_count FROM compared""",
 )
 def run_join(spark, folder):
-    rows = comparison(spark, folder)
+    rows = cut_lineage(comparison(spark, folder))  # encoded once, used three times
     keys = ["dataset", "split", "example_index"]
     wordpiece = rows.select(*keys, F.col("beto_tokens").alias("tokens"))
     sentencepiece = rows.select(*keys, F.col("t5_tokens").alias("tokens"))

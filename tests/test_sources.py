@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tinta.sources import corpus, documents, files, tables
-from tinta.sources.conll import parse_conll, read_conll, read_conll_parallel, read_split_corpus
+from tinta.sources import conll
+from tinta.sources.conll import parse_conll, read_conll, read_split_corpus
 from tinta.sinks import writers
 from tinta.operators.splits import first_per_split, split_counts, split_rows
 
@@ -24,7 +25,25 @@ def test_conll(spark, tmp_path):
     empty = spark.createDataFrame([("",), ("\n\n",)], "value string")
     assert parse_conll(empty).count() == 0
     unix = write(tmp_path, "big.txt", "a X\nb X\n\nc X\n\n\nd X\n")
-    assert sorted(r.text for r in read_conll_parallel(spark, unix).collect()) == ["a b", "c", "d"]
+    assert [(r.pos, r.text) for r in read_conll(spark, unix).orderBy("pos").collect()] == [(0, "a b"), (1, "c"), (2, "d")]
+
+
+def test_conll_files_that_are_split_over_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(conll, "BLOCK_LINES", 50)
+    lines = [f"w{i} X" if i % 7 and i % 11 else " " if i % 7 else "# note" for i in range(4000)]
+    (tmp_path / "in").mkdir()
+    for name, end in (("one.txt", "\n"), ("two.txt", "\r\n")):
+        (tmp_path / "in" / name).write_bytes(end.join(lines).encode())
+    previous = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        found = read_conll(spark, str(tmp_path / "in")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", previous)
+    whole = spark.createDataFrame([("\n".join(lines),)], "value string")
+    expected = [(r.pos, r.text) for r in parse_conll(whole).collect()]
+    for name in ("one.txt", "two.txt"):
+        assert sorted((r.pos, r.text) for r in found if r.source_file == name) == expected
 
 
 def test_file_listing_and_splits(spark, tmp_path):

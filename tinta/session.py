@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +40,12 @@ def build_session(
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> tempfile.TemporaryDirectory:
+    """Scratch folder of a local run without a setting; it is removed when the process ends."""
+    return tempfile.TemporaryDirectory(prefix="tinta-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``; a temporary one only in local mode."""
     context = spark.sparkContext
@@ -46,7 +53,7 @@ def shared_dir(spark: SparkSession) -> str:
     if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="tinta-")
+        folder = _own_folder().name
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder

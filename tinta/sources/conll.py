@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tinta.functions.rows import posexplode_rows
 from tinta.functions.text import WS, strip
+from tinta.operators.ranking import row_positions
+from tinta.session import cut_lineage
 from tinta.sources.files import SPLIT_ALIASES, TABLE_SUFFIXES, list_files, split_files
 
+BLOCK_LINES = 65_536
+
 
 def sentence_blocks(text: Column) -> Column:
     """Token arrays of the sentences in a text; ``#`` lines are skipped and end no sentence."""
@@ -36,28 +40,42 @@ def parse_conll(texts: DataFrame, text: str = "value") -> DataFrame:
 
 
 def read_conll(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Sentences of one or more CoNLL files; a file is read whole, files are spread over tasks."""
-    files = spark.read.text(path, wholetext=True).select(
-        "value", F.col("_metadata.file_name").alias("source_file")
+    """Sentences of one or more CoNLL files, read by lines: a large file is split over tasks.
+
+    ``pos`` numbers the sentences of a file. Lines are numbered in file order, blank lines before a line give its sentence, and
+    sentences are numbered again because runs of blank lines leave gaps; both counts go over blocks of bounded size.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("source_file"))
+    line = strip(F.col("value"))
+    marked = row_positions(lines, "_line").select(
+        "source_file", "_line", line.alias("_text"), (line == "").cast("bigint").alias("_blank")
     )
-    return parse_conll(files).select(
+    placed = _sum_before(marked, "_line", "_blank", "_block").where("_text <> '' AND NOT startswith(_text, '#')")
+    token = F.regexp_extract("_text", f"^[^{WS}]+", 0)
+    in_order = F.array_sort(F.collect_list(F.struct("_line", token.alias("token"))))
+    sentences = placed.groupBy("source_file", "_block").agg(F.transform(in_order, lambda x: x["token"]).alias("tokens"))
+    sentences = cut_lineage(sentences.withColumn("_one", F.lit(1).cast("bigint")))
+    numbered = _sum_before(sentences, "_block", "_one", "pos")
+    return numbered.select(
         F.concat_ws(":", "source_file", "pos").alias("sentence_id"),
         "pos",
         "tokens",
-        "text",
+        F.array_join("tokens", " ").alias("text"),
         "source_file",
         F.lit(None).cast("string").alias("source_column"),
     )
 
 
-def read_conll_parallel(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """The same for files too large to hold in one task.
-
-    Spark cuts the file at empty lines. It needs empty (not whitespace-only) separator lines and
-    Unix line ends; ``pos`` is the order inside a record, so sentences carry no file-wide number.
-    """
-    records = spark.read.option("lineSep", "\n\n").text(path)
-    return parse_conll(records.select("value", F.col("_metadata.file_name").alias("source_file")))
+def _sum_before(rows: DataFrame, order: str, weight: str, name: str) -> DataFrame:
+    """Add the weights of all rows of the same file that come before: by blocks of the order, then inside them."""
+    rows = rows.withColumn("_part", F.floor(F.col(order) / BLOCK_LINES))
+    earlier = Window.partitionBy("source_file").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy("source_file", "_part").agg(F.sum(weight).alias("_sum"))
+    starts = totals.select("source_file", "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("source_file", "_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = rows.withColumn("_inside", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    joined = summed.join(starts, ["source_file", "_part"])
+    return joined.withColumn(name, F.col("_start") + F.col("_inside")).drop("_part", "_start", "_inside")
 
 
 def read_split_corpus(spark: SparkSession, folder: str) -> DataFrame:
