@@ -252,6 +252,7 @@ def encode_sentencepiece(df: DataFrame, segmenter: Segmenter, text: str = "text"
     return encode(df, sentencepiece_units(F.col(text)), segmenter, (), ("</s>",), prefix)
 
 
+# Columns of the comparison table.
 COMPARISON_COLUMNS = (
     "dataset",
     "split",
