@@ -75,6 +75,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[first : int(offsets[-1])], offsets - first
 
 
+def runs_of_rows(column: pa.Array, most_bytes: int = 3 << 20) -> list[tuple[int, int]]:
+    """First row and end of runs of texts of a bounded size, so that what is worked out for a run stays small; a longer text is a run alone."""
+    offsets, first, runs = text_bytes(column)[1], 0, []
+    while first < len(column):
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most_bytes, "right")) - 1)
+        runs.append((first, last))
+        first = last
+    return runs
+
+
 @dataclass
 class Words:
     """Words of a batch of texts, in order. ``first[i]:first[i + 1]`` are the words of text i."""

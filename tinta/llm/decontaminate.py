@@ -1,6 +1,6 @@
 """Benchmark decontamination with an FM-index per shard of training documents.
 
-A shard is one Arrow batch of documents in a task. Its words become the numbers of the test words; all
+A shard is a run of documents of a bounded size in a task. Its words become the numbers of the test words; all
 other words are one border symbol, for no test phrase holds them, and runs between borders that are shorter
 than the shortest phrase are left out, for no phrase fits in. What stays is indexed, all phrases are searched
 backward at once, their places are found from sampled suffix positions, and overlapping places become removal spans.
@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tinta.llm.byte_words import ALPHANUMERIC, find_words, place_in, text_bytes
+from tinta.llm.byte_words import ALPHANUMERIC, find_words, place_in, runs_of_rows, text_bytes
 from tinta.llm.fm_index import FMIndex
 from tinta.session import cut_lineage
 
@@ -190,8 +190,8 @@ def find_contamination(
 def _one_pass(rows: DataFrame, block) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield _scan(batch, block.value)
+            for first, last in runs_of_rows(batch.column("text")):
+                yield _scan(batch.slice(first, last - first), block.value)
 
     return rows.mapInArrow(scan, rows.schema)
 
@@ -217,21 +217,22 @@ def remove_spans(found: DataFrame) -> DataFrame:
     at = names.index("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept, texts = [], []
-            for row, (text, spans) in enumerate(zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist())):
-                if spans:
-                    raw, begin, pieces = text.encode(), 0, []
-                    for s in spans:
-                        pieces.append(raw[begin : s["first_byte"]])
-                        begin = s["last_byte"] + 1
-                    text = b" ".join([*pieces, raw[begin:]]).decode().strip()
-                    if not len(find_words(pa.array([text], pa.large_string()), ALPHANUMERIC).starts):
-                        continue
-                kept.append(row)
-                texts.append(text)
-            columns = [batch.column(n).take(pa.array(kept, pa.int64())) for n in names]
-            columns[at] = pa.array(texts, columns[at].type)
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+        for whole in batches:
+            for first, last in runs_of_rows(whole.column("text")):
+                batch, kept, texts = whole.slice(first, last - first), [], []
+                for row, (text, spans) in enumerate(zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist())):
+                    if spans:
+                        raw, begin, pieces = text.encode(), 0, []
+                        for s in spans:
+                            pieces.append(raw[begin : s["first_byte"]])
+                            begin = s["last_byte"] + 1
+                        text = b" ".join([*pieces, raw[begin:]]).decode().strip()
+                        if not len(find_words(pa.array([text], pa.large_string()), ALPHANUMERIC).starts):
+                            continue
+                    kept.append(row)
+                    texts.append(text)
+                columns = [batch.column(n).take(pa.array(kept, pa.int64())) for n in names]
+                columns[at] = pa.array(texts, columns[at].type)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return found.mapInArrow(cut, found.select(*names).schema)

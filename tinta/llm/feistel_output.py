@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tinta.llm.byte_words import EXACT_VALUES, span_hashes, text_bytes
+from tinta.llm.byte_words import EXACT_VALUES, runs_of_rows, span_hashes, text_bytes
 from tinta.session import cut_lineage, scratch_path
 
 NULL_ID = -(1 << 63)
@@ -88,7 +88,7 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 class PieceMemo:
     """Token ids of pieces that were met before; it starts anew when it holds ``most`` pieces."""
 
-    def __init__(self, encoding, most: int = 400_000):
+    def __init__(self, encoding, most: int = 200_000):
         self.encoding, self.most = encoding, most
         self._reset()
 
@@ -130,14 +130,11 @@ def encode_texts(data: np.ndarray, offsets: np.ndarray, memo: PieceMemo, end: in
     return tokens, begin
 
 
-def runs_of_texts(column: pa.Array, most_bytes: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """``first text, end, bytes, offsets`` of runs of texts of a bounded size; a longer text is a run alone."""
+def runs_of_texts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``first text, end, bytes, offsets`` of runs of texts of a bounded size."""
     data, offsets = text_bytes(column)
-    first = 0
-    while first < len(column):
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most_bytes, "right")) - 1)
+    for first, last in runs_of_rows(column, 2 << 20):
         yield first, last, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
-        first = last
 
 
 def store_sequences(docs: DataFrame, vocabulary: Vocabulary, layout: Layout) -> DataFrame:

@@ -21,11 +21,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tinta.llm.byte_words import LOWER, text_bytes
+from tinta.llm.byte_words import LOWER, runs_of_rows, text_bytes
 
 UNKNOWN = "und"
 WIDTHS = (2, 3, 4)
-SCAN_WINDOWS = 1024
+SCAN_WINDOWS = 512
 FOLD = LOWER.astype(np.uint8)  # capital letters read as small ones
 
 
@@ -220,7 +220,7 @@ def predict(docs: DataFrame, net: ByteNet | None) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = shared.value.tables()
-        for batch in batches:
+        for batch in (b.slice(first, last - first) for b in batches for first, last in runs_of_rows(b.column("text"))):
             labels, scores = classify(batch.column("text"), shared.value, tables)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(labels, pa.string()), pa.array(scores, pa.float64())], names=target.names

@@ -7,13 +7,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from tinta.llm.byte_words import ALPHANUMERIC, _mix, find_words
+from tinta.llm.byte_words import ALPHANUMERIC, _mix, find_words, runs_of_rows
 
 STEP = 0x9E3779B97F4A7C15
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
     """Per text, the sorted different hashes of its runs of ``size`` words; a shorter text with words is one shingle."""
+    for first, last in runs_of_rows(column):
+        yield from _sets_of_run(column.slice(first, last - first), size)
+
+
+def _sets_of_run(column: pa.Array, size: int) -> Iterator[np.ndarray]:
     words = find_words(column, ALPHANUMERIC)
     hashes, counts = words.hashes(), words.counts.tolist()
     scale = np.array([pow(STEP, k, 1 << 64) for k in range(size)], np.uint64)
