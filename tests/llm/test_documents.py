@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -260,6 +261,39 @@ def test_one_period_meets_all_deadlines():
         assert all(release <= slot < deadline for _, _, slot, release, deadline in rows)
 
 
+def within_a_block(placed, weights):
+    """Deviation of each source with blocks left from the weights that were passed in."""
+    total = sum(map(Fraction, weights.values()))
+    for s, block, slot in {(r["source"], r["block"], r["slot"]) for r in placed}:
+        w = Fraction(weights[s]) / total
+        assert block - 1 < slot * w < block + 1 and math.floor(block / w) <= slot < math.ceil((block + 1) / w)
+
+
+def test_schedules_keep_the_weights_that_are_passed_in():
+    """One large source among many, two of very different weight, and a plain mix far beyond 10,000 slots."""
+    cases = [
+        ({"s0": 0.5, **{f"s{i}": 0.0005 for i in range(1, 1000)}}, 2000), ({"a": 0.9999, "b": 0.0001}, 30_000), ({"a": 0.4, "b": 0.3, "c": 0.2, "d": 0.1}, 40_000),
+    ]
+    for weights, slots in cases:
+        shares, period = mixing.whole_shares(weights, 1)
+        total = sum(map(Fraction, weights.values()))
+        assert all(Fraction(shares[k], period) == Fraction(w) / total for k, w in weights.items())
+        names = list(shares)
+        blocks = [math.ceil(slots * Fraction(weights[k]) / total) for k in names]
+        placed = [{"source": names[i], "block": j, "slot": slot} for i, j, slot, _, _ in mixing.schedule([shares[k] for k in names], period, blocks)]
+        assert len(placed) == sum(blocks)
+        within_a_block(placed, weights)
+
+
+def test_mixing_holds_the_target_weights(spark):
+    sizes = {"big": 900, **{f"s{i}": 3 for i in range(300)}}
+    docs = spark.createDataFrame([(f"{s}-{i}", s) for s, n in sizes.items() for i in range(n)], "doc_id string, source string")
+    weights = {"big": 0.5, **{f"s{i}": 0.5 / 300 for i in range(300)}}
+    placed = mixing.mix(docs, weights, settings=mixing.Mixing(block=1)).collect()
+    assert len(placed) == 1800 == len({r["slot"] for r in placed})
+    within_a_block(placed, weights)
+
+
 @pytest.mark.parametrize("count", [1, 2, 3, 17, 1000, 4097])
 def test_feistel_is_a_bijection(count):
     image = feistel_output.feistel(np.arange(count), count, key=99)

@@ -2,16 +2,15 @@
 
 Every source is cut into blocks of documents. With weight ``w``, its block ``j`` (from 0) is released at slot
 ``floor(j / w)`` and due at ``ceil((j + 1) / w)``; each slot goes to the released block with the earliest deadline. Weights are
-rounded to ``a / period``, so a whole period hands out exactly ``a`` blocks and the schedule repeats: one period is
-worked out (its length follows from the number of weights alone), and the slot of any block is arithmetic.
-Up to any slot a source has had its share give or take less than one block. When a source has no block left, its slots fall out
-and the others keep their proportions; every document is placed once.
+taken as exact fractions of their sum and nothing is rounded, so each block of the input keeps its window, and up to any
+slot a source with blocks left has had its share give or take less than one block. When a source has no block left, its slots fall
+out and the others keep their proportions; every document is placed once.
 
 Documents are dealt to blocks in the order of a seeded digest. They are numbered without a window over a whole source: digests
 are cut into buckets of bounded size, bucket sizes are added up, and rows are numbered inside their bucket. Only rows
 equal in every column share a digest.
 
-Defined results: NULL is a source of its own; sources without a weight get the smallest weight given; empty tables give no rows;
+Defined results: NULL is a source of its own; sources without a weight get the smallest weight given; weights must be positive; empty tables give no rows;
 repeated rows stay. Other columns are kept; ``block``, ``in_block``, ``slot``, ``release`` and ``deadline`` are replaced if they exist.
 """
 
@@ -19,7 +18,9 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -40,31 +41,42 @@ class Mixing:
 
 
 def whole_shares(weights: dict, least_period: int) -> tuple[dict, int]:
-    """Integers ``a`` of at least 1 with sum ``period`` that are closest to the weights (largest remainders)."""
-    period = max(least_period, 1 << math.ceil(math.log2(16 * len(weights))))
-    total = sum(weights.values())
-    exact = {k: 1 + w / total * (period - len(weights)) for k, w in weights.items()}
-    shares = {k: math.floor(x) for k, x in exact.items()}
-    rest = sorted(weights, key=lambda k: (shares[k] - exact[k], k is not None, str(k)))
-    for k in rest[: period - sum(shares.values())]:
-        shares[k] += 1
-    return shares, period
+    """Integers in exactly the proportions of the weights, and their sum, the period, of at least ``least_period``."""
+    exact = {k: Fraction(w) for k, w in weights.items()}
+    if min(exact.values()) <= 0:
+        raise ValueError("weights must be positive")
+    unit = math.lcm(*{w.denominator for w in exact.values()})
+    whole = {k: w.numerator * (unit // w.denominator) for k, w in exact.items()}
+    common = math.gcd(*whole.values())
+    times = -(-least_period // (sum(whole.values()) // common))
+    shares = {k: a // common * times for k, a in whole.items()}
+    return shares, sum(shares.values())
+
+
+def schedule(shares: list[int], period: int, blocks: list[int]) -> Iterator[tuple]:
+    """``source, j, slot, release, deadline`` of all blocks, by slot: earliest deadline first among the released. Sources
+    are numbers; slots for which no block is released are passed over."""
+    ready = sorted((-(-period // a), i, 0) for i, (a, n) in enumerate(zip(shares, blocks)) if n)
+    later: list[tuple] = []  # the next blocks of sources, by release
+    slot = 0
+    while ready or later:
+        if not ready:
+            slot = max(slot, later[0][0])
+        while later and later[0][0] <= slot:
+            _, i, j = heapq.heappop(later)
+            heapq.heappush(ready, (-(-(j + 1) * period // shares[i]), i, j))
+        deadline, i, j = heapq.heappop(ready)
+        yield i, j, slot, j * period // shares[i], deadline
+        if j + 1 < blocks[i]:
+            heapq.heappush(later, ((j + 1) * period // shares[i], i, j + 1))
+        slot += 1
 
 
 def one_period(shares: dict, period: int) -> list[tuple]:
-    """``source, j, slot, release, deadline`` of all blocks of a period: earliest deadline first among the released."""
-    arriving: list[list] = [[] for _ in range(period)]
-    for rank, (source, a) in enumerate(sorted(shares.items(), key=lambda x: (x[0] is not None, x[0] or ""))):
-        for j in range(a):
-            release, deadline = j * period // a, -(-(j + 1) * period // a)
-            arriving[release].append((deadline, rank, j, source, release))
-    ready, rows = [], []
-    for slot in range(period):
-        for block in arriving[slot]:
-            heapq.heappush(ready, block)
-        deadline, _, j, source, release = heapq.heappop(ready)
-        rows.append((source, j, slot, release, deadline))
-    return rows
+    """The schedule of sources with as many blocks as their shares."""
+    names = sorted(shares, key=lambda x: (x is not None, x or ""))
+    own = [shares[x] for x in names]
+    return [(names[i], *rest) for i, *rest in schedule(own, period, own)]
 
 
 def source_sizes(docs: DataFrame, source: str, most: int) -> list[tuple]:
@@ -97,6 +109,9 @@ def mix(docs: DataFrame, weights: dict | None = None, source: str = "source", se
     if rows > sum(n for _, n in sizes):
         by_class[0] = least
     shares, period = whole_shares(by_class, settings.least_period)
+    blocks = {numbers[s]: -(-n // settings.block) for s, n in sizes}
+    blocks[0] = -(-(rows - sum(n for _, n in sizes)) // settings.block)
+    order = list(shares)
     spark = docs.sparkSession
     kind = docs.schema[source].dataType.simpleString()
     classes = F.broadcast(spark.createDataFrame(list(numbers.items()), f"_name {kind}, {MIX_CLASS} bigint"))  # at most most_sources rows
@@ -104,17 +119,11 @@ def mix(docs: DataFrame, weights: dict | None = None, source: str = "source", se
     classed = classed.withColumn(MIX_CLASS, F.coalesce(MIX_CLASS, F.lit(0)))
     numbered = number_rows(classed, rows, settings)
     table = spark.createDataFrame(
-        [(c, j, slot, release, deadline, shares[c]) for c, j, slot, release, deadline in one_period(shares, period)],
-        f"{MIX_CLASS} bigint, _j bigint, _slot bigint, _release bigint, _deadline bigint, _a bigint",
+        [(order[i], *rest) for i, *rest in schedule([shares[c] for c in order], period, [blocks[c] for c in order])],
+        f"{MIX_CLASS} bigint, block bigint, slot bigint, release bigint, deadline bigint",
     )
-    share = F.broadcast(table.select(MIX_CLASS, "_a").distinct())  # one row per class
-    placed = numbered.join(share, MIX_CLASS).withColumns(
-        {"block": F.floor(F.col("_row") / settings.block), "in_block": F.col("_row") % settings.block}
-    )
-    placed = placed.withColumns({"_j": F.col("block") % F.col("_a"), "_round": F.floor(F.col("block") / F.col("_a"))})
-    placed = placed.join(F.broadcast(table.drop("_a")), [MIX_CLASS, "_j"])  # one row per slot of a period
-    at = {c: (F.col("_round") * period + F.col(f"_{c}")).cast("bigint") for c in ("slot", "release", "deadline")}
-    return placed.withColumns(at).select(*docs.columns, *ADDED)
+    placed = numbered.withColumns({"block": F.floor(F.col("_row") / settings.block), "in_block": F.col("_row") % settings.block})
+    return placed.join(table, [MIX_CLASS, "block"]).select(*docs.columns, *ADDED)
 
 
 def number_rows(classed: DataFrame, rows: int, settings: Mixing) -> DataFrame:
