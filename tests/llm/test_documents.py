@@ -294,6 +294,20 @@ def test_mixing_holds_the_target_weights(spark):
     within_a_block(placed, weights)
 
 
+def test_mixing_gives_every_source_its_weight(spark):
+    """More sources than ``most_sources``: each keeps the weight passed for it, also the smallest and NULL."""
+    sizes = {"big": 200, None: 4, **{f"s{i}": 2 + i % 3 for i in range(60)}}
+    docs = spark.createDataFrame([(i, s) for s, n in sizes.items() for i in range(n)], "doc_id bigint, source string")
+    weights = {"big": 3, None: 0.25, **{f"s{i}": 0.01 * (1 + i % 7) for i in range(60)}}
+    for most in (4, 1 << 16):
+        settings = mixing.Mixing(block=1, most_sources=most)
+        placed = mixing.mix(docs, weights, settings=settings).collect()
+        assert Counter(r["source"] for r in placed) == sizes and len({r["slot"] for r in placed}) == docs.count()
+        within_a_block(placed, weights)
+    natural = mixing.mix(docs, power=1.0, settings=mixing.Mixing(block=1, most_sources=4)).collect()
+    within_a_block(natural, sizes)
+
+
 @pytest.mark.parametrize("count", [1, 2, 3, 17, 1000, 4097])
 def test_feistel_is_a_bijection(count):
     image = feistel_output.feistel(np.arange(count), count, key=99)

@@ -6,6 +6,8 @@ taken as exact fractions of their sum and nothing is rounded, so each block of t
 slot a source with blocks left has had its share give or take less than one block. When a source has no block left, its slots fall
 out and the others keep their proportions; every document is placed once.
 
+Every source has its own weight, however many there are: sizes, weights and blocks are tables, joined by source.
+
 Documents are dealt to blocks in the order of a seeded digest. They are numbered without a window over a whole source: digests
 are cut into buckets of bounded size, bucket sizes are added up, and rows are numbered inside their bucket. Only rows
 equal in every column share a digest.
@@ -17,21 +19,24 @@ repeated rows stay. Other columns are kept; ``block``, ``in_block``, ``slot``, `
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tinta.session import cut_lineage
+
 ADDED = ("block", "in_block", "slot", "release", "deadline")
-MIX_CLASS = "_mix_class"
 
 
 @dataclass(frozen=True)
 class Mixing:
-    """``block``: documents of a block. ``most_sources``: sources with a weight of their own, by size; the
-    others are mixed as one source with the sum of their weights. ``bucket``: rows numbered together, about."""
+    """``block``: documents of a block. ``most_sources``: a schedule of at most so many sources, and of at most 16 blocks for
+    each of so many, is sent to every task; a larger one is joined by a shuffle. ``bucket``: rows numbered together, about."""
 
     block: int = 16
     most_sources: int = 1 << 16
@@ -79,15 +84,42 @@ def one_period(shares: dict, period: int) -> list[tuple]:
     return [(names[i], *rest) for i, *rest in schedule(own, period, own)]
 
 
-def source_sizes(docs: DataFrame, source: str, most: int) -> list[tuple]:
-    """The largest sources with their rows, at most ``most``."""
-    counts = docs.groupBy(source).count().orderBy(F.desc("count"), F.asc_nulls_first(source)).limit(most)
-    return [(r[0], r[1]) for r in counts.collect()]
-
+def source_weights(docs: DataFrame, source: str, weights: dict | None, power: float) -> DataFrame:
+    """``_source, _n, _weight``: every source with its rows and its weight, as the text of a fraction.
 
-def tempered_weights(sizes: list[tuple], power: float) -> dict:
-    """Weights in proportion to a power of the sizes: 1 keeps the natural mix, 0 is an even one."""
-    return {source: size**power for source, size in sizes}
+    Without ``weights`` they are in proportion to a power of the sizes: 1 keeps the natural mix, 0 is an even one.
+    """
+    sizes = docs.groupBy(F.col(source).alias("_source")).agg(F.count("*").alias("_n"))
+    if weights is None:
+        return sizes.withColumn("_weight", F.pow("_n", F.lit(float(power))).cast("string"))
+    given = {k: Fraction(w) for k, w in weights.items()}
+    kind = docs.schema[source].dataType.simpleString()
+    named = docs.sparkSession.createDataFrame([(k, str(w)) for k, w in given.items()], f"_name {kind}, _given string")
+    found = sizes.join(named, sizes["_source"].eqNullSafe(named["_name"]), "left")
+    return found.select("_source", "_n", F.coalesce("_given", F.lit(str(min(given.values())))).alias("_weight"))
+
+
+def block_schedule(sizes: DataFrame, settings: Mixing) -> DataFrame:
+    """``_source, _block, _slot, _release, _deadline`` of all blocks. The order of blocks is worked out in one task, which
+    holds one row per source and passes blocks on as they come."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches) if (batches := list(batches)) else None
+        if table is None or not table.num_rows:
+            return
+        sources = table.column("_source").combine_chunks()
+        shares, period = whole_shares(dict(enumerate(table.column("_weight").to_pylist())), settings.least_period)
+        blocks = [-(-n // settings.block) for n in table.column("_n").to_pylist()]
+        rows = schedule(list(shares.values()), period, blocks)
+        while part := list(itertools.islice(rows, 1 << 14)):
+            which, *numbers = zip(*part)
+            yield pa.RecordBatch.from_arrays(
+                [sources.take(pa.array(which)), *(pa.array(x, pa.int64()) for x in numbers)], names=["_source", "_block", "_slot", "_release", "_deadline"]
+            )
+
+    kind = sizes.schema["_source"].dataType.simpleString()
+    alone = sizes.repartition(1).sortWithinPartitions(F.asc_nulls_first("_source"))
+    return alone.mapInArrow(place, f"_source {kind}, _block bigint, _slot bigint, _release bigint, _deadline bigint")
 
 
 def mix(docs: DataFrame, weights: dict | None = None, source: str = "source", settings: Mixing = Mixing(), power: float = 0.5) -> DataFrame:
@@ -96,47 +128,30 @@ def mix(docs: DataFrame, weights: dict | None = None, source: str = "source", se
     Without ``weights`` (source to weight) the sizes to the given power are taken.
     """
     docs = docs.drop(*ADDED)
-    sizes = source_sizes(docs, source, settings.most_sources)
-    if not sizes:
-        return docs.withColumns({c: F.lit(None).cast("bigint") for c in ADDED})
-    rows = docs.count()
-    given = tempered_weights(sizes, power) if weights is None else weights
-    least = min(given.values())
-    # every source with a weight of its own has a class; class 0 holds the others, if there are any
-    named = {s: given.get(s, least) for s, _ in sizes}
-    numbers = {s: i + 1 for i, s in enumerate(named)}
-    by_class = {numbers[s]: w for s, w in named.items()}
-    if rows > sum(n for _, n in sizes):
-        by_class[0] = least
-    shares, period = whole_shares(by_class, settings.least_period)
-    blocks = {numbers[s]: -(-n // settings.block) for s, n in sizes}
-    blocks[0] = -(-(rows - sum(n for _, n in sizes)) // settings.block)
-    order = list(shares)
-    spark = docs.sparkSession
-    kind = docs.schema[source].dataType.simpleString()
-    classes = F.broadcast(spark.createDataFrame(list(numbers.items()), f"_name {kind}, {MIX_CLASS} bigint"))  # at most most_sources rows
-    classed = docs.join(classes, docs[source].eqNullSafe(classes["_name"]), "left").drop("_name")
-    classed = classed.withColumn(MIX_CLASS, F.coalesce(MIX_CLASS, F.lit(0)))
-    numbered = number_rows(classed, rows, settings)
-    table = spark.createDataFrame(
-        [(order[i], *rest) for i, *rest in schedule([shares[c] for c in order], period, [blocks[c] for c in order])],
-        f"{MIX_CLASS} bigint, block bigint, slot bigint, release bigint, deadline bigint",
-    )
-    placed = numbered.withColumns({"block": F.floor(F.col("_row") / settings.block), "in_block": F.col("_row") % settings.block})
-    return placed.join(table, [MIX_CLASS, "block"]).select(*docs.columns, *ADDED)
-
-
-def number_rows(classed: DataFrame, rows: int, settings: Mixing) -> DataFrame:
-    """``_row``: place of a row in its class, from 0, in the order of a digest of the whole row."""
+    sizes = cut_lineage(source_weights(docs, source, weights, power))
+    count = sizes.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.sum(F.ceil(F.col("_n") / settings.block)), F.lit(0)))
+    sources, rows, blocks = count.first()
+    table = cut_lineage(block_schedule(sizes, settings))
+    if sources <= settings.most_sources and blocks <= 16 * settings.most_sources:
+        table = F.broadcast(table)
+    numbered = number_rows(docs, source, rows, settings)
+    numbered = numbered.withColumns({"block": F.floor(F.col("_row") / settings.block), "in_block": F.col("_row") % settings.block})
+    placed = numbered.join(table, numbered[source].eqNullSafe(table["_source"]) & (F.col("block") == F.col("_block")))
+    return placed.withColumns({c: F.col(f"_{c}") for c in ADDED[2:]}).select(*docs.columns, *ADDED)
+
+
+def number_rows(docs: DataFrame, source: str, rows: int, settings: Mixing) -> DataFrame:
+    """``_row``: place of a row in its source, from 0, in the order of a digest of the whole row."""
     bits = min(40, max(0, math.ceil(math.log2(max(1, rows / settings.bucket)))))
-    digest = F.xxhash64(F.lit(settings.seed), *[F.col(c) for c in classed.columns])
-    keyed = classed.withColumn("_digest", digest).withColumn("_bucket", F.shiftrightunsigned("_digest", 64 - bits) if bits else F.lit(0).cast("bigint"))
-    sizes = keyed.groupBy(MIX_CLASS, "_bucket").count()
-    before = Window.partitionBy(MIX_CLASS).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(MIX_CLASS, "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy(MIX_CLASS, "_bucket").orderBy("_digest")
+    digest = F.xxhash64(F.lit(settings.seed), *[F.col(c) for c in docs.columns])
+    keyed = docs.withColumn("_digest", digest).withColumn("_bucket", F.shiftrightunsigned("_digest", 64 - bits) if bits else F.lit(0).cast("bigint"))
+    sizes = keyed.groupBy(F.col(source).alias("_name"), F.col("_bucket").alias("_at")).count()
+    before = Window.partitionBy("_name").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_name", "_at", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy(source, "_bucket").orderBy("_digest")
     numbered = keyed.withColumn("_in", F.row_number().over(inside) - 1)
-    return numbered.join(starts, [MIX_CLASS, "_bucket"]).withColumn("_row", F.col("_start") + F.col("_in"))
+    found = numbered.join(starts, numbered[source].eqNullSafe(starts["_name"]) & (F.col("_bucket") == F.col("_at")))
+    return found.withColumn("_row", F.col("_start") + F.col("_in"))
 
 
 def in_training_order(mixed: DataFrame) -> DataFrame:
