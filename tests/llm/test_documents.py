@@ -194,6 +194,22 @@ def test_license_scan(spark, documents, none):
     assert license_scan.license_scan(none).count() == 0
 
 
+def test_license_scan_of_files_with_many_licences(spark):
+    """All templates in one file among files that hold parts of them, and a word before every line."""
+    texts = {name: text for name, (text, _) in license_scan.TEMPLATES.items()}
+    lines = lambda text, phrases: re.sub("|".join(map(re.escape, phrases)), lambda m: "\nrem " + m[0] + "\nrem ", " ".join(words(text)))
+    marked = {name: "rem " + lines(text, phrases) for name, (text, phrases) in license_scan.TEMPLATES.items() if len(words(text)) > 30}
+    every = " and then ".join(texts.values())
+    rows = [(0, every), *[(i, text) for i, text in enumerate(marked.values(), 1)], *[(100 + i, " ".join(words(t)[: 5 + i % 40])) for i, t in enumerate([*texts.values()] * 20)]]
+    found = {r["doc_id"]: r for r in license_scan.license_scan(spark.createDataFrame(rows, "doc_id bigint, text string")).where("doc_id < 100").collect()}
+    assert {m["template"] for m in found[0]["matches"]} == set(texts) and found[0]["labels"] == ",".join(sorted(set(texts) | set(filter(None, found[0]["base_labels"].split(",")))))
+    starts = {m["template"]: m["start"] for m in found[0]["matches"]}
+    for name, text in texts.items():
+        w = words(every)
+        assert w[starts[name] : starts[name] + len(words(text))] == words(text)
+    assert len(marked) > 3 and all(name in found[i]["labels"].split(",") for i, name in enumerate(marked, 1))
+
+
 def truth_ids(spark):
     return {r["doc_id"] for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id").collect()}
 

@@ -2,8 +2,9 @@
 
 1. Words of all files are counted by the files that hold them, for the words of the templates.
 2. The index keeps, per template, its words of highest IDF with their positions.
-3. Each file looks up its own licence words of highest IDF. A word at place ``p`` of the file and ``q`` of a template
-   votes for the alignment ``p - q``; alignments that hold a set share of the template's indexed words stay.
+3. Each file looks up every indexed word that it holds. A word at place ``p`` of the file and ``q`` of a template
+   votes for the alignment ``p - q``; alignments that hold a set share of the template's indexed words, together with
+   those a few words off, stay.
 4. An alignment counts if each mandatory phrase of the template stands at its place, give or take a few words.
 
 Base labels come from fixed phrases wherever they stand and need no template.
@@ -18,7 +19,7 @@ import math
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Public licence passages and the phrases that a match must hold.
 TEMPLATES = {
@@ -78,11 +79,10 @@ WORD_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 @dataclass(frozen=True)
 class ScanSettings:
     """``template_words``: indexed words per template at most, and never more than half of its words (but three).
-    ``file_words``: words a file looks up. ``min_share``: share of indexed words an alignment must hold.
-    ``slack``: words by which a phrase may be off its place."""
+    ``min_share``: share of indexed words an alignment must hold. ``slack``: words by which indexed words and phrases may be off
+    their places."""
 
     template_words: int = 12
-    file_words: int = 48
     min_share: float = 0.5
     slack: int = 4
 
@@ -157,20 +157,26 @@ def template_matches(docs: DataFrame, templates: dict, settings: ScanSettings) -
     index = spark.createDataFrame(postings, "word string, template string, place int")
     sizes = {name: len({place for _, n, place in postings if n == name}) for name in templates}
     files = with_words(docs.select("text", row_key().alias("key")), "key")
-    rarest = F.slice(F.array_intersect(F.array(*[F.lit(w) for w in ranked]), F.col("words")), 1, settings.file_words)
-    files = files.withColumn("rarest", rarest).where(F.size("rarest") > 0)
+    files = files.withColumn("indexed", F.array_intersect(F.array(*[F.lit(w) for w in ranked]), F.col("words"))).where(F.size("indexed") > 0)
     at = F.filter(
-        F.transform("words", lambda w, i: F.when(F.array_contains("rarest", w), F.struct(i.alias("at"), w.alias("word")))),
+        F.transform("words", lambda w, i: F.when(F.array_contains("indexed", w), F.struct(i.alias("at"), w.alias("word")))),
         lambda x: x.isNotNull(),
     )
     votes = files.select("key", F.inline(at)).join(F.broadcast(index), "word")  # the index is a few hundred rows by its settings
-    aligned = votes.groupBy("key", "template", (F.col("at") - F.col("place")).alias("start")).agg(F.countDistinct("place").alias("held"))
+    # dealt by file and template at once, so that sums and the neighbours of a start need no other shuffle
+    votes = votes.select("key", "template", (F.col("at") - F.col("place")).alias("start"), "place").repartition("key", "template")
+    near = Window.partitionBy("key", "template").orderBy("start").rangeBetween(-settings.slack, settings.slack)
+    aligned = votes.groupBy("key", "template", "start").agg(F.collect_set("place").alias("places"))
+    aligned = aligned.withColumn("held", F.size(F.array_distinct(F.flatten(F.collect_list("places").over(near)))))
     size = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])[F.col("template")]
     aligned = aligned.withColumn("share", F.col("held") / size).where(F.col("share") >= settings.min_share)
-    candidates = aligned.groupBy("key").agg(F.collect_set(F.struct("template", "start", "share")).alias("candidates"))
+    candidates = aligned.groupBy("key").agg(F.collect_set(F.struct("template", "start", "share", F.size("places").alias("own"))).alias("candidates"))
     held = files.select("key", "words").join(candidates, "key").dropDuplicates(["key"])
     checked = F.filter("candidates", lambda c: phrases_stand(F.col("words"), c["template"], c["start"], templates, settings.slack))
-    return held.select("key", F.inline(checked))
+    # of starts a few words apart, the best one
+    rank = F.struct("share", "own", -F.col("start"))
+    found = held.select("key", F.inline(checked)).withColumn("best", F.max(rank).over(near))
+    return found.where(F.col("best") == rank).select("key", "template", "start", "share")
 
 
 def phrases_stand(words: Column, template: Column, start: Column, templates: dict, slack: int) -> Column:
