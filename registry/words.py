@@ -18,15 +18,23 @@ from tinta.sources.corpus import load, read_chunks_jsonl, read_report, read_sent
 from tinta.streaming import corpus_stream as st
 
 # Two word-vector tables are read off the corpus and the embeddings: of n vectors, word number i of the
-# vocabulary gets vector i % n in the first and vector (i + 100) % n in the second.
+# vocabulary gets vector i % n in the first and vector (i + 100) % n in the second. One word in ten has no vector, other ones in each table.
 WORDS = lambda: f"""
     {CLEAN_CTE()},
     vocab AS MATERIALIZED (SELECT token AS word, n, row_number() OVER (ORDER BY n DESC, token) - 1 AS idx FROM counts),
     many AS (SELECT count(*) AS n FROM embeddings),
     first AS MATERIALIZED (SELECT word, idx, vocab.n AS count, embedding::DOUBLE[] AS vector, vec_id
-        FROM vocab JOIN embeddings ON vec_id = idx % (SELECT n FROM many)),
+        FROM vocab JOIN embeddings ON vec_id = idx % (SELECT n FROM many) WHERE idx % 10 <> 7),
     second AS MATERIALIZED (SELECT word, idx, vocab.n AS count, embedding::DOUBLE[] AS vector, vec_id
-        FROM vocab JOIN embeddings ON vec_id = (idx + 100) % (SELECT n FROM many)),
+        FROM vocab JOIN embeddings ON vec_id = (idx + 100) % (SELECT n FROM many) WHERE idx % 10 <> 3)
+"""
+
+# Words to ask: the frequent ones, and every word of the test items and conversations, in the vocabulary or not.
+ASKED = lambda: f"""
+    asked AS MATERIALIZED (SELECT word FROM vocab WHERE n >= 5 UNION
+        SELECT unnest({clean('text')}) FROM (SELECT text FROM benchmark UNION ALL SELECT text FROM conversations))
+"""
+ALIKE = """
     alike AS MATERIALIZED (SELECT x, y, score FROM (
         SELECT a.vec_id AS x, b.vec_id AS y, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9)
             AS score, rank() OVER (PARTITION BY a.vec_id ORDER BY
@@ -35,17 +43,24 @@ WORDS = lambda: f"""
 """
 
 
-def word_table(spark, folder, shift=0):
+def word_table(spark, folder, shift=0, without=7):
     vocabulary = wv.vocabulary_index(cs.token_counts(clean_documents(spark, folder)))
     vectors = load(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
     number = (F.col("idx") + shift) % vectors.count()
+    vocabulary = vocabulary.where(F.col("idx") % 10 != without)
     # the table is read several times by most operators, so it is built once, as one would store it
     return cut_lineage(vocabulary.join(vectors, number == F.col("vec_id")).select("word", "idx", "count", "vector"))
 
 
+def second_table(spark, folder):
+    return word_table(spark, folder, 100, 3)
+
+
 def query_words(spark, folder):
-    frequent = cs.vocabulary(clean_documents(spark, folder))
-    return frequent.select(F.col("token").alias("word"))
+    frequent = cs.vocabulary(clean_documents(spark, folder)).select(F.col("token").alias("word"))
+    texts = load(spark, folder, "benchmark").select("text").unionByName(load(spark, folder, "conversations").select("text"))
+    others = cs.clean_corpus(texts, stopwords(), min_tokens=1).select(F.explode("tokens").alias("word"))
+    return frequent.unionByName(others).distinct()
 
 
 @query("vocabulary_index", lambda: f"WITH {WORDS()} SELECT word, idx, n AS count FROM vocab")
@@ -66,7 +81,7 @@ def run_index(spark, folder):
 def run_vocab_stats(spark, folder):
     return wr.vocabulary_stats_table(
         wv.vocabulary_stats(word_table(spark, folder), "Word2Vec"),
-        wv.vocabulary_stats(word_table(spark, folder, 100), "FastText", 130),
+        wv.vocabulary_stats(second_table(spark, folder), "FastText", 130),
     )
 
 
@@ -105,7 +120,7 @@ def _similar_sql(table: str, asked: str, model: str) -> str:
     WHERE word NOT IN (SELECT word FROM {table})"""
 
 
-SIMILAR_SQL = lambda: f"""WITH {WORDS()}, asked AS (SELECT word FROM vocab WHERE n >= 5)
+SIMILAR_SQL = lambda: f"""WITH {WORDS()}, {ALIKE}, {ASKED()}
     {_similar_sql('first', 'asked', 'Word2Vec')}"""
 
 
@@ -130,14 +145,13 @@ def run_blocks(spark, folder):
 
 @query(
     "similarity_report",
-    lambda: f"""WITH {WORDS()}, asked AS (SELECT word FROM vocab JOIN first USING (word) JOIN second USING (word)
-        WHERE n >= 5)
-    {_similar_sql('first', 'asked', 'Word2Vec')} UNION ALL {_similar_sql('second', 'asked', 'FastText')}""",
+    lambda: f"""WITH {WORDS()}, {ALIKE}, {ASKED()}, both_know AS (SELECT word FROM asked JOIN first USING (word) JOIN second USING (word))
+    {_similar_sql('first', 'both_know', 'Word2Vec')} UNION ALL {_similar_sql('second', 'both_know', 'FastText')}""",
 )
 def run_similarity_report(spark, folder):
     report = wv.similarity_report(
         word_table(spark, folder),
-        word_table(spark, folder, 100),
+        second_table(spark, folder),
         query_words(spark, folder),
         ("Word2Vec", "FastText"),
     )
@@ -152,7 +166,7 @@ def run_common(spark, folder):
     return wv.common_words(
         query_words(spark, folder).union(word_table(spark, folder).select("word")).distinct(),
         word_table(spark, folder),
-        word_table(spark, folder, 100),
+        second_table(spark, folder),
     )
 
 
@@ -172,7 +186,7 @@ _NO_DIGIT = r"NOT regexp_matches(word, '\p{Nd}')"
     ORDER BY priority, place LIMIT 5""",
 )
 def run_default_words(spark, folder):
-    return wv.default_words(word_table(spark, folder), word_table(spark, folder, 100))
+    return wv.default_words(word_table(spark, folder), second_table(spark, folder))
 
 
 DISPLAY = f"""
@@ -230,30 +244,29 @@ def run_ngrams(spark, folder):
 
 @query(
     "oov_neighbours",
-    lambda: f"""WITH {WORDS()}, asked AS (SELECT word FROM vocab WHERE n >= 5),
+    lambda: f"""WITH {WORDS()}, {ALIKE}, {ASKED()},
     {GRAMS.format(words='(SELECT word FROM first UNION SELECT word FROM asked)')},
-    gram_list AS (SELECT DISTINCT word, ngram FROM grams
-        WHERE ngram IN (SELECT ngram FROM grams WHERE word NOT IN (SELECT word FROM first))),
+    unseen AS MATERIALIZED (SELECT word FROM asked ANTI JOIN first USING (word)),
+    wanted AS MATERIALIZED (SELECT DISTINCT ngram FROM grams SEMI JOIN unseen USING (word)),
+    gram_list AS MATERIALIZED (SELECT DISTINCT word, ngram FROM grams SEMI JOIN wanted USING (ngram)),
     dims AS (SELECT unnest(range(1, 65)) AS d),
-    gram_cells AS (SELECT ngram, d, avg(vector[d]) AS x FROM gram_list JOIN first USING (word), dims GROUP BY 1, 2),
-    gram_vectors AS (SELECT ngram, list(x ORDER BY d) AS vector FROM gram_cells GROUP BY 1),
-    unseen AS (SELECT word FROM asked WHERE word NOT IN (SELECT word FROM first)),
-    unseen_cells AS (SELECT word, d, avg(vector[d]) AS x FROM unseen JOIN gram_list USING (word)
-        JOIN gram_vectors USING (ngram), dims GROUP BY 1, 2),
-    unseen_vectors AS (SELECT word, list(x ORDER BY d) AS vector FROM unseen_cells GROUP BY 1),
-    queries AS (SELECT word, vector, true AS explicit FROM first JOIN asked USING (word)
-        UNION ALL SELECT word, vector, false FROM unseen_vectors),
+    uses AS (SELECT ngram, vec_id, count(*) AS n FROM gram_list JOIN first USING (word) GROUP BY 1, 2),
+    gram_cells AS MATERIALIZED (SELECT ngram, d, sum(n * embedding[d]::DOUBLE) / sum(n) AS x FROM uses JOIN embeddings USING (vec_id), dims GROUP BY 1, 2),
+    unseen_cells AS (SELECT word, d, avg(x) AS x FROM unseen JOIN gram_list USING (word) JOIN gram_cells USING (ngram) GROUP BY 1, 2),
+    unseen_vectors AS MATERIALIZED (SELECT word, list(x ORDER BY d) AS vector FROM unseen_cells GROUP BY 1),
+    near AS (SELECT word, vec_id, score FROM (SELECT word, vec_id, round(list_cosine_similarity(vector, embedding::DOUBLE[]), 9) AS score
+        FROM unseen_vectors, embeddings SEMI JOIN first USING (vec_id))
+        QUALIFY rank() OVER (PARTITION BY word ORDER BY score DESC) <= 10),
     ranked AS (SELECT a.word, true AS explicit, b.word AS other, score,
         row_number() OVER (PARTITION BY a.word ORDER BY score DESC, b.word) AS ranking
         FROM first a JOIN asked USING (word) JOIN alike ON x = a.vec_id
         JOIN {FEW.format(table="first")} b ON y = b.vec_id AND a.word <> b.word
-        UNION ALL SELECT q.word, explicit, f.word, round(list_cosine_similarity(q.vector, f.vector), 9),
-        row_number() OVER (PARTITION BY q.word ORDER BY round(list_cosine_similarity(q.vector, f.vector), 9) DESC, f.word)
-        FROM (SELECT * FROM queries WHERE NOT explicit) q, first f WHERE q.word <> f.word)
+        UNION ALL SELECT near.word, false, b.word, score, row_number() OVER (PARTITION BY near.word ORDER BY score DESC, b.word)
+        FROM near JOIN {FEW.format(table="first")} b USING (vec_id))
     SELECT 'FastText' AS modelo, word AS palabra_oov, explicit AS esta_en_vocabulario_explicito,
         other AS palabra_similar, score, ranking, 'ok' AS estado FROM ranked WHERE ranking <= 10
-    UNION ALL SELECT 'FastText', word, false, NULL, NULL, NULL, 'error: no known n-gram' FROM asked
-    WHERE word NOT IN (SELECT word FROM queries)""",
+    UNION ALL SELECT 'FastText', word, false, NULL, NULL, NULL, 'error: no known n-gram' FROM unseen
+    WHERE word NOT IN (SELECT word FROM unseen_vectors)""",
 )
 def run_oov(spark, folder):
     table = word_table(spark, folder)
@@ -279,8 +292,8 @@ def run_subword_training(spark, folder):
 @query("word_coordinates")
 def run_word_coordinates(spark, folder):
     parts = []
-    for name, shift in (("word2vec", 0), ("fasttext", 100)):
-        table = word_table(spark, folder, shift)
+    for name, build in (("word2vec", word_table), ("fasttext", second_table)):
+        table = build(spark, folder)
         rows = wv.vectors_of(wv.display_words(table), table)
         parts.append(rows.withColumn("model_name", F.lit(name)))
     return pr.word_coordinates(parts[0].unionByName(parts[1]), "documents")

@@ -36,6 +36,43 @@ def test_nearest_equals_brute_force_on_both_paths(spark):
         assert found == expected
 
 
+def test_blocks_far_from_the_queries_are_not_compared(spark, monkeypatch):
+    """Clusters, copies, opposite and zero vectors in small blocks: equal to brute force, with most pairs of tile and block skipped."""
+    monkeypatch.setattr(nb, "BLOCK_NUMBERS", 160)
+    monkeypatch.setattr(nb, "TILE_QUERIES", 16)
+    monkeypatch.setattr(nb, "TILES_AT_ONCE", 4)
+    paired = []
+    original = nb._met
+    monkeypatch.setattr(nb, "_met", lambda tiles, blocks, pairs, *rest: (paired.append((pairs.count(), tiles.count() * blocks.count())), original(tiles, blocks, pairs, *rest))[1])
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(40, 8))
+    matrix = (centres[rng.integers(0, 40, 2400)] + rng.normal(size=(2400, 8)) * 0.02).astype(np.float32)
+    matrix[100:130], matrix[200], matrix[300] = matrix[5], 0, -matrix[301]
+    ids = [f"w{i:05d}" for i in rng.permutation(2400)]
+    df = spark.createDataFrame(list(zip(ids, matrix.tolist())), "id string, v array<float>").repartition(6)
+    asked = df.where("substr(id, 6, 1) = '0'").union(spark.createDataFrame([("new", centres[3].astype(np.float32).tolist()), ("none", None)], df.schema))
+    found: dict = {}
+    for r in nb.nearest(df, asked, 5, "id", "v", max_shared_numbers=0).collect():
+        found.setdefault(r.query_id, {})[r.ranking] = (r.neighbour_id, r.score)
+    units, place = nb.unit_rows(list(matrix)), {w: i for i, w in enumerate(ids)}
+    assert set(found) == {w for w in ids if w[-1] == "0"} | {"new"}
+    for word, hits in found.items():
+        query = units[place[word]] if word != "new" else nb.unit_rows([centres[3].astype(np.float32)])[0]
+        scores = np.round(units @ query, 9)
+        best = sorted((i for i in range(2400) if ids[i] != word), key=lambda i: (-scores[i], ids[i]))[:5]
+        assert [hits[k + 1][0] for k in range(5)] == [ids[i] for i in best]
+        assert [hits[k + 1][1] for k in range(5)] == pytest.approx([scores[i] for i in best], abs=2e-9)
+    (_, _), (met, every) = paired
+    assert met < every / 3, (met, every)
+
+
+def test_a_vector_that_most_ids_share_is_one_class(spark):
+    df = spark.range(3000).select(F.format_string("w%04d", "id").alias("id"), F.when(F.col("id") % 3 > 0, F.array(F.lit(1.0), F.lit(0.0))).otherwise(F.array(F.lit(0.0), F.col("id") + 1.0)).alias("v"))
+    assert nb.vector_classes(df.withColumnRenamed("v", "vector"), 3).where("vector[0] = 1").select("ids").first()[0] == ["w0001", "w0002", "w0004"]
+    rows = nb.nearest(df, df, 2, "id", "v", max_shared_numbers=0).where("query_id = 'w0002'").orderBy("ranking").collect()
+    assert [(r.neighbour_id, r.score) for r in rows] == [("w0001", 1.0), ("w0004", 1.0)]
+
+
 @pytest.mark.parametrize("dimensions", [16, 64, 300])
 def test_score_tiles_are_bounded(dimensions, monkeypatch):
     monkeypatch.setattr(nb, "TILE_SCORES", 1000)
