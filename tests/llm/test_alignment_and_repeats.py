@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,7 +108,7 @@ def test_alignment_of_odd_texts_in_one_or_many_ranges(spark, settings):
     rows = [(i, t) for i, t in enumerate(ODD_TEXTS)] + [(1, "a"), (None, "same again"), (None, "same again")]
     docs = spark.createDataFrame([(i, t, "kept", 7) for i, t in rows], "doc_id bigint, text string, n_a string, extra int").repartition(3)
     aligned = token_alignment.align_documents(docs, settings=settings)
-    assert aligned.columns == ["doc_id", "text", "extra", *token_alignment.NUMBERS, "groups"]
+    assert aligned.columns == ["doc_id", "extra", *token_alignment.NUMBERS, "groups"]
     found = token_alignment.alignment_digest(aligned).select(*ALIGNED).collect()
     assert sorted((tuple(r) for r in found), key=str) == expected_alignment(rows)
 
@@ -125,14 +126,13 @@ def test_alignment_of_an_empty_table(spark):
     assert token_alignment.pair_counts(docs).count() == 0
 
 
-def test_the_memo_may_start_anew_between_runs(spark):
+def test_the_memo_may_start_anew_between_runs():
     paths = token_alignment.Tokenizers()
-    memo = token_alignment.PieceAligner(open(paths.a, "rb").read(), open(paths.b, "rb").read(), most=3)
-    import pyarrow as pa
-
-    for text in ("one two three four", "five six", "one two"):
-        run = token_alignment.align_texts(pa.array([text]), memo)
-        assert run.total(memo.counts[:, 0])[0] == len(plain_alignment([text])[0]["a"])
+    memo = token_alignment.PieceEncoder(open(paths.a, "rb").read(), open(paths.b, "rb").read(), most=3)
+    for text in ("one two three four", "five six", "one two", "x▁y one"):
+        columns, same = token_alignment.encode_texts(pa.array([text]), memo)
+        plain = plain_alignment([text])[0]
+        assert [np.frombuffer(c[0].as_py(), np.uint16).tolist() for c in columns] == [plain["a"], plain["b"]] and same[0] == bool(plain["a"])
 
 
 @pytest.mark.parametrize("count", [0, 1, 2, 63, 5000])

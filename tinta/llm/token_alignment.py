@@ -1,11 +1,10 @@
 """Alignment of two tokenizers over a corpus, with a count for every pair of token ids that ever overlap.
 
 Both tokenizers cut ``space + text``. The places where a token of both ends cut the bytes into groups; a token of A and one of B are linked where their
-bytes overlap. A pair's count is the number of documents that hold it linked.
+bytes overlap: between two neighbouring ends of any token lies exactly one link. A pair's count is the number of documents that hold it linked.
 
 1. Texts are cut before single spaces that a word follows. Both tokenizers end a token there whatever stands around (A's pattern never joins across such a space, no
-   piece of B has a space behind another character, which is checked), so a piece is aligned alone, once per worker, and groups and links
-   of a text are those of its pieces.
+   piece of B has a space behind another character, which is checked), so every different piece of a run is encoded once. The ids are stored.
 2. The different pairs of the corpus are hashed without gaps or collisions (``perfect_hash``), bucket by bucket, in Spark tasks.
 3. First pass: each task counts its documents in one dense vector, indexed by the hash. Vectors leave the task in blocks, without the blocks of zeros, and are
    summed in a tree of bounded fan-in.
@@ -15,31 +14,32 @@ Memory is bounded by ``most_pairs``: a larger set of pairs is worked on in range
 ranges adds up. Tokenizer files are read by Spark and go to the tasks as broadcasts; their size is fixed.
 
 Defined results: a text that is NULL or empty, or whose joined token bytes differ from ``space + text`` in either tokenizer, has no tokens: all
-numbers are 0 and ``groups`` is ''. Repeated rows are documents of their own; an empty table gives no rows. Columns of the input are
-kept; the result's own columns are replaced if they exist.
+numbers are 0 and ``groups`` is ''. Repeated rows are documents of their own; an empty table gives no rows. Columns of the input other than
+``text`` are kept; the result's own columns are replaced if they exist.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tinta.llm.byte_words import EXACT_VALUES, runs_of_rows, span_hashes, text_bytes
+from tinta.llm.byte_words import EXACT_VALUES, place_in, runs_of_rows, small_batches, span_hashes, text_bytes
 from tinta.llm.perfect_hash import PerfectHash, bucket_of, build_bucket
 from tinta.session import cut_lineage, scratch_path
 
 NUMBERS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 BLOCK = 4096
 FAN = 32
-RUN_BYTES = 2 << 20
+RUN_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -63,10 +63,10 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-class PieceAligner:
-    """Alignments of the pieces met before; it starts anew when it holds too much."""
+class PieceEncoder:
+    """Ids of both tokenizers for the pieces met before; it starts anew when it holds too much."""
 
-    def __init__(self, a_file: bytes, b_file: bytes, most: int = 200_000, most_bytes: int = 48 << 20):
+    def __init__(self, a_file: bytes, b_file: bytes, most: int = 150_000, most_ids: int = 4_000_000):
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -74,12 +74,12 @@ class PieceAligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_file)
         letters = byte_letters()
-        self.a_bytes = {i: bytes(letters[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
-        self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
-        names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        if any("▁" in p.lstrip("▁") for p in names):
+        vocabulary = {i: bytes(letters[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
+        self.bytes = [vocabulary.get(i, b"") for i in range(max(vocabulary) + 1)], [self._piece(i) for i in range(self.b.get_piece_size())]
+        self.sizes = tuple(np.array([len(x) for x in side], np.int64) for side in self.bytes)
+        if any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.get_piece_size())):
             raise ValueError("a piece holds a space behind another character: texts cannot be cut at spaces")
-        self.most, self.most_bytes = most, most_bytes
+        self.most, self.most_ids = most, most_ids
         self._reset()
 
     def _piece(self, i: int) -> bytes:
@@ -89,78 +89,41 @@ class PieceAligner:
 
     def _reset(self) -> None:
         self.number: dict[int, int] = {}
-        self.counts = np.zeros((0, 5), np.int64)  # n_a, n_b, n_groups, n_links, differs
-        self.begin, self.links = np.zeros(1, np.int64), np.zeros(0, np.uint64)
-        self.groups: list[str] = []
-        self.size = 0
-        self.values: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        self.begin = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+        self.ids = [np.zeros(0, np.uint32), np.zeros(0, np.uint32)]
+        self.differs = np.zeros(0, bool)
 
     def numbers(self, hashes: np.ndarray, pieces: list[bytes]) -> np.ndarray:
         """Number of each of some different pieces."""
-        if len(self.number) > self.most or self.size > self.most_bytes:
+        if len(self.number) > self.most or sum(map(len, self.ids)) > self.most_ids:
             self._reset()
-        found = np.fromiter((self.number.get(h, -1) for h in hashes.tolist()), np.int64, len(hashes))
+        found = np.fromiter(map(self.number.get, hashes.tolist(), itertools.repeat(-1)), np.int64, len(hashes))
         new = np.flatnonzero(found < 0)
         if len(new):
-            texts = [pieces[i].decode() for i in new]
-            a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
-            b = self.b.encode([t[1:] for t in texts], num_threads=1)
-            done = [self._align(pieces[i], x, y) for i, x, y in zip(new, a, b)]
+            raw = [pieces[i] for i in new]
+            texts = [x.decode() for x in raw]
+            each = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)], self.b.encode([t[1:] for t in texts], num_threads=1)
             found[new] = np.arange(len(new)) + len(self.number)
             self.number.update(zip(hashes[new].tolist(), found[new].tolist()))
-            self.counts = np.concatenate((self.counts, np.array([d[0] for d in done], np.int64)))
-            self.groups += [d[1] for d in done]
-            flat = [link for d in done for link in d[2]]
-            self.links = np.concatenate((self.links, np.array(flat, np.uint64)))
-            self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum([len(d[2]) for d in done])))
-            self.size += sum(len(d[1]) for d in done) + 8 * len(flat)
+            differs = np.zeros(len(new), bool)
+            for side, ids in enumerate(each):
+                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+                flat = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+                said = list(map(self.bytes[side].__getitem__, flat.tolist()))
+                if b"".join(said) != b"".join(raw):
+                    ends = np.cumsum(sizes).tolist()
+                    differs |= np.array([b"".join(said[b:e]) != x for b, e, x in zip([0, *ends[:-1]], ends, raw)])
+                self.begin[side] = np.concatenate((self.begin[side], self.begin[side][-1] + np.cumsum(sizes)))
+                self.ids[side] = np.concatenate((self.ids[side], flat))
+            self.differs = np.concatenate((self.differs, differs))
         return found
 
-    def _align(self, piece: bytes, a: list[int], b: list[int]) -> tuple[list[int], str, list[int]]:
-        """Numbers, groups and links of a piece. A piece that either tokenizer changes has none."""
-        if b"".join([self.a_bytes[t] for t in a]) != piece or b"".join([self.b_bytes[t] for t in b]) != piece:
-            return [0, 0, 0, 0, 1], "", []
-        links, groups, i, j = [], [], 0, 0
-        group_a, group_b = [str(a[0])], [str(b[0])]
-        end_a, end_b = len(self.a_bytes[a[0]]), len(self.b_bytes[b[0]])
-        while True:
-            links.append(a[i] << 32 | b[j])
-            step_a, step_b = end_a <= end_b, end_b <= end_a
-            if step_a and step_b:
-                groups.append(",".join(group_a) + "|" + ",".join(group_b))
-                group_a, group_b = [], []
-                if i + 1 == len(a):
-                    break
-            if step_a:
-                i += 1
-                end_a += len(self.a_bytes[a[i]])
-                group_a.append(str(a[i]))
-            if step_b:
-                j += 1
-                end_b += len(self.b_bytes[b[j]])
-                group_b.append(str(b[j]))
-        return [len(a), len(b), len(groups), len(links), 0], ";".join(groups), links
-
-    def link_sums(self, name: str, index: PerfectHash, counts: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Per piece, the sum of its links' counts and how many of them are the best of their A id, of the pairs in ``index``, which ``name`` names."""
-        sums, hits = self.values.get(name, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
-        if len(sums) < len(self.number):
-            links = self.links[self.begin[len(sums)] :]
-            at = index.find(links)
-            count = np.where(at >= 0, counts[np.maximum(at, 0)] if len(counts) else 0, 0)
-            top = (at >= 0) & (count == best[(links >> np.uint64(32)).astype(np.int64)]) if len(links) else at >= 0
-            place = self.begin[len(sums) :] - self.begin[len(sums)]
-            more = [np.diff(np.concatenate(([0], np.cumsum(x)))[place]) for x in (count, top)]
-            sums, hits = np.concatenate((sums, more[0])), np.concatenate((hits, more[1]))
-            self.values = {name: (sums, hits)}
-        return sums, hits
-
 
 @lru_cache(maxsize=1)
-def _aligner(a: str, b: str, files: tuple[bytes, bytes]) -> PieceAligner:
-    """One aligner per worker process, kept over its tasks."""
+def _encoder(a: str, b: str, files: tuple[bytes, bytes]) -> PieceEncoder:
+    """One encoder per worker process, kept over its tasks."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-    return PieceAligner(*files)
+    return PieceEncoder(*files)
 
 
 def led_by_space(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,78 +136,159 @@ def led_by_space(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 def cut_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Spans of the pieces: cut before a space that no space precedes and no space character follows, and between texts."""
-    if not len(data):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     closed = np.zeros(256, bool)  # bytes that are, or may begin, white space
     closed[[32, *range(9, 14), 0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
-    cut = np.flatnonzero((data[1:-1] == 32) & (data[:-2] != 32) & ~closed[data[2:]]) + 1 if len(data) > 2 else np.zeros(0, np.int64)
-    starts = np.union1d(cut, offsets[:-1][np.diff(offsets) > 0])
-    return starts, np.append(starts[1:], len(data))
-
-
-@dataclass
-class Aligned:
-    """A run of texts as numbers of pieces: ``piece[first[i]:first[i + 1]]`` are those of text ``i``; ``same`` tells the texts with tokens."""
+    cut = np.zeros(len(data) + 1, bool)
+    if len(data) > 2:
+        cut[1:-2] = (data[1:-1] == 32) & (data[:-2] != 32) & ~closed[data[2:]]
+    cut[offsets] = True
+    cut[-1] = False
+    starts = np.flatnonzero(cut)
+    return starts, np.append(starts[1:], len(data))[: len(starts)]
 
-    piece: np.ndarray
-    text: np.ndarray
-    first: np.ndarray
-    same: np.ndarray
 
-    def total(self, per_piece: np.ndarray) -> np.ndarray:
-        """Sum over the pieces of each text; 0 for texts without tokens."""
-        sums = np.concatenate(([0], np.cumsum(per_piece[self.piece])))
-        return np.where(self.same, np.diff(sums[self.first]), 0)
+def ranges_of(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of some ranges, and the sizes of the ranges."""
+    sizes = end - begin
+    return np.arange(int(sizes.sum())) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes), sizes
 
 
-def align_texts(column: pa.Array, aligner: PieceAligner) -> Aligned:
+def encode_texts(column: pa.Array, encoder: PieceEncoder) -> tuple[list[pa.Array], np.ndarray]:
+    """Ids of both tokenizers as bytes, and whether a text has tokens."""
     data, offsets = led_by_space(*text_bytes(column))
     starts, ends = cut_pieces(data, offsets)
     hashes, first, which = np.unique(span_hashes(data, starts, ends, EXACT_VALUES), return_index=True, return_inverse=True)
     raw = data.tobytes()
-    piece = aligner.numbers(hashes, [raw[b:e] for b, e in zip(starts[first].tolist(), ends[first].tolist())])[which]
+    piece = encoder.numbers(hashes, [raw[b:e] for b, e in zip(starts[first].tolist(), ends[first].tolist())])[which]
     begin = np.searchsorted(starts, offsets, "left")
-    differs = np.concatenate(([0], np.cumsum(aligner.counts[piece, 4] if len(piece) else piece)))
-    same = (np.diff(differs[begin]) == 0) & (np.diff(offsets) > 0)
-    return Aligned(piece, np.repeat(np.arange(len(column)), np.diff(begin)), begin, same)
+    same = (np.diff(np.concatenate(([0], np.cumsum(encoder.differs[piece])))[begin]) == 0) & (np.diff(offsets) > 0)
+    text = np.repeat(np.arange(len(column)), np.diff(begin))
+    piece, text = piece[same[text]], text[same[text]]
+    columns = []
+    for side in (0, 1):
+        at, sizes = ranges_of(encoder.begin[side][piece], encoder.begin[side][piece + 1])
+        values = encoder.ids[side][at].astype("<u2" if len(encoder.sizes[side]) <= 1 << 16 else "<u4")
+        tokens = np.bincount(text, sizes, len(column)).astype(np.int64)
+        bounds = np.concatenate(([0], np.cumsum(tokens))) * values.itemsize
+        columns.append(pa.Array.from_buffers(pa.large_binary(), len(column), [None, pa.py_buffer(bounds), pa.py_buffer(values)]).cast(pa.binary()))
+    return columns, same
 
 
-def _pairs_of_texts(run: Aligned, aligner: PieceAligner) -> tuple[np.ndarray, np.ndarray]:
-    """Text and link of every link of every different piece of a text."""
-    held = run.same[run.text]
-    places = np.unique(run.text[held] * (len(aligner.number) + 1) + run.piece[held])
-    text, piece = np.divmod(places, len(aligner.number) + 1)
-    each = np.diff(aligner.begin)[piece]
-    of = np.repeat(np.arange(len(piece)), each)
-    at = aligner.begin[piece][of] + np.arange(len(of)) - np.repeat(np.cumsum(each) - each, each)
-    return text[of], aligner.links[at]
+@dataclass
+class Aligned:
+    """A run of documents: ids and document of the tokens of A and B, and place of both tokens of every link. Groups end where tokens of both end."""
+
+    ids: tuple[np.ndarray, np.ndarray]
+    counts: tuple[np.ndarray, np.ndarray]
+    ends: tuple[np.ndarray, np.ndarray]
+    links: tuple[np.ndarray, np.ndarray]
+    text: np.ndarray
+    common: np.ndarray
+
+    @classmethod
+    def of(cls, columns: tuple[pa.Array, pa.Array], sizes: tuple[np.ndarray, np.ndarray]) -> Aligned:
+        ids, counts = zip(*(_ids(c, len(s)) for c, s in zip(columns, sizes)))
+        ends = tuple(np.cumsum(s[i]) for s, i in zip(sizes, ids))
+        both = np.concatenate(ends)
+        both.sort(kind="stable")  # two rising runs
+        every = both[np.concatenate((both[1:] != both[:-1], [True]))] if len(both) else both
+        links = tuple(np.searchsorted(e, every, "left") for e in ends)
+        text = np.repeat(np.arange(len(counts[0])), counts[0])[links[0]]
+        return cls(ids, counts, ends, links, text, both[:-1][both[1:] == both[:-1]])
+
+    def pairs(self) -> np.ndarray:
+        """Both ids of every link as one key."""
+        return (self.ids[0][self.links[0]].astype(np.uint64) << np.uint64(32)) | self.ids[1][self.links[1]].astype(np.uint64)
+
+    def groups(self) -> tuple[np.ndarray, list[str]]:
+        """Number of groups of each document, and ``a1,a2|b1;a3|b2`` of it."""
+        of = [np.searchsorted(self.common, e, "left") for e in self.ends]
+        n = len(self.common)
+        before_b = np.concatenate(([0], np.cumsum(np.bincount(of[1], minlength=n))))
+        upto_a = np.cumsum(np.bincount(of[0], minlength=n)) if n else np.zeros(0, np.int64)
+        place = np.arange(len(of[0])) + before_b[of[0]], np.arange(len(of[1])) + (upto_a[of[1]] if n else 0)
+        token, sep = np.zeros(len(of[0]) + len(of[1]), np.uint32), np.full(len(of[0]) + len(of[1]), ord(","), np.uint8)
+        for side, (at, last) in enumerate(zip(place, b"|;")):
+            token[at] = self.ids[side]
+            closing = np.concatenate((of[side][1:] != of[side][:-1], [True])) if len(at) else np.zeros(0, bool)
+            sep[at[closing]] = last
+        total = self.counts[0] + self.counts[1]
+        out, bounds = _decimals(token, sep, total)
+        raw = out.tobytes()
+        texts = [raw[b : max(b, e - 1)].decode() for b, e in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        ended = np.concatenate(([0], np.cumsum(self.counts[0])))
+        first = np.searchsorted(self.common, np.concatenate(([0], self.ends[0]))[ended], "right") if n else np.zeros(len(ended), np.int64)
+        return np.diff(first), texts
+
+
+def _ids(column: pa.Array, known: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all rows, and their number in each."""
+    column = (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
+    kind = np.dtype("<u2" if known <= 1 << 16 else "<u4")
+    data = column.buffers()[2]
+    flat = np.frombuffer(data, kind, (int(offsets[-1]) - int(offsets[0])) // kind.itemsize, int(offsets[0])) if data is not None and offsets[-1] > offsets[0] else np.zeros(0, kind)
+    return flat, np.diff(offsets) // kind.itemsize
+
+
+def _decimals(numbers: np.ndarray, behind: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Decimal digits of each number with a byte behind it, all joined, and where each run of ``counts`` numbers begins."""
+    digits = np.maximum(1, np.ceil(np.log10(numbers.astype(np.float64) + 1)).astype(np.int64))
+    width = int(digits.max(initial=1))
+    cells = np.empty((len(numbers), width + 1), np.uint8)
+    rest = numbers.astype(np.int64)
+    for k in range(width - 1, -1, -1):
+        cells[:, k] = 48 + rest % 10
+        rest //= 10
+    cells[:, width] = behind
+    held = np.arange(width + 1)[None, :] >= width - digits[:, None]
+    ends = np.concatenate(([0], np.cumsum(digits + 1)))
+    return cells[held], ends[np.concatenate(([0], np.cumsum(counts)))]
 
 
 class Alignment:
-    """The passes over the texts of one table."""
+    """The passes over the documents of one table."""
 
     def __init__(self, docs: DataFrame, tokenizers: Tokenizers = Tokenizers(), settings: AlignSettings = AlignSettings()):
-        self.docs, self.spark, self.settings = docs.drop(*NUMBERS, "groups"), docs.sparkSession, settings
+        docs, self.spark, self.settings = docs.drop(*NUMBERS, "groups"), docs.sparkSession, settings
+        small_batches(self.spark)
         files = tuple(bytes(self.spark.read.format("binaryFile").load(p).first()["content"]) for p in (tokenizers.a, tokenizers.b))
-        held = self.spark.sparkContext.broadcast(files)
-        self.aligner = lambda: _aligner(tokenizers.a, tokenizers.b, held.value)
+        self.sizes = PieceEncoder(*files).sizes  # bytes of every id
+        self.tokens = self._encoded(docs, tokenizers, self.spark.sparkContext.broadcast(files))
+
+    def _encoded(self, docs: DataFrame, tokenizers: Tokenizers, files) -> DataFrame:
+        """Stored ``row, a, b``: the other columns of a document, and its ids."""
+        others = [c for c in docs.columns if c != "text"]
+
+        def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            encoder = _encoder(tokenizers.a, tokenizers.b, files.value)
+            for batch in batches:
+                for first, last in runs_of_rows(batch.column("text"), RUN_BYTES):
+                    part = batch.slice(first, last - first)
+                    columns, _ = encode_texts(part.column("text"), encoder)
+                    yield pa.RecordBatch.from_arrays([part.column("row"), *columns], names=["row", "a", "b"])
+            _encoder.cache_clear()  # a worker may go on with other work
+
+        rows = docs.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others]).alias("row"), "text")
+        path = scratch_path(self.spark, "tokens")
+        schema = T.StructType([rows.schema["row"], T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+        rows.mapInArrow(encode, schema).write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(schema).parquet(path)
 
     def index(self) -> tuple[DataFrame, int]:
         """Stored ``bucket, sizes, words, keys`` of all different pairs, and the number of buckets."""
-        aligner, size = self.aligner, self.settings.bucket_pairs
+        lengths, size = self.sizes, self.settings.bucket_pairs
 
         def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            met = np.zeros(0, np.uint64)
-            for column in _runs(batches):
-                own = aligner()
-                run = align_texts(column, own)
-                found = np.unique(own.links[_places(np.unique(run.piece[run.same[run.text]]), own)])
-                found = found[~np.isin(found, met, assume_unique=True)]
-                met = found if len(met) > 1 << 20 else np.concatenate((met, found))
+            met = np.zeros(0, np.uint64)  # sorted
+            for run in _aligned_runs(batches, lengths):
+                found = np.unique(run[1].pairs())
+                found = found[place_in(met, found) < 0]
+                met = found if len(met) > 1 << 20 else np.union1d(met, found)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["pair"])
 
         path = scratch_path(self.spark, "pairs")
-        self.docs.select("text").mapInArrow(pairs, "pair bigint").distinct().write.parquet(path)
+        self.tokens.select("a", "b").mapInArrow(pairs, "pair bigint").distinct().write.parquet(path)
         every = self.spark.read.parquet(path)
         buckets = max(1, every.count() // size)
 
@@ -277,18 +321,15 @@ class Alignment:
 
     def count(self, index: PerfectHash) -> DataFrame:
         """Stored ``block, counts``: the documents that hold each pair of ``index``."""
-        aligner, shared = self.aligner, self.spark.sparkContext.broadcast(index)
+        lengths, shared = self.sizes, self.spark.sparkContext.broadcast(index)
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own, total = shared.value, np.zeros(len(shared.value.keys), np.int64)
-            for column in _runs(batches):
-                memo = aligner()
-                text, link = _pairs_of_texts(align_texts(column, memo), memo)
-                # a pair counts once in a text, however many of its pieces hold it
-                links, which = np.unique(link, return_inverse=True)
-                at = own.find(links)
-                once = np.unique(text * len(links) + which)
-                numbers = at[once % len(links)] if len(links) else at
+            for _, run in _aligned_runs(batches, lengths):
+                # a pair counts once in a document, however often it is linked there
+                links, which = np.unique(run.pairs(), return_inverse=True)
+                once = np.unique(run.text * max(1, len(links)) + which)
+                numbers = own.find(links)[once % max(1, len(links))]
                 total += np.bincount(numbers[numbers >= 0], minlength=len(total))
             part = TaskContext.get().partitionId()
             blocks = [(i, total[i : i + BLOCK]) for i in range(0, len(total), BLOCK)]
@@ -302,7 +343,7 @@ class Alignment:
             sums = sum(np.frombuffer(x.as_buffer(), np.int64) for x in group.column("counts"))
             return pa.table({"node": group.column("node").slice(0, 1), "block": group.column("block").slice(0, 1), "counts": [sums.tobytes()]})
 
-        vectors = self.docs.select("text").mapInArrow(add, "node bigint, block bigint, counts binary")
+        vectors = self.tokens.select("a", "b").mapInArrow(add, "node bigint, block bigint, counts binary")
         nodes = vectors.rdd.getNumPartitions()
         while nodes > 1:
             nodes = -(-nodes // FAN)
@@ -323,21 +364,29 @@ class Alignment:
 
     def looked_up(self, rows: DataFrame, number: int, index: PerfectHash, counts: np.ndarray, best: np.ndarray) -> DataFrame:
         """``rows`` with the numbers of one range of pairs added."""
-        aligner, shared = self.aligner, self.spark.sparkContext.broadcast((index, counts, best))
-        names, key = rows.columns, uuid.uuid4().hex
+        lengths, shared = self.sizes, self.spark.sparkContext.broadcast((index, counts, best))
+        names = rows.columns
 
         def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for first, last in runs_of_rows(batch.column("text"), RUN_BYTES):
-                    memo, part = aligner(), batch.slice(first, last - first)
-                    run = align_texts(part.column("text"), memo)
-                    sums, hits = memo.link_sums(key, *shared.value)
-                    new = {c: run.total(memo.counts[:, k]) for k, c in enumerate(NUMBERS[:4])}
-                    new |= {c: run.total(x) + part.column(c).to_numpy() for c, x in (("count_sum", sums), ("n_best", hits))}
-                    columns = {c: part.column(c) for c in names} | {c: pa.array(x, pa.int64()) for c, x in new.items()}
-                    if not number:
-                        columns["groups"] = pa.array(_texts_of_groups(run, memo), pa.string())
-                    yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
+            index, counts, best = shared.value
+            for part, run in _aligned_runs(batches, lengths):
+                links, which = np.unique(run.pairs(), return_inverse=True)
+                at = index.find(links)
+                held = at >= 0
+                count = np.zeros(len(links), np.int64)
+                count[held] = counts[at[held]]
+                top = np.zeros(len(links), np.int64)
+                top[held] = count[held] == best[(links[held] >> np.uint64(32)).astype(np.int64)]
+                sums = [np.bincount(run.text, x[which], part.num_rows).astype(np.int64) for x in (count, top)]
+                columns = {c: part.column(c) for c in names}
+                for name, more in zip(("count_sum", "n_best"), sums):
+                    columns[name] = pa.array(part.column(name).to_numpy() + more)
+                if not number:
+                    n_groups, texts = run.groups()
+                    n_links = np.bincount(run.text, minlength=part.num_rows)
+                    columns |= {c: pa.array(x.astype(np.int64)) for c, x in zip(NUMBERS, (*run.counts, n_groups, n_links))}
+                    columns["groups"] = pa.array(texts, pa.string())
+                yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
 
         return rows.mapInArrow(look, rows.schema)
 
@@ -354,12 +403,13 @@ class Alignment:
             best = np.concatenate((best, np.zeros(max(0, int(ids.max(initial=-1)) + 1 - len(best)), np.int64)))
             np.maximum.at(best, ids, counts)
         zeros = [F.lit(0).cast("bigint").alias(c) for c in NUMBERS]
-        rows = self.docs.select("*", *zeros, F.lit("").alias("groups"))
+        rows = self.tokens.select("row", "a", "b", *zeros, F.lit("").alias("groups"))
         for number, ((first, end), blocks) in enumerate(zip(ranges, stored)):
             rows = cut_lineage(rows) if number else rows
             part = self.load(index, buckets, first, end)
             rows = self.looked_up(rows, number, part, self.vector(part, blocks), best)
-        return rows
+        others = [F.col("row").getField(f.name).alias(f.name) for f in self.tokens.schema["row"].dataType.fields[1:]]
+        return rows.select(*others, *NUMBERS, "groups")
 
     def pair_counts(self) -> DataFrame:
         """``a, b, n_docs`` of all pairs."""
@@ -381,21 +431,16 @@ class Alignment:
         return result
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Array]:
+def _aligned_runs(batches: Iterator[pa.RecordBatch], sizes: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[pa.RecordBatch, Aligned]]:
+    """Runs of documents with a bounded number of ids (a longer one is a run alone)."""
     for batch in batches:
-        for first, last in runs_of_rows(batch.column("text"), RUN_BYTES):
-            yield batch.column("text").slice(first, last - first)
-
-
-def _places(pieces: np.ndarray, memo: PieceAligner) -> np.ndarray:
-    """Where the links of some pieces stand."""
-    each = np.diff(memo.begin)[pieces]
-    return np.repeat(memo.begin[pieces] - (np.cumsum(each) - each), each) + np.arange(each.sum())
-
-
-def _texts_of_groups(run: Aligned, memo: PieceAligner) -> list[str]:
-    first, pieces = run.first.tolist(), run.piece.tolist()
-    return [";".join([memo.groups[p] for p in pieces[b:e]]) if same else "" for b, e, same in zip(first[:-1], first[1:], run.same.tolist())]
+        ends = np.concatenate(([0], np.cumsum(pc.binary_length(batch.column("a")).to_numpy().astype(np.int64))))
+        first = 0
+        while first < batch.num_rows:
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + RUN_BYTES, "right")) - 1)
+            part = batch.slice(first, last - first)
+            yield part, Aligned.of((part.column("a"), part.column("b")), sizes)
+            first = last
 
 
 def alignment_digest(aligned: DataFrame) -> DataFrame:
@@ -404,7 +449,7 @@ def alignment_digest(aligned: DataFrame) -> DataFrame:
 
 
 def align_documents(docs: DataFrame, tokenizers: Tokenizers = Tokenizers(), settings: AlignSettings = AlignSettings()) -> DataFrame:
-    """``docs`` (with ``text``) plus the numbers of their alignment and ``groups`` (``a1,a2|b1;a3|b2``)."""
+    """``docs`` without their ``text``, plus the numbers of their alignment and ``groups`` (``a1,a2|b1;a3|b2``)."""
     return Alignment(docs, tokenizers, settings).aligned()
 
 
