@@ -1,7 +1,7 @@
 """Bigram language model in Elias-Fano tries, kept and asked shard by shard.
 
-Model: ``p(v | u) = (c(u v) + g(u) p(v)) / (c(u) + g(u))`` with ``p(v) = (c(v) + 0.5) / (N + 0.5 (V + 1))``; ``g`` grows with a power of
-``c(u)`` for frequent words and is constant for the others. It sums to 1 over the words and one unknown word. A text's probability is the even mixture of
+Model: ``p(v | u) = (c(u v) + g p(v)) / (c(u) + g)`` with ``p(v) = (c(v) + 0.5) / (N + 0.5 (V + 1))`` and one ``g`` for all contexts, whatever the size of
+the corpus. It sums to 1 over the words and one unknown word. A text's probability is the even mixture of
 its bigram and its unigram probability, so a text without known neighbours loses log10(2) at most.
 
 The logarithm splits: the numerator belongs to the pair, ``c(v)`` to the word, the denominator to the context. So the trie is kept by the predicted
@@ -46,13 +46,12 @@ RUN_BYTES = 5 << 20
 
 @dataclass(frozen=True)
 class ModelSettings:
-    """``share``: share of all tokens from which a word is frequent. ``shard_tokens``: tokens per shard, about."""
+    """``share``: share of all tokens from which a word is frequent, which is a matter of load alone. ``shard_tokens``: tokens per shard, about.
+    ``g``: weight of the unigram model beside the counts of a context."""
 
     share: float = 1e-6
     shard_tokens: int = 1_500_000
-    scale: float = 1.5
-    power: float = 0.75
-    other_g: float = 5.0
+    g: float = 200.0
 
 
 @dataclass
@@ -72,11 +71,6 @@ class Frequent:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return np.where(self.hashes[at] == hashes, at.astype(np.uint64), hashes | OTHER)
 
-    def g(self, codes: np.ndarray) -> np.ndarray:
-        frequent = codes < OTHER
-        counts = self.counts[np.where(frequent, codes, 0).astype(np.int64)]
-        return np.where(frequent, np.maximum(self.settings.scale * counts**self.settings.power, self.settings.other_g), self.settings.other_g)
-
     def unigram(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 0.5) / (self.tokens + 0.5 * (self.distinct + 1))
 
@@ -241,8 +235,7 @@ class Trie:
         totals = np.bincount(of, count, len(words))
         frequent = words < OTHER
         totals[frequent] = known.counts[words[frequent].astype(np.int64)]
-        g = known.g(names[(pair % np.uint64(max(1, len(names)))).astype(np.int64)]) if len(pair) else np.zeros(0)
-        value = np.log10(count + g * known.unigram(totals[of]))
+        value = np.log10(count + known.settings.g * known.unigram(totals[of]))
         level, book = quantise(value)
         pointers = np.searchsorted(of, np.arange(len(words) + 1))
         parts = [np.array([len(words), len(names), len(pair)], np.int64), totals.astype(np.float64), book, level]
@@ -269,7 +262,7 @@ class Trie:
         counts = np.where(w >= 0, self.totals[w] if len(self.totals) else 0.0, 0.0)
         frequent = word < OTHER
         counts[frequent] = known.counts[word[frequent].astype(np.int64)]
-        value = np.log10(known.g(context) * known.unigram(counts))
+        value = np.log10(known.settings.g * known.unigram(counts))
         c = self.contexts.find(context)
         both = np.flatnonzero((w >= 0) & (c >= 0))
         pair = self.pairs.find(w[both].astype(np.uint64) * np.uint64(self.contexts_n) + c[both].astype(np.uint64))
@@ -340,7 +333,7 @@ def score_texts(docs: DataFrame, known: Frequent, model: DataFrame, s: ModelSett
             word, context, row = from_bytes(unsqueeze(blob), "<u8", "<u8", "<u4")
             counts, value = trie.ask(word, context, known)
             # a word is the context of the word behind it; the end is the context of nothing
-            under = np.where(word == end, 0.0, np.log10(counts + known.g(word)))
+            under = np.where(word == end, 0.0, np.log10(counts + known.settings.g))
             base, bigram = (np.bincount(row, x, n) for x in (np.log10(known.unigram(counts)), value - under))
             total, met = np.bincount(row, minlength=n), np.bincount(row, counts > 0, n)
             at = np.flatnonzero(total)
@@ -371,7 +364,7 @@ def score_texts(docs: DataFrame, known: Frequent, model: DataFrame, s: ModelSett
     sums = answers.repartition("first").sortWithinPartitions("first").mapInArrow(
         add, f"doc_id {kind}, n_tokens bigint, n_known bigint, base double, bigram double"
     )
-    start = float(np.log10(known.texts + known.g(known.codes(np.array([BEGIN])))[0]))
+    start = float(np.log10(known.texts + known.settings.g))
     bigram = F.col("bigram") - F.lit(start)
     high, low = F.greatest("base", bigram), F.least("base", bigram)
     mixed = high + F.log10(F.lit(0.5) * (1 + F.pow(F.lit(10.0), low - high)))
