@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tinta.llm.byte_words import ALPHANUMERIC, find_words, place_in, runs_of_rows, text_bytes
+from tinta.llm.byte_words import ALPHANUMERIC, find_words, place_in, runs_of_rows, small_batches, text_bytes
 from tinta.llm.fm_index import FMIndex
 from tinta.session import cut_lineage
 
@@ -170,6 +170,7 @@ def find_contamination(
     ``benchmark`` has ``item_id, text``. Spans give the first and last word and byte of each stretch.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     start = docs.drop("n_words", "spans", "items").select(
         "*",
         F.lit(None).cast("bigint").alias("n_words"),

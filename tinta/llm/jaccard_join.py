@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tinta.llm.byte_words import _mix
+from tinta.llm.byte_words import _mix, small_batches
 from tinta.llm.components import components
 from tinta.llm.group_rows import forest, groups
 from tinta.llm.set_hashes import set_digest, shingle_sets
@@ -39,6 +39,9 @@ from tinta.session import cut_lineage, scratch_path
 
 
 GROUP = ("fid", "ti", "tj")
+# Cells of a matrix of members and values, and bytes of sets that leave a task at once.
+BLOCK_CELLS = 1 << 21
+SENT_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -55,7 +58,7 @@ class JoinSettings:
     sample: int = 48
     alike: float = 0.5
     limit: int = 256
-    tile: int = 1024
+    tile: int = 512
     dense: float = 0.4
     deepest: int = 30
 
@@ -64,17 +67,21 @@ class JoinSettings:
         return runs_for(self)
 
 
-def runs_for(s: JoinSettings, levels: int = 4) -> int:
-    """Runs after which a pair at the threshold has been together in a bucket with the target recall.
+def lost_in_a_run(s: JoinSettings) -> float:
+    """Chance that a pair at the threshold is never together in a bucket of one run, however deep buckets are split.
 
     Shared selections are at least Poisson with mean ``branches * threshold`` per node, so the chance to be lost below a node
-    follows a branching process.
+    follows a branching process; it rises with the levels to a fixed point, which ``deepest`` levels come close to from below.
     """
     lost = 0.0
-    for _ in range(levels - 1):
+    for _ in range(10_000):
         lost = math.exp(-s.branches * s.threshold * (1 - lost))
-    per_run = math.exp(-s.first_branches * s.threshold * (1 - lost))
-    return max(1, math.ceil(math.log(1 - s.target_recall) / math.log(per_run)))
+    return math.exp(-s.first_branches * s.threshold * (1 - lost))
+
+
+def runs_for(s: JoinSettings) -> int:
+    """Runs after which a pair at the threshold has been together in a bucket with the target recall."""
+    return max(1, math.ceil(math.log(1 - s.target_recall) / math.log(lost_in_a_run(s))))
 
 
 def _run_keys(runs: int) -> np.ndarray:
@@ -237,14 +244,21 @@ def tiled(buckets: DataFrame, s: JoinSettings) -> DataFrame:
     return meets.select("fid", F.least("t", "o").alias("ti"), F.greatest("t", "o").alias("tj"), "cno", "t")
 
 
-def incidence(rows: np.ndarray, values: np.ndarray, m: int) -> np.ndarray:
-    """Matrix of rows and the values that at least two of them have."""
+def common_counts(rows: np.ndarray, values: np.ndarray, m: int) -> np.ndarray:
+    """Matrix of how many values each pair of rows has in common, added up over blocks of values, so that only the result is ``m * m``."""
     _, which = np.unique(values, return_inverse=True)
-    keep = np.bincount(which)[which] > 1 if len(which) else np.zeros(0, bool)
-    names, which = np.unique(which[keep], return_inverse=True)
-    out = np.zeros((m, len(names)), np.float32)
-    out[rows[keep], which] = 1
-    return out
+    held = np.bincount(which)[which] > 1 if len(which) else np.zeros(0, bool)  # a value of one row adds nothing
+    names, which = np.unique(which[held], return_inverse=True)
+    order = np.argsort(which, kind="stable")
+    which, of = which[order], rows[held][order]
+    common = np.zeros((m, m), np.float32)
+    width = min(max(1, len(names)), max(64, BLOCK_CELLS // m))
+    for first in range(0, len(names), width):
+        b, e = np.searchsorted(which, (first, first + width))
+        block = np.zeros((m, width), np.float32)
+        block[of[b:e], which[b:e] - first] = 1
+        common += block @ block.T
+    return common
 
 
 def list_rows(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -264,8 +278,7 @@ def own_pairs(group: pa.RecordBatch, threshold: float) -> np.ndarray:
     pairs &= np.minimum(n[:, None], n[None, :]) >= threshold * np.maximum(n[:, None], n[None, :])
     of, fids = list_rows(group.column("fids"))
     before = fids < fid
-    met = incidence(of[before], fids[before], m)
-    return pairs & (met @ met.T == 0) if met.shape[1] else pairs
+    return pairs & (common_counts(of[before], fids[before], m) == 0) if before.any() else pairs
 
 
 def alike(group: pa.RecordBatch, s: JoinSettings) -> np.ndarray:
@@ -275,10 +288,8 @@ def alike(group: pa.RecordBatch, s: JoinSettings) -> np.ndarray:
     chance of one in a million; a sample shorter than that is the whole set. Samples hold 16 bits of each hash, so chance hits only add pairs.
     """
     of, sample = list_rows(group.column("sample"))
-    m = group.num_rows
-    held = incidence(of, sample, m)
     n = np.minimum(group.column("n").to_numpy(), s.sample)
-    return held @ held.T >= s.alike * np.maximum(n[:, None], n[None, :])
+    return common_counts(of, sample, group.num_rows) >= s.alike * np.maximum(n[:, None], n[None, :])
 
 
 def compared(buckets: DataFrame, classes: DataFrame, signed: DataFrame, s: JoinSettings) -> DataFrame:
@@ -306,20 +317,7 @@ def overlaps(sets: list[np.ndarray], pairs: np.ndarray) -> tuple[np.ndarray, np.
     m = len(sets)
     if len(i) <= 4 * m:
         return i, j, np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i, j)], np.int64)
-    tokens, which = np.unique(np.concatenate(sets), return_inverse=True)
-    of = np.repeat(np.arange(m), [len(x) for x in sets])
-    held = np.bincount(which)[which] > 1  # a token of one set adds nothing
-    _, which = np.unique(which[held], return_inverse=True)
-    of = of[held]
-    order = np.argsort(which, kind="stable")
-    which, of = which[order], of[order]
-    common = np.zeros((m, m), np.float32)
-    width = max(256, (1 << 22) // m)
-    for first in range(0, int(which[-1]) + 1 if len(which) else 0, width):
-        b, e = np.searchsorted(which, (first, first + width))
-        block = np.zeros((m, width), np.float32)
-        block[of[b:e], which[b:e] - first] = 1
-        common += block @ block.T
+    common = common_counts(np.repeat(np.arange(m), [len(x) for x in sets]), np.concatenate(sets), m)
     return i, j, common[i, j].astype(np.int64)
 
 
@@ -334,11 +332,13 @@ def verified(docs: DataFrame, wanted: DataFrame, s: JoinSettings) -> DataFrame:
             each = batch.column("places").value_lengths().to_numpy()
             of = np.repeat(np.arange(batch.num_rows), each)
             places = batch.column("places").flatten().flatten()
-            for b in range(0, len(of), 1024):
-                part = of[b : b + 1024]
+            sent = np.cumsum(np.array([8 * len(x) for x in sets], np.int64)[of]) // SENT_BYTES
+            cuts = [0, *(np.flatnonzero(np.diff(sent)) + 1).tolist(), len(of)]
+            for b, e in zip(cuts[:-1], cuts[1:]):
+                part = of[b:e]
                 take = pa.array(part)
                 yield pa.RecordBatch.from_arrays(
-                    [*[p.slice(b, 1024) for p in places], *[batch.column(c).take(take) for c in ("cno", "n", "size", "fids")], pa.array([sets[i].tobytes() for i in part], pa.binary())],
+                    [*[p.slice(b, e - b) for p in places], *[batch.column(c).take(take) for c in ("cno", "n", "size", "fids")], pa.array([sets[i].tobytes() for i in part], pa.binary())],
                     names=["fid", "ti", "tj", "t", "cno", "n", "size", "fids", "tokens"],
                 )
 
@@ -376,6 +376,7 @@ def near_duplicates(docs: DataFrame, s: JoinSettings = JoinSettings()) -> DataFr
     ``class_id``: smallest id with the same shingles; ``n_links``: other documents of similarity at or above the threshold;
     ``component_id``: smallest id that links lead to; ``kept``: whether the row stands for its component; ``k1, k2``: digests that name the row.
     """
+    small_batches(docs.sparkSession)
     keys = keyed_rows(docs, s)
     classes = class_table(keys, docs, s)
     spark = docs.sparkSession

@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tinta.llm.byte_words import LOWER, runs_of_rows, text_bytes
+from tinta.llm.byte_words import LOWER, runs_of_rows, small_batches, text_bytes
 
 UNKNOWN = "und"
 WIDTHS = (2, 3, 4)
