@@ -4,9 +4,13 @@
 2. near duplicates: one document of each component of links stays.
 3. decontamination: test passages are cut out of the texts, documents with nothing left go.
 4. mixing: documents in the order of a Pfair schedule of their sources.
-5. token output: token ids in fixed-stride shards in a keyed order; the rows are what the shards hold.
+5. token output: token ids in fixed-stride shards; a keyed order inside windows of sequences keeps the mix of the stage before from window to
+   window. The rows are what the shards hold.
 
 All stages but the last return the columns of ``documents``. Every stage is written and read again before the next one.
+
+Defined results: a NULL or empty text has no language and goes in the first stage; repeated rows are near duplicates of each other, one stays; NULL sources are
+a source of their own; an empty table gives no rows; columns beside ``doc_id, text, lang, source`` are carried to the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,6 +20,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tinta.llm import decontaminate, feistel_output, jaccard_join, language_id, mixing
 from tinta.session import scratch_path
 
+# Sequences that the last stage shuffles among themselves: a prefix of the shards is off the mix by less than a window and a block.
+MIX_WINDOW = 4096
+
 
 def recognise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     net = language_id.learn(docs, F.col("doc_id"))
@@ -39,7 +46,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return feistel_output.materialised(docs.select("doc_id", "text"))
+    layout = feistel_output.Layout(window=MIX_WINDOW)
+    return feistel_output.materialised(feistel_output.stored_order(docs), layout=layout, ordered=True)
 
 
 STAGES = [

@@ -127,6 +127,7 @@ def test_deduplicate_keeps_one_of_each_component(documents):
 
 
 def test_runs_follow_the_target_recall():
+    assert jaccard_join.lost_in_a_run(jaccard_join.JoinSettings()) ** jaccard_join.JoinSettings().runs <= 1 - 0.9999
     few, many = (jaccard_join.runs_for(jaccard_join.JoinSettings(target_recall=t)) for t in (0.9, 0.9999))
     assert few < many <= 10
 
@@ -220,21 +221,19 @@ def test_language_model_scores(documents, none):
     known, model = ngram_lm.build_model(docs, settings)
     got = ngram_lm.score_texts(docs, known, model, settings).collect()
     rows = [(r["doc_id"], re.findall(r"[^\x20\x09-\x0D]+", (r["text"] or "").translate(LOWER)) + ["\n"], r["train"]) for r in docs.collect()]
-    c, pairs, seen = Counter(), Counter(), Counter()
+    c, pairs = Counter(), Counter()
     for _, w, train in rows:
-        seen.update(w)
         if train:
             c.update(w)
             pairs.update(zip(["\t", *w], w))
     total, distinct = sum(c.values()), len(c)
-    frequent = {w for w, n in seen.items() if n >= settings.share * sum(seen.values())} | {"\n", "\t"}
     context = {**c, "\t": sum(t for *_, t in rows)}
     p = lambda v: (c[v] + 0.5) / (total + 0.5 * (distinct + 1))
-    g = lambda u: max(settings.scale * context.get(u, 0) ** settings.power, settings.other_g) if u in frequent else settings.other_g
+    g = settings.g
     expected = []
     for doc, w, _ in rows:
         base = sum(math.log10(p(v)) for v in w)
-        bigram = sum(math.log10((pairs[u, v] + g(u) * p(v)) / (context.get(u, 0) + g(u))) for u, v in zip(["\t", *w], w))
+        bigram = sum(math.log10((pairs[u, v] + g * p(v)) / (context.get(u, 0) + g)) for u, v in zip(["\t", *w], w))
         high, low = max(base, bigram), min(base, bigram)
         expected.append((str(doc), len(w), sum(c[v] > 0 for v in w), total, base, high + math.log10(0.5 * (1 + 10 ** (low - high)))))
     assert len(got) == len(expected)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from tests.llm.test_documents import similar, words
-from tinta.llm import decontaminate, feistel_output
+from tinta.llm import decontaminate, feistel_output, mixing
 
 DATA = "/root/testdata/sf0.001"
 
@@ -32,6 +32,26 @@ def test_stages_take_effect(spark, tmp_path):
     assert sorted(r["slot"] for r in tokens.collect()) == list(range(tokens.count()))
 
 
+def test_shards_keep_the_mix_from_window_to_window(spark, tmp_path):
+    """The sequences of each window of slots are those that stand there in the order of the mix, in another order."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(5)
+    corpus_pipeline.mix_sources(spark, docs, DATA).write.parquet(str(tmp_path / "mix"))
+    mixed = spark.read.parquet(str(tmp_path / "mix"))
+    wanted = {r["doc_id"]: (r["slot"], r["in_block"]) for r in mixing.mix(docs.select(*mixed.columns)).collect()}
+    layout = feistel_output.Layout(length=64, shard_slots=50, window=100)
+    rows = feistel_output.materialised(feistel_output.stored_order(mixed, 64), layout=layout, ordered=True).select("slot", "doc_id", "seq").collect()
+    plain = sorted((r["doc_id"], r["seq"]) for r in feistel_output.materialised(mixed, layout=feistel_output.Layout(length=64)).select("doc_id", "seq").collect())
+    assert sorted((r["doc_id"], r["seq"]) for r in rows) == plain
+    order = sorted(plain, key=lambda x: (*wanted[x[0]], x[0], x[1]))
+    place = {x: i for i, x in enumerate(order)}
+    moved = 0
+    for r in rows:
+        at = place[r["doc_id"], r["seq"]]
+        assert at // 100 == r["slot"] // 100
+        moved += at != r["slot"]
+    assert moved > len(rows) * 0.9
+
+
 def test_run_gives_the_last_stage(spark):
     rows = corpus_pipeline.run(spark, DATA)
     assert rows.columns == feistel_output.materialised(spark.read.parquet(f"{DATA}/documents.parquet").limit(3)).columns and rows.count() > 0

@@ -1,9 +1,12 @@
 """Training-order materialisation of token sequences in fixed-stride shards.
 
 1. Documents become token ids (two bytes each if the vocabulary allows), cut into sequences of a fixed length.
-   They are stored once, numbered inside their task; the sizes of the tasks turn that into one number per sequence.
+   They are stored once, numbered inside their task; the sizes of the tasks turn that into one number per sequence. Documents that come in an order of
+   their own (``part, row``) are numbered in that order instead.
 2. A keyed Feistel network permutes the numbers: a bijection of the next power of four, walked along its cycle until it falls below the
    number of sequences. The result is the sequence's slot in the training order. No sort of the corpus and no table of the order is needed.
+   With ``Layout.window`` each run of so many numbers is permuted in itself, so an order that was made before, such as a mix of sources, holds from
+   window to window.
 3. Slots are range-partitioned; each shard holds a set number of slots as one payload with a fixed stride, so slot ``s`` begins at byte
    ``(s - first) * stride``. Spark commits a write as a whole; ``write_shards`` leaves out shards that a path already has.
 4. ``read_shards`` reads from any slot on, in slot order.
@@ -27,14 +30,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tinta.llm.byte_words import EXACT_VALUES, runs_of_rows, span_hashes, text_bytes
+from tinta.llm.byte_words import EXACT_VALUES, runs_of_rows, small_batches, span_hashes, text_bytes
 from tinta.session import cut_lineage, scratch_path
 
 NULL_ID = -(1 << 63)
 # Rows of two numbers that may be broadcast.
 MOST_SHARED = 1 << 20
 HEAD = np.dtype([("doc_id", "<i8"), ("part", "<i4"), ("n_tokens", "<i4")])
-SEQUENCES = "part int, at bigint, doc_id bigint, seq int, n_tokens int, tokens binary"
+SEQUENCES = "part bigint, at bigint, doc_id bigint, seq int, n_tokens int, tokens binary"
 # Fixed value: the public pattern that splits text before the merges of this vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -57,6 +60,7 @@ class Layout:
     shard_slots: int = 4096
     key: int = 0x5EED
     rounds: int = 6
+    window: int | None = None
 
 
 # ---- tokens
@@ -133,13 +137,15 @@ def encode_texts(data: np.ndarray, offsets: np.ndarray, memo: PieceMemo, end: in
 def runs_of_texts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``first text, end, bytes, offsets`` of runs of texts of a bounded size."""
     data, offsets = text_bytes(column)
-    for first, last in runs_of_rows(column, 2 << 20):
+    for first, last in runs_of_rows(column):
         yield first, last, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
 
 
-def store_sequences(docs: DataFrame, vocabulary: Vocabulary, layout: Layout) -> DataFrame:
-    """Sequences of all documents as a stored table; ``part, at`` is the number of a sequence inside its task."""
+def store_sequences(docs: DataFrame, vocabulary: Vocabulary, layout: Layout, ordered: bool = False) -> DataFrame:
+    """Sequences of all documents as a stored table; ``part, at`` is the number of a sequence inside its task, or if ``ordered`` the
+    ``part, row`` of its document."""
     spark = docs.sparkSession
+    small_batches(spark)
     # the rank file has a set size and goes to the tasks with the function
     ranks = spark.sparkContext.broadcast(spark.read.format("binaryFile").load(vocabulary.path).first()["content"])
 
@@ -147,6 +153,7 @@ def store_sequences(docs: DataFrame, vocabulary: Vocabulary, layout: Layout) ->
         memo, part, at = _memo(vocabulary.path, bytes(ranks.value)), TaskContext.get().partitionId(), 0
         for batch in batches:
             every = batch.column("doc_id").cast(pa.int64()).fill_null(NULL_ID).to_numpy(zero_copy_only=False)
+            parts, places = (batch.column(c).to_numpy() for c in ("part", "row")) if ordered else (None, None)
             for first, last, data, offsets in runs_of_texts(batch.column("text")):
                 tokens, begin = encode_texts(data, offsets, memo, vocabulary.end)
                 ids = every[first:last]
@@ -161,15 +168,17 @@ def store_sequences(docs: DataFrame, vocabulary: Vocabulary, layout: Layout) ->
                 values = pa.Array.from_buffers(pa.large_binary(), len(of), [None, pa.py_buffer(bounds), pa.py_buffer(packed)])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(of), part, np.int32)), pa.array(at + np.arange(len(of))), pa.array(ids[of]),
+                        pa.array(parts[first:last][of] if ordered else np.full(len(of), part, np.int64)),
+                        pa.array(places[first:last][of] if ordered else at + np.arange(len(of))), pa.array(ids[of]),
                         pa.array(seq.astype(np.int32)), pa.array(sizes.astype(np.int32)), values.cast(pa.binary()),
                     ],
                     names=["part", "at", "doc_id", "seq", "n_tokens", "tokens"],
                 )
                 at += len(of)
+        _memo.cache_clear()  # a worker may go on with other work, and the encoder is large
 
     path = scratch_path(spark, "sequences")
-    docs.select("doc_id", "text").mapInArrow(cut, SEQUENCES).write.option("compression", "zstd").parquet(path)
+    docs.select("doc_id", "text", *(("part", "row") if ordered else ())).mapInArrow(cut, SEQUENCES).write.option("compression", "zstd").parquet(path)
     return spark.read.schema(SEQUENCES).parquet(path)
 
 
@@ -197,17 +206,36 @@ def feistel(values: np.ndarray, count: int, key: int, rounds: int = 6) -> np.nda
     return out.astype(np.int64)
 
 
+def slots(numbers: np.ndarray, count: int, layout: Layout) -> np.ndarray:
+    """Slot of each number of ``0 .. count - 1``: one permutation of all, or one of each window with a key of its own."""
+    if layout.window is None or layout.window >= count:
+        return feistel(numbers, count, layout.key, layout.rounds)
+    out = np.empty(len(numbers), np.int64)
+    windows = numbers // layout.window
+    for window in np.unique(windows):
+        here = np.flatnonzero(windows == window)
+        first = int(window) * layout.window
+        out[here] = first + feistel(numbers[here] - first, min(layout.window, count - first), layout.key + int(window), layout.rounds)
+    return out
+
+
 def slot_of(number: Column, count: int, layout: Layout) -> Column:
     @F.pandas_udf("bigint")
     def slot(numbers: pd.Series) -> pd.Series:
-        return pd.Series(feistel(numbers.to_numpy(), count, layout.key, layout.rounds))
+        return pd.Series(slots(numbers.to_numpy(), count, layout))
 
     return slot(number)
 
 
+def numbered_in_order(sequences: DataFrame) -> DataFrame:
+    """``at`` becomes the number of a sequence in its part, by row and place in the document."""
+    inside = Window.partitionBy("part").orderBy("at", "doc_id", "seq")
+    return sequences.withColumn("at", (F.row_number().over(inside) - 1).cast("bigint"))
+
+
 def with_slots(sequences: DataFrame, layout: Layout) -> tuple[DataFrame, int]:
     """Sequences with ``slot`` and ``shard``, and their count."""
-    sizes = sequences.groupBy("part").agg((F.max("at") + 1).alias("_n"))
+    sizes = sequences.groupBy("part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per task
     starts = cut_lineage(sizes.select("part", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
     tasks, count = starts.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
@@ -227,28 +255,48 @@ def stride(vocabulary: Vocabulary, layout: Layout) -> int:
 
 def _pack(batches: Iterator[pa.RecordBatch], size: int, shard_slots: int) -> Iterator[pa.RecordBatch]:
     """Rows in slot order to one payload per shard."""
-    open_shard, payload, n = None, bytearray(), 0
+    open_shard, parts, n = None, [], 0
 
     def done() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array([open_shard]), pa.array([open_shard * shard_slots]), pa.array([n], pa.int32()), pa.array([size], pa.int32()), pa.array([bytes(payload)], pa.binary())],
+            [pa.array([open_shard]), pa.array([open_shard * shard_slots]), pa.array([n], pa.int32()), pa.array([size], pa.int32()), pa.array([b"".join(parts)], pa.binary())],
             names=["shard", "first_slot", "slots", "stride", "payload"],
         )
 
     for batch in batches:
-        for shard, slot, doc, seq, count, tokens in zip(*[batch.column(c).to_pylist() for c in ("shard", "slot", "doc_id", "seq", "n_tokens", "tokens")]):
-            if shard != open_shard:
+        if not batch.num_rows:
+            continue
+        shards, records = batch.column("shard").to_numpy(), _records(batch, size)
+        cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
+        slots_ = batch.column("slot").to_numpy()
+        for b, e in zip(cuts[:-1], cuts[1:]):
+            if shards[b] != open_shard:
                 if n:
                     yield done()
-                open_shard, payload, n = shard, bytearray(), 0
-            if slot != shard * shard_slots + n:
-                raise ValueError(f"slot {slot} is not the next one of shard {shard}")
-            payload += np.array([(doc, seq, count)], HEAD).tobytes() + tokens.ljust(size - HEAD.itemsize, b"\0")
-            n += 1
+                open_shard, parts, n = int(shards[b]), [], 0
+            if (slots_[b:e] != open_shard * shard_slots + n + np.arange(e - b)).any():
+                raise ValueError(f"slots of shard {open_shard} are not dense")
+            parts.append(records[b:e].tobytes())
+            n += e - b
     if n:
         yield done()
 
 
+def _records(batch: pa.RecordBatch, size: int) -> np.ndarray:
+    """The records of a batch as rows of bytes: head, ids, zeros."""
+    rows = batch.num_rows
+    head = np.empty(rows, HEAD)
+    for name, column in zip(HEAD.names, ("doc_id", "seq", "n_tokens")):
+        head[name] = batch.column(column).to_numpy()
+    out = np.zeros((rows, size), np.uint8)
+    out[:, : HEAD.itemsize] = head.view(np.uint8).reshape(rows, -1)
+    tokens = batch.column("tokens").cast(pa.large_binary())
+    offsets = np.frombuffer(tokens.buffers()[1], np.int64, rows + 1, tokens.offset * 8)
+    data = np.frombuffer(tokens.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+    out[:, HEAD.itemsize :][np.arange(size - HEAD.itemsize)[None, :] < np.diff(offsets)[:, None]] = data
+    return out
+
+
 def write_shards(sequences: DataFrame, path: str, vocabulary: Vocabulary, layout: Layout, partitions: int | None = None) -> int:
     """Write the shards that ``path`` does not have yet; gives the number of sequences."""
     spark = sequences.sparkSession
@@ -301,16 +349,26 @@ def read_shards(spark: SparkSession, path: str, vocabulary: Vocabulary, from_slo
     return rows.select("first_slot", "slots", "stride", "payload").mapInArrow(unpack, "slot bigint, doc_id bigint, seq int, n_tokens int, tokens binary")
 
 
-def materialise(docs: DataFrame, vocabulary: Vocabulary = Vocabulary(), layout: Layout = Layout()) -> str:
+def stored_order(docs: DataFrame, rows: int = 4096) -> DataFrame:
+    """``doc_id, text, part, row`` of documents read from files: files in the order of their numbers, rows in the order of each file,
+    in parts of a bounded number of rows."""
+    file, row = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1), F.col("_metadata.row_index")
+    number = F.coalesce(F.expr("try_cast(nullif(_metadata_file, '') AS bigint)"), F.lit(0))
+    numbered = docs.select("doc_id", "text", file.alias("_metadata_file"), row.alias("row"))
+    return numbered.select("doc_id", "text", (number * (1 << 32) + F.floor(F.col("row") / rows)).cast("bigint").alias("part"), "row")
+
+
+def materialise(docs: DataFrame, vocabulary: Vocabulary = Vocabulary(), layout: Layout = Layout(), ordered: bool = False) -> str:
     """Write all documents in training order; gives the folder of the shards."""
     path = scratch_path(docs.sparkSession, "shards")
-    write_shards(store_sequences(docs, vocabulary, layout), path, vocabulary, layout)
+    sequences = store_sequences(docs, vocabulary, layout, ordered)
+    write_shards(numbered_in_order(sequences) if ordered else sequences, path, vocabulary, layout)
     return path
 
 
-def materialised(docs: DataFrame, vocabulary: Vocabulary = Vocabulary(), layout: Layout = Layout()) -> DataFrame:
+def materialised(docs: DataFrame, vocabulary: Vocabulary = Vocabulary(), layout: Layout = Layout(), ordered: bool = False) -> DataFrame:
     """Every slot as it is read back from the shards, with a digest of its ids."""
-    path, spark = materialise(docs, vocabulary, layout), docs.sparkSession
+    path, spark = materialise(docs, vocabulary, layout, ordered), docs.sparkSession
     if _shards_in(spark, path) is None:
         return spark.createDataFrame([], "slot bigint, doc_id bigint, seq int, n_tokens int, tokens_sha256 string")
     return read_shards(spark, path, vocabulary).withColumn("tokens_sha256", F.sha2("tokens", 256)).drop("tokens")
