@@ -90,7 +90,7 @@ def runs_of_rows(column: pa.Array, most_bytes: int = 1 << 20) -> list[tuple[int,
 def small_batches(spark: SparkSession, most_bytes: int = 8 << 20) -> None:
     """Arrow batches of the session hold at most so many bytes from now on: a batch of long texts is copied several times on its way through a worker."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    held = re.fullmatch(r"(\d+)b?", spark.conf.get(name, ""))
+    held = re.fullmatch(r"(\d+)b?", spark.conf.get(name))
     if held is None or not 0 < int(held[1]) <= most_bytes:
         spark.conf.set(name, str(most_bytes))
 
