@@ -12,6 +12,7 @@ from tinta.operators import corpus_stats as cs
 from tinta.operators import projection as pr
 from tinta.operators import subword_vectors as sv
 from tinta.operators import word_vectors as wv
+from tinta.operators.word2vec import train_word2vec
 from tinta.session import cut_lineage, scratch_path
 from tinta.sinks import writers as wr
 from tinta.sources.corpus import load, read_chunks_jsonl, read_report, read_sentences_jsonl
@@ -279,8 +280,7 @@ def run_oov(spark, folder):
 @query("train_word2vec")
 def run_word2vec(spark, folder):
     sentences = clean_documents(spark, folder).select("tokens")
-    model = wv.train_word2vec(sentences, vector_size=16, epochs=1)
-    return wv.vector_table(model.getVectors(), sentences)
+    return train_word2vec(sentences, vector_size=16, epochs=1)[0]
 
 
 @query("train_subword_vectors")

@@ -271,3 +271,24 @@ def test_pca_equals_svd(spark):
     assert np.allclose(np.linalg.norm(found, axis=0), s[:2])
     single = spark.createDataFrame([("m", "w", 1, [1.0, 2.0])], "model_name string, word string, position int, vector array<double>")
     assert pr.word_coordinates(single, "s").count() == 0
+
+
+def test_many_queries_of_few_models_meet_in_blocks(spark, monkeypatch):
+    """The block join and the block product equal the broadcast, and no key holds more rows than blocks allow."""
+    monkeypatch.setattr(rt, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(rt, "CHUNK_BLOCK", 11)
+    rng = np.random.default_rng(2)
+    sizes = {"a": (60, 40), "b": (3, 2), "c": (0, 5), "d": (5, 0)}
+    make = lambda n: [rng.integers(-3, 4, 6).astype(np.float32).tolist() for _ in range(n)]
+    chunks = spark.createDataFrame([(m, i, v) for m, (n, _) in sizes.items() for i, v in enumerate(make(n))], "model_name string, global_chunk_index bigint, embedding array<float>")
+    queries = spark.createDataFrame([(m, f"q{i}", v) for m, (_, n) in sizes.items() for i, v in enumerate(make(n))], "model_name string, query string, embedding array<float>")
+    left, right = rt.dealt_to_blocks(chunks, queries, 11, 7)
+    assert left.groupBy(*rt.BLOCK).count().agg(F.max("count")).first()[0] <= 3 * 11
+    assert right.groupBy(*rt.BLOCK).count().agg(F.max("count")).first()[0] <= 3 * 7
+    key = lambda r: (r["model_name"], r["query"], r["global_chunk_index"])
+    plain, blocked = ({key(r): r["similarity_score"] for r in rt.cosine_scores_by_model(chunks, queries, most_broadcast=n).collect()} for n in (1000, 0))
+    assert len(plain) == 60 * 40 + 3 * 2 and plain == blocked
+    few, many = ({(*key(r), r["rank"]): r["similarity_score"] for r in rt.top_k_by_model(chunks, queries, 4, max_shared_numbers=n).collect()} for n in (10**9, 0))
+    assert len(few) == 40 * 4 + 2 * 3 and few == pytest.approx(many)
+    plan = rt.cosine_scores_by_model(chunks, queries, most_broadcast=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_query_block" in plan and "_chunk_block" in plan

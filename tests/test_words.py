@@ -1,13 +1,17 @@
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tinta.operators import frequency_tables as ft
 from tinta.operators import neighbours as nb
 from tinta.operators import subword_vectors as sv
 from tinta.operators import word_vectors as wv
 from tinta.operators.corpus_stats import token_counts
+from tinta.operators.word2vec import train_word2vec
 from tinta.sinks import writers
 from tinta.streaming import corpus_stream as st
 
@@ -131,15 +135,72 @@ def test_pairs(spark):
     assert found == {("a", "b"): 1, ("b", "a"): 1, ("b", "c"): 1, ("c", "b"): 1, ("c", "a"): 1, ("a", "c"): 1}
 
 
-def test_word2vec(spark):
-    sentences = corpus(spark)
-    model = wv.train_word2vec(sentences, vector_size=8, epochs=1)
-    vectors = wv.vector_table(model.getVectors(), sentences)
-    assert vectors.count() == 6 and vectors.where("word = 'raro'").count() == 0
-    assert {len(r.vector) for r in vectors.collect()} == {8}
-    assert sorted(r.idx for r in vectors.collect()) == list(range(6))
+def plain_huffman(weights):
+    """Total weight times length of the shortest code."""
+    heap, total = sorted(weights), 0
+    heapq.heapify(heap)
+    while len(heap) > 1:
+        joined = heapq.heappop(heap) + heapq.heappop(heap)
+        total += joined
+        heapq.heappush(heap, joined)
+    return total
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_huffman_tree_of_runs_is_a_shortest_code(seed):
+    draw = np.random.default_rng(seed)
+    counts = np.sort(draw.choice(np.arange(1, 2000), draw.integers(1, 60), replace=False))[::-1]
+    words = draw.integers(1, 40, len(counts)) if seed else np.array([1] * len(counts))
+    tree = ft.HuffmanTree.build(counts, words)
+    weights = np.repeat(counts, words)
+    nodes, bits, lengths = tree.paths(np.arange(len(weights)))
+    assert int((lengths * weights).sum()) == plain_huffman(weights.tolist())
+    ends = np.cumsum(lengths)
+    codes = {tuple(zip(nodes[b:e][::-1].tolist(), bits[b:e][::-1].tolist())) for b, e in zip(ends - lengths, ends)}
+    assert len(codes) == len(weights)  # every word has a way of its own
+    assert len(weights) == 1 or set(nodes.tolist()) == set(range(len(weights) - 1))
+    assert all(nodes[e - 1] == len(weights) - 2 for e in ends if len(weights) > 1)  # they meet in the root
+
+
+def test_noise_follows_the_power_of_the_counts():
+    counts, words = np.array([900, 100, 10, 1]), np.array([1, 2, 10, 500])
+    drawn = np.bincount(ft.NoiseTable.build(counts, words).draw(np.random.default_rng(3), 400_000), minlength=513) / 400_000
+    share = np.repeat(counts**0.75, words)
+    share /= share.sum()
+    groups = np.repeat(np.arange(4), words)
+    assert np.bincount(groups, drawn) == pytest.approx(np.bincount(groups, share), rel=0.02)
+    assert drawn[:13] == pytest.approx(share[:13], rel=0.1) and (drawn[13:] > 0).mean() > 0.99
+
+
+def test_negatives_do_not_depend_on_the_block(spark):
+    """The pool of a block is drawn from the whole vocabulary: the same words whatever pairs the block holds."""
+    noise = ft.NoiseTable.build(np.array([50, 5]), np.array([3, 200]))
+    pools = [sv.noise_pool(noise, (42, 0), block) for block in range(30)]
+    assert (sv.noise_pool(noise, (42, 0), 7) == pools[7]).all() and not (pools[7] == pools[8]).all()
+    share = 3 * 50**0.75 / (3 * 50**0.75 + 200 * 5**0.75)
+    assert np.mean(np.concatenate(pools) < 3) == pytest.approx(share, rel=0.05)
+
+
+def test_word2vec(spark, monkeypatch):
+    monkeypatch.setattr(sv, "BLOCK_PAIRS", 2000)
+    rng = np.random.default_rng(11)
+    topics = [[f"t{t}w{i}" for i in range(6)] for t in range(5)]
+    lines = [[str(w) for w in rng.choice(topics[rng.integers(5)], 8)] for _ in range(400)] + [["raro"]] + [["solo"]] * 6
+    sentences = spark.createDataFrame([(t,) for t in lines], "tokens array<string>").repartition(4)
+    vectors, losses = train_word2vec(sentences, vector_size=12, epochs=4, rate=0.2)
+    rows = {r.word: np.array(r.vector) for r in vectors.collect()}
+    assert set(rows) == {w for t in topics for w in t} | {"solo"}  # raro is too rare, solo has no neighbour
+    assert {len(v) for v in rows.values()} == {12} and sorted(r.idx for r in vectors.collect()) == list(range(31))
+    assert losses == sorted(losses, reverse=True) and losses[-1] < 0.9 * losses[0]
+
+    def cos(a, b):
+        return rows[a] @ rows[b] / np.linalg.norm(rows[a]) / np.linalg.norm(rows[b])
+
+    inside = np.mean([cos(a, b) for t in topics for a in t for b in t if a < b])
+    across = np.mean([cos(a, b) for t in topics for s in topics if s is not t for a in t for b in s])
+    assert inside > across + 0.4
     with pytest.raises(ValueError):
-        wv.train_word2vec(sentences, min_count=10**6)
+        train_word2vec(sentences, min_count=10**6)
 
 
 def test_subword_training_learns_and_reaches_unseen_words(spark, monkeypatch):

@@ -1,15 +1,13 @@
-"""Word vectors: training, vocabulary tables, neighbours, words to show."""
+"""Word vectors: vocabulary tables, training pairs, neighbours, words to show."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tinta.functions.rows import explode_rows
 from tinta.functions.text import digit_pattern
-from tinta.operators.corpus_stats import MIN_COUNT, vocabulary
 from tinta.operators.neighbours import nearest
 from tinta.operators.ranking import running_offset
 from tinta.session import cut_lineage
@@ -61,47 +59,6 @@ def skipgram_pairs(sentences: DataFrame, window: int = WINDOW) -> DataFrame:
     return pairs.groupBy("center", "context").count()
 
 
-def train_word2vec(
-    sentences: DataFrame,
-    vector_size: int = VECTOR_SIZE,
-    window: int = WINDOW,
-    min_count: int = MIN_COUNT,
-    epochs: int = EPOCHS,
-    partitions: int | None = None,
-    seed: int = SEED,
-) -> Word2VecModel:
-    """Skip-gram Word2Vec over a ``tokens`` column.
-
-    Spark's trainer holds the model on the driver; ``train_subword_vectors`` keeps its parameters in a table and has
-    no such need. Training runs in as many partitions as there are cores, and no sentence is cut.
-    """
-    if vocabulary(sentences, min_count).limit(1).count() == 0:
-        raise ValueError(f"no word occurs {min_count} times")
-    longest = sentences.agg(F.max(F.size("tokens"))).first()[0]
-    partitions = partitions or sentences.sparkSession.sparkContext.defaultParallelism
-    trainer = Word2Vec(
-        vectorSize=vector_size,
-        windowSize=window,
-        minCount=min_count,
-        maxIter=epochs,
-        numPartitions=partitions,
-        maxSentenceLength=max(1000, longest),
-        seed=seed,
-        inputCol="tokens",
-        outputCol="vector",
-    )
-    return trainer.fit(sentences.select("tokens"))
-
-
-def vector_table(vectors: DataFrame, sentences: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
-    """``word, idx, count, vector`` from ``word, vector`` and the corpus the words come from."""
-    from pyspark.ml.functions import vector_to_array
-
-    kind = vectors.schema["vector"].dataType.typeName()
-    dense = vectors if kind == "array" else vectors.withColumn("vector", vector_to_array("vector", "float32"))
-    return vocabulary_index(vocabulary(sentences, min_count)).join(dense, "word")
-
-
 def vocabulary_stats(vectors: DataFrame, model_type: str, top_n: int = TOP_WORDS) -> DataFrame:
     """One row: vocabulary size, vector size and the most frequent words with their counts."""
     top = vectors.where(F.col("idx") < top_n).agg(

@@ -10,6 +10,7 @@ from tinta.operators import projection as pr
 from tinta.operators import subword_vectors as sv
 from tinta.operators import word_vectors as wv
 from tinta.operators.corpus_stats import MIN_COUNT, corpus_statistics
+from tinta.operators.word2vec import train_word2vec
 from tinta.session import cut_lineage
 from tinta.sinks.writers import vocabulary_stats_table
 
@@ -34,8 +35,8 @@ def run(
     """Train both models on clean sentences; an empty corpus is an error."""
     if sentences.isEmpty():
         raise ValueError("no sentences to train on")
-    model = wv.train_word2vec(sentences, vector_size, window, min_count, epochs)
-    word2vec = cut_lineage(wv.vector_table(model.getVectors(), sentences, min_count))
+    word2vec, _ = train_word2vec(sentences, vector_size, window, min_count, epochs)
+    word2vec = cut_lineage(word2vec)
     fasttext, grams = sv.train_subword_vectors(sentences, vector_size, window, min_count, epochs, buckets)
     fasttext = cut_lineage(fasttext)
     vocabulary = vocabulary_stats_table(
