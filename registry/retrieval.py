@@ -70,7 +70,50 @@ def run_fixed(spark, folder):
     return rows.withColumn("chunk_index", F.col("chunk_index").cast("bigint"))
 
 
-@query("chunk_recursive")
+# Separators in their order with their lengths; a part that holds none of them is cut into windows.
+_SEPARATORS = (("chr(10) || chr(10)", 2), ("chr(10)", 1), ("' '", 1))
+
+
+def _split_sql() -> str:
+    """Four rounds of cutting: a node is cut at the first separator it holds from its level on, and its long parts are the nodes of the next round."""
+    level = " ".join(f"WHEN lvl <= {i} AND contains(piece, {s}) THEN {i}" for i, (s, _) in enumerate(_SEPARATORS))
+    split = " ".join(f"WHEN {i} THEN string_split(piece, {s})" for i, (s, _) in enumerate(_SEPARATORS))
+    width = "[" + ", ".join(str(w) for _, w in _SEPARATORS) + "]"
+    rounds = ["nodes0 AS (SELECT r, 0::BIGINT AS a, n AS b, 0 AS lvl, body AS piece FROM numbered)"]
+    for k in range(4):
+        rounds.append(f"""held{k} AS MATERIALIZED (SELECT *, CASE {level} ELSE 3 END AS eff FROM nodes{k})""")
+        rounds.append(f"""parts{k} AS MATERIALIZED (SELECT *, sum(CAST(e - s >= 1000 AS INT)) OVER (PARTITION BY r, a ORDER BY s) AS before FROM (
+            SELECT r, a, eff, piece, CAST(a + sum(size) OVER w AS BIGINT) AS e, CAST(a + sum(size) OVER w - size AS BIGINT) AS s FROM (
+                SELECT r, a, eff, piece, unnest(sizes) AS size, generate_subscripts(sizes, 1) AS i FROM (
+                    SELECT *, list_transform(CASE eff {split} END, lambda x, i: length(x) + CASE WHEN i > 1 THEN {width}[eff + 1] ELSE 0 END) AS sizes
+                    FROM held{k} WHERE eff < 3)) WHERE size > 0 WINDOW w AS (PARTITION BY r, a ORDER BY i)))""")
+        rounds.append(f"""nodes{k + 1} AS (SELECT r, s AS a, e AS b, eff + 1 AS lvl, substr(piece, s - a + 1, e - s) AS piece FROM parts{k} WHERE e - s >= 1000)""")
+    union = " UNION ALL ".join(f"SELECT r, {k} AS round, a, before, s, e FROM parts{k} WHERE e - s < 1000" for k in range(4))
+    singles = " UNION ALL ".join(f"SELECT r, a, b FROM held{k} WHERE eff = 3" for k in range(4))
+    return ",\n    ".join(rounds) + f""",
+    runs AS MATERIALIZED (SELECT r, list(s ORDER BY s) || [max(e)] AS cuts FROM ({union}) GROUP BY r, round, a, before),
+    walk AS (SELECT r, cuts, 1::BIGINT AS i, len(list_filter(cuts, lambda c: c <= cuts[1] + 1000)) AS j FROM runs
+        UNION ALL SELECT r, cuts, k, len(list_filter(cuts, lambda c: c <= cuts[k] + 1000)) FROM (
+            SELECT r, cuts, 1 + len(list_filter(cuts, lambda c: c < greatest(cuts[j] - 200, cuts[j + 1] - 1000))) AS k FROM walk WHERE j < len(cuts))),
+    spans AS (SELECT r, cuts[i] AS s, cuts[j] AS e FROM walk
+        UNION ALL SELECT r, a + 800 * w, least(a + 800 * w + 1000, b) FROM (
+            SELECT *, unnest(range(1 + CAST(ceil(greatest(b - a - 1000, 0) / 800) AS BIGINT))) AS w FROM ({singles})))"""
+
+
+def _recursive_sql() -> str:
+    return f"""WITH RECURSIVE docs AS (SELECT source AS source_file, 'corpus/' || source || '/' || doc_id AS source_path,
+        {stripped('text')} AS body FROM documents),
+    numbered AS MATERIALIZED (SELECT *, length(body) AS n, row_number() OVER () AS r FROM docs WHERE body <> ''),
+    {_split_sql()},
+    told AS (SELECT * FROM (SELECT r, s, e, source_file, source_path, {stripped('substr(body, s + 1, e - s)')} AS text FROM spans JOIN numbered USING (r))
+        WHERE text <> ''),
+    chunks AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY s, e) - 1 AS chunk_index FROM told)
+    SELECT lower(trim(regexp_replace(source_file, '[^a-zA-Z0-9_-]+', '_', 'g'), '_')) || '_chunk_' || printf('%04d', chunk_index) AS chunk_id,
+        row_number() OVER (ORDER BY source_path, chunk_index) - 1 AS global_chunk_index, chunk_index, source_file, source_path, text,
+        CAST(length(text) AS BIGINT) AS n_characters FROM chunks"""
+
+
+@query("chunk_recursive", _recursive_sql)
 def run_recursive(spark, folder):
     return ch.chunk_documents(source_documents(spark, folder))
 

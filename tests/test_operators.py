@@ -292,3 +292,54 @@ def test_many_queries_of_few_models_meet_in_blocks(spark, monkeypatch):
     assert len(few) == 40 * 4 + 2 * 3 and few == pytest.approx(many)
     plan = rt.cosine_scores_by_model(chunks, queries, most_broadcast=0)._jdf.queryExecution().optimizedPlan().toString()
     assert "_query_block" in plan and "_chunk_block" in plan
+
+
+def plain_spans(splitter, text, start, end, separators):
+    """Recursive splitting part by part, with a queue of the parts that a chunk holds."""
+
+    def pack(parts):
+        held = []
+        for part in parts:
+            if held and part[1] - held[0][0] > splitter.size:
+                yield held[0][0], held[-1][1]
+                while held and (part[0] - held[0][0] > splitter.overlap or part[1] - held[0][0] > splitter.size):
+                    held.pop(0)
+            held.append(part)
+        if held:
+            yield held[0][0], held[-1][1]
+
+    level = next((i for i, s in enumerate(separators) if text.find(s, start, end) >= 0), len(separators) - 1)
+    separator, finer, short = separators[level], separators[level + 1 :], []
+    if separator:
+        cuts, at = [start], text.find(separator, start, end)
+        while at >= 0:
+            cuts.append(at)
+            at = text.find(separator, at + len(separator), end)
+        cuts.append(end)
+    else:
+        cuts = list(range(start, end + 1))
+    for part in [(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]:
+        if part[1] - part[0] < splitter.size:
+            short.append(part)
+            continue
+        yield from pack(short)
+        short = []
+        if finer:
+            yield from plain_spans(splitter, text, *part, finer)
+        else:
+            yield part
+    yield from pack(short)
+
+
+def test_splitter_over_arrays_equals_splitting_part_by_part():
+    draw = random.Random(4)
+    for _ in range(1500):
+        size = draw.randint(1, 30)
+        splitter = ch.Splitter(size, draw.randint(0, size - 1), draw.choice([ch.SEPARATORS, ("\n\n", " "), ("ab", "\n", ""), (" ",)]))
+        text = "".join(draw.choice("abé \n\n  😀" if draw.random() < 0.5 else "abcdefgh") for _ in range(draw.randint(0, 200)))
+        assert list(splitter.spans(text)) == list(plain_spans(splitter, text, 0, len(text), splitter.separators)), (splitter, text)
+
+
+def test_a_long_text_without_spaces_takes_no_part_per_character():
+    chunks = ch.Splitter()("x" * 3_000_000)
+    assert len(chunks) == 1 + -(-(3_000_000 - 1000) // 800) and {len(c) for c in chunks[:-1]} == {1000}
