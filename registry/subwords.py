@@ -9,6 +9,7 @@ from registry.sentences import SPLIT_CTE
 from registry.sqltext import joined, quote, rebuilt, words
 from tinta.functions.text import PRETOKEN_PATTERN, rebuild_text, split_words
 from tinta.operators import subword as sw
+from tinta.operators.unigram import unigram_vocabulary
 from tinta.operators.splits import split_rows
 from tinta.session import cut_lineage, spread
 from tinta.sources.corpus import load, record_tokens
@@ -159,6 +160,12 @@ def run_sentencepiece_vocabulary(spark, folder):
 LONGER = VOCABULARIES.replace("+ 1, 8) + 1)", "+ 1, 12) + 1)").replace("least(length(w), 8)", "least(length(w), 12)").replace("LIMIT 2000", "LIMIT 500")
 
 
+@query("unigram_vocabulary")
+def run_unigram_vocabulary(spark, folder):
+    units = documents_of(spark, folder).select(sw.sentencepiece_units(F.col("text")).alias("tokens"))
+    return unigram_vocabulary(units, size=500)
+
+
 @query("wordpiece_vocabulary_longer", lambda: f"WITH {LONGER} SELECT piece, n AS count FROM wp_vocab")
 def run_wordpiece_vocabulary_longer(spark, folder):
     tokens = documents_of(spark, folder).select(sw.wordpiece_words(F.col("text")).alias("tokens"))

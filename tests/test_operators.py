@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 
 import numpy as np
@@ -15,6 +16,7 @@ from tinta.operators import ranking as rk
 from tinta.operators import retrieval as rt
 from tinta.operators import subword as sw
 from tinta.operators import token_metrics as tm
+from tinta.operators import unigram as ug
 
 GOLDEN = ["Melbourne", "(", "Australia", ")", ",", "25", "may", "(", "EFE", ")", "."]
 WORDPIECES = ["Mel", "##bourne", "(", "Australia", ")", ",", "25", "may", "EF", "##E", "."]
@@ -343,3 +345,45 @@ def test_splitter_over_arrays_equals_splitting_part_by_part():
 def test_a_long_text_without_spaces_takes_no_part_per_character():
     chunks = ch.Splitter()("x" * 3_000_000)
     assert len(chunks) == 1 + -(-(3_000_000 - 1000) // 800) and {len(c) for c in chunks[:-1]} == {1000}
+
+
+def segmentations(word, pieces):
+    """All ways to cut a word, with their probability."""
+    if not word:
+        return [([], 1.0)]
+    return [([word[:n], *rest], pieces[word[:n]] * p) for n in range(1, len(word) + 1) if word[:n] in pieces for rest, p in segmentations(word[n:], pieces)]
+
+
+def test_unigram_training_equals_summing_over_all_segmentations(spark):
+    words = ["▁lunes", "▁luna", "▁lunar", "▁una", "▁unas", "▁sol", "▁soles", "▁solar"]
+    counts = {w: 3 + i for i, w in enumerate(words)}
+    units = spark.createDataFrame([([w] * n,) for w, n in counts.items()] + [([],)], "tokens array<string>").repartition(3)
+    trained = ug.train_unigram(units, size=6, longest=5, rounds=3, seeds=40)
+    assert sum(len(p) > 1 for p in trained.pieces) == 6 and {c for w in words for c in w} <= set(trained.pieces)
+    assert math.fsum(math.exp(x) for x in trained.pieces.values()) == pytest.approx(1)
+    for told in trained.likelihoods:
+        assert told == sorted(told) and told[-1] > told[0]
+    # one round from the trained pieces, by listing every segmentation
+    table = units.select(F.explode("tokens").alias("token")).groupBy("token").count()
+    found, likelihood = ug.expected_uses(table, trained.pieces, 5)
+    plain, shares = {}, {p: math.exp(x) for p, x in trained.pieces.items()}
+    total = 0.0
+    for word, n in counts.items():
+        ways = segmentations(word, shares)
+        whole = sum(p for _, p in ways)
+        total += n * math.log(whole)
+        for pieces, p in ways:
+            for piece in pieces:
+                plain[piece] = plain.get(piece, 0.0) + n * p / whole
+    assert likelihood == pytest.approx(total)
+    assert found == pytest.approx(plain)
+
+
+def test_unigram_vocabulary_feeds_the_encoder(spark):
+    documents = spark.createDataFrame([("la casa de la luna",), ("casas y lunas",), (None,)], "text string")
+    vocabulary = ug.unigram_vocabulary(documents.select(sw.sentencepiece_units(F.col("text")).alias("tokens")), size=8)
+    assert vocabulary.where("length(piece) > 1").count() == 8
+    segmenter = sw.collect_segmenter(vocabulary, sw.SENTENCEPIECE_SPECIALS, "<unk>")
+    assert "".join(segmenter("▁lunas")) == "▁lunas" and len(segmenter("▁casa")) < len("▁casa")
+    empty = ug.train_unigram(documents.where("text IS NULL").select(sw.sentencepiece_units(F.col("text")).alias("tokens")), size=5)
+    assert empty.pieces == {} and empty.likelihoods == []

@@ -80,6 +80,13 @@ def wordpiece_vocabulary(words: DataFrame, size: int = VOCABULARY_SIZE, longest:
     return _top_vocabulary(counts, bare_length == 1, size)
 
 
+def substring_counts(words: DataFrame, longest: int = MAX_PIECE) -> DataFrame:
+    """``piece, count`` of all substrings of up to ``longest`` characters of ``token, count``."""
+    unit = F.col("token")
+    pieces = F.flatten(F.transform(F.sequence(F.lit(1), F.length(unit)), lambda start: _substrings(unit, start, longest)))
+    return explode_rows(words, pieces, "piece", "count").groupBy("piece").agg(F.sum("count").alias("count"))
+
+
 def sentencepiece_vocabulary(units: DataFrame, size: int = VOCABULARY_SIZE, longest: int = MAX_PIECE) -> DataFrame:
     """``piece, count, cost`` from a ``tokens`` column of marked units.
 
