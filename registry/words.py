@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registry import query
-from registry.corpus import CLEAN_CTE, clean_documents
+from registry.corpus import CLEAN_CTE, STATISTICS_SQL, clean_documents
 from registry.sqltext import clean, joined, quote
 from tinta.functions.stopwords import stopwords
 from tinta.operators import corpus_stats as cs
@@ -270,10 +270,9 @@ def run_ngrams(spark, folder):
     WHERE word NOT IN (SELECT word FROM unseen_vectors)""",
 )
 def run_oov(spark, folder):
-    table = word_table(spark, folder)
-    names = F.array_distinct(sv.char_ngrams(F.col("word")))
-    grams = sv.mean_vectors(table.select(F.explode(names).alias("ngram"), "vector"), ["ngram"])
-    found = sv.unseen_neighbours(table, grams, query_words(spark, folder), gram="ngram", buckets=None)
+    table, words = word_table(spark, folder), cut_lineage(query_words(spark, folder))
+    grams = sv.asked_gram_vectors(table, words.join(table.select("word"), "word", "left_anti"))
+    found = sv.unseen_neighbours(table, grams, words, gram="ngram", buckets=None)
     return found.drop("nota")
 
 
@@ -323,6 +322,20 @@ def run_stream_counts(spark, folder):
     return st.read_token_counts(spark, output)
 
 
+@query(
+    "stream_statistics",
+    lambda: STATISTICS_SQL()
+    + """SELECT *, (SELECT string_agg(token || ':' || n, ' ' ORDER BY rank) FROM top) AS top_30_tokens
+    FROM stats""",
+)
+def run_stream_statistics(spark, folder):
+    output, checkpoint = scratch_path(spark, "counts"), scratch_path(spark, "counts-checkpoint")
+    st.write_token_counts(document_stream(spark, folder), output, checkpoint, stopwords())
+    statistics = st.read_statistics(spark, output)
+    listed = F.transform("top_30_tokens", lambda x: F.concat_ws(":", x["token"], x["count"]))
+    return statistics.withColumn("top_30_tokens", F.array_join(listed, " "))
+
+
 @query(
     "sentences_jsonl",
     lambda: f"WITH {CLEAN_CTE()} SELECT {joined('tokens')} AS tokens, count(*) AS n FROM clean GROUP BY 1",

@@ -10,6 +10,7 @@ from tinta.operators import frequency_tables as ft
 from tinta.operators import neighbours as nb
 from tinta.operators import subword_vectors as sv
 from tinta.operators import word_vectors as wv
+from tinta.operators import corpus_stats as cs
 from tinta.operators.corpus_stats import token_counts
 from tinta.operators.word2vec import train_word2vec
 from tinta.sinks import writers
@@ -280,3 +281,32 @@ def test_writers(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "v"), header=True, escape='"').first().vocab_size == "2"
     writers.save_coordinates(words.select("word", F.lit(0.0).alias("x")), str(tmp_path / "xy"))
     assert spark.read.csv(str(tmp_path / "xy"), header=True).count() == 2
+
+
+def test_stream_statistics_stay_in_few_folders_and_count_a_repeated_batch_once(spark, tmp_path):
+    lines = [["uno", "dos", "tres"][: 1 + i % 3] + [f"t{i % 7}"] * (1 + i % 5) for i in range(44)]
+    batches = [spark.createDataFrame([(t,) for t in lines[i * 2 : i * 2 + 2]], "tokens array<string>") for i in range(22)]
+    store = st.SegmentStore(spark, str(tmp_path / "stats"))
+    for number, batch in enumerate(batches):
+        store.add(batch, number)
+        if number in (3, 7, 20):  # the merge of a batch is repeated as well
+            store.add(batch, number)
+    store.add(batches[21], 21)
+    segments = store.segments()
+    assert [(s["level"], s["first"], s["last"]) for s in segments] == [(2, 0, 15), (1, 16, 19), (0, 20, 20), (0, 21, 21)]
+    assert len(store._names("segments")) <= 2 * st.FAN * 3 and len(store._names("manifests")) == 2
+    whole = spark.createDataFrame([(t,) for t in lines], "tokens array<string>")
+    assert st.read_statistics(spark, str(tmp_path / "stats")).collect() == cs.corpus_statistics(whole).collect()
+    assert sorted(st.read_token_counts(spark, str(tmp_path / "stats")).collect()) == sorted(token_counts(whole).collect())
+    empty = st.read_statistics(spark, str(tmp_path / "none")).first()
+    assert (empty["n_sentencias"], empty["longitud_minima"], empty["vocabulario_unico"]) == (0, 0, 0)
+
+
+def test_ngram_vectors_of_the_asked_words_only(spark):
+    words = table(spark, [("gato", [1.0, 0.0]), ("gatos", [1.0, 0.0]), ("pato", [0.0, 3.0]), ("sol", [5.0, 5.0])])
+    asked = spark.createDataFrame([("gat",), ("ñu",)], "word string")
+    found = {r.ngram: list(r.vector) for r in sv.asked_gram_vectors(words, asked).collect()}
+    assert found == {"<ga": [1.0, 0.0], "gat": [1.0, 0.0], "<gat": [1.0, 0.0]}
+    rows = sv.unseen_neighbours(words, sv.asked_gram_vectors(words, asked), asked, n=2, gram="ngram", buckets=None).collect()
+    assert [(r.palabra_similar, r.esta_en_vocabulario_explicito) for r in rows if r.palabra_oov == "gat"] == [("gato", False), ("gatos", False)]
+    assert [r.estado for r in rows if r.palabra_oov == "ñu"] == ["error: no known n-gram"]

@@ -65,19 +65,29 @@ def top_tokens(sentences: DataFrame, n: int = TOP_TOKENS) -> DataFrame:
 
 def corpus_statistics(sentences: DataFrame, top_n: int = TOP_TOKENS) -> DataFrame:
     """One row: sizes, mean/min/max length, vocabulary size and the most frequent tokens."""
+    return statistics_of(sentence_lengths(sentences), token_counts(sentences), top_n)
+
+
+def sentence_lengths(sentences: DataFrame) -> DataFrame:
+    """One row: how many sentences and tokens there are, and the shortest and longest length (NULL without sentences)."""
     size = F.size("tokens").cast("bigint")
-    lengths = sentences.agg(
+    return sentences.agg(
         F.count("*").alias("n_sentencias"),
         F.coalesce(F.sum(size), F.lit(0)).alias("total_tokens"),
-        F.coalesce(F.min(size), F.lit(0)).cast("bigint").alias("longitud_minima"),
-        F.coalesce(F.max(size), F.lit(0)).cast("bigint").alias("longitud_maxima"),
-    ).withColumn(
+        F.min(size).alias("longitud_minima"),
+        F.max(size).alias("longitud_maxima"),
+    )
+
+
+def statistics_of(lengths: DataFrame, counts: DataFrame, top_n: int = TOP_TOKENS) -> DataFrame:
+    """The statistics row from ``sentence_lengths`` and ``token, count``, however these were added up."""
+    least = {c: F.coalesce(c, F.lit(0)).cast("bigint") for c in ("longitud_minima", "longitud_maxima")}
+    lengths = lengths.withColumns(least).withColumn(
         "longitud_promedio",
         F.coalesce(
             round_even(F.col("total_tokens") / F.nullif(F.col("n_sentencias"), F.lit(0)), 3), F.lit(0.0)
         ),
     )
-    counts = token_counts(sentences)
     size_of_vocabulary = counts.agg(F.count("*").alias("vocabulario_unico")).scalar()
     best = counts.orderBy(F.desc("count"), "token").limit(top_n)
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("neg"), "token")))
