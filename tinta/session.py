@@ -64,6 +64,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_path`` named, once nothing reads it any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of executors and stops the plan from growing."""
     shared_dir(df.sparkSession)
