@@ -35,7 +35,7 @@ from tinta.llm.byte_words import _mix, small_batches
 from tinta.llm.components import components
 from tinta.llm.group_rows import forest, groups
 from tinta.llm.set_hashes import set_digest, shingle_sets
-from tinta.session import cut_lineage, scratch_path
+from tinta.session import cut_lineage, drop_scratch, scratch_path
 
 
 GROUP = ("fid", "ti", "tj")
@@ -54,7 +54,7 @@ class JoinSettings:
     threshold: float = 0.8
     target_recall: float = 0.9999
     first_branches: float = 3.0
-    branches: float = 1.6
+    branches: float = 2.0
     sample: int = 48
     alike: float = 0.5
     limit: int = 256
@@ -127,14 +127,13 @@ def keyed_rows(docs: DataFrame, s: JoinSettings) -> DataFrame:
     return docs.sparkSession.read.parquet(path)
 
 
-def class_table(keys: DataFrame, docs: DataFrame, s: JoinSettings) -> DataFrame:
-    """Stored ``cno, cls, size, doc_id, k1, k2, n, paths, sample``: a row per class with its first paths and bottom-k sample."""
-    spark = docs.sparkSession
+def class_table(keys: DataFrame, folder: str) -> DataFrame:
+    """Stored ``cno, cls, size, doc_id, k1, k2, n``: a row per class, with the row that stands for it."""
+    spark, path = keys.sparkSession, f"{folder}/classes"
     chosen = keys.where("n > 0").groupBy("cls").agg(
         F.count("*").alias("size"), F.min("doc_id").alias("doc_id"), F.min(F.struct("k1", "k2")).alias("k"), F.first("n").alias("n")
     )
     chosen = chosen.select("cls", "size", "doc_id", "k.k1", "k.k2", "n", F.monotonically_increasing_id().alias("cno"))
-    path = scratch_path(spark, "classes")
     chosen.write.parquet(path)
     return spark.read.parquet(path)
 
@@ -166,14 +165,14 @@ def signatures(docs: DataFrame, s: JoinSettings) -> DataFrame:
 # ---- buckets
 
 
-def final_buckets(signed: DataFrame, s: JoinSettings) -> DataFrame:
+def final_buckets(signed: DataFrame, s: JoinSettings, folder: str) -> DataFrame:
     """``fid, cno, members``: buckets to compare. Equal buckets have one id, and ids of larger buckets are smaller."""
     spark = signed.sparkSession
     found: list[DataFrame] = []
     rows = signed.select("cno", F.explode("paths").alias("path"))
     open_ = _with_sizes(rows).where("members > 1")
     for level in range(1, s.deepest + 1):
-        path = scratch_path(spark, f"paths-{level}")
+        path = f"{folder}/paths-{level}"
         open_.write.parquet(path)
         held = spark.read.parquet(path)
         found.append(held.where(F.col("members") <= s.limit))
@@ -183,7 +182,7 @@ def final_buckets(signed: DataFrame, s: JoinSettings) -> DataFrame:
         if level == s.deepest:
             found.append(large)
             break
-        longer = _extended(large, signed, s)
+        longer = _extended(large, signed, s, f"{folder}/longer-{level}")
         counts = longer.groupBy("path", "child").count()
         pairs = F.sum(F.col("count") * (F.col("count") - 1.0))
         shared = counts.groupBy("path").agg(pairs.alias("pairs"))
@@ -211,7 +210,7 @@ def _with_sizes(rows: DataFrame) -> DataFrame:
     return rows.join(sizes, "path")
 
 
-def _extended(large: DataFrame, signed: DataFrame, s: JoinSettings) -> DataFrame:
+def _extended(large: DataFrame, signed: DataFrame, s: JoinSettings, path: str) -> DataFrame:
     """``path, child, cno``: the longer paths of all members, stored because they are counted and split."""
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,7 +227,6 @@ def _extended(large: DataFrame, signed: DataFrame, s: JoinSettings) -> DataFrame
 
     per_class = large.groupBy("cno").agg(F.collect_list("path").alias("paths"))  # a class has few paths by the branching numbers
     rows = per_class.join(signed.select("cno", "sample"), "cno").mapInArrow(grow, "path bigint, child bigint, cno bigint")
-    path = scratch_path(large.sparkSession, "longer")
     rows.write.parquet(path)
     return large.sparkSession.read.parquet(path)
 
@@ -377,13 +375,13 @@ def near_duplicates(docs: DataFrame, s: JoinSettings = JoinSettings()) -> DataFr
     ``component_id``: smallest id that links lead to; ``kept``: whether the row stands for its component; ``k1, k2``: digests that name the row.
     """
     small_batches(docs.sparkSession)
-    keys = keyed_rows(docs, s)
-    classes = class_table(keys, docs, s)
     spark = docs.sparkSession
-    path = scratch_path(spark, "signed")
-    signatures(docs, s).join(classes.select("cls", "cno"), "cls").drop("cls").write.parquet(path)
-    signed = spark.read.parquet(path)
-    buckets = cut_lineage(final_buckets(signed, s))
+    folder = scratch_path(spark, "chosen-path")
+    keys = keyed_rows(docs, s)
+    classes = class_table(keys, folder)
+    signatures(docs, s).join(classes.select("cls", "cno"), "cls").drop("cls").write.parquet(f"{folder}/signed")
+    signed = spark.read.parquet(f"{folder}/signed")
+    buckets = cut_lineage(final_buckets(signed, s, folder))
     result = verified(docs, compared(buckets, classes, signed, s), s)
     links = result.groupBy("cno").agg(F.sum("links").alias("links"))
     labels = components(result.where("other IS NOT NULL").select(F.col("cno").alias("a"), F.col("other").alias("b")))
@@ -393,6 +391,7 @@ def near_duplicates(docs: DataFrame, s: JoinSettings = JoinSettings()) -> DataFr
     # of a class, the row with the smallest id stands for it
     smallest = keys.where("n > 0").groupBy("cls").agg(F.min(first).alias("first"))
     named = cut_lineage(named.select("cls", "cno", "label", "size", "links").join(smallest, "cls"))
+    drop_scratch(spark, folder)  # all that follows reads the stored keys and this checkpoint
     top = named.groupBy("label").agg(F.min("first").alias("top"))
     named = named.join(top, "label").select(
         "cls",
