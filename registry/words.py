@@ -9,6 +9,7 @@ from registry.corpus import CLEAN_CTE, STATISTICS_SQL, clean_documents
 from registry.sqltext import clean, joined, quote
 from tinta.functions.stopwords import stopwords
 from tinta.operators import corpus_stats as cs
+from tinta.operators import encoding as en
 from tinta.operators import projection as pr
 from tinta.operators import subword_vectors as sv
 from tinta.operators import word_vectors as wv
@@ -214,6 +215,22 @@ def run_vectors_of(spark, folder):
     return rows.select("word", "position", F.round(total, 6).alias("total"))
 
 
+@query(
+    "encode_mean_vectors",
+    lambda: f"""WITH {WORDS()}, uses AS (SELECT doc_id, vec_id, count(*) AS n FROM (SELECT doc_id, unnest(tokens) AS word FROM clean)
+        JOIN first USING (word) GROUP BY 1, 2),
+    found AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_known, round(sum(n * list_sum(embedding::DOUBLE[])) / sum(n), 6) AS total,
+        round(sum(n * embedding[1]::DOUBLE) / sum(n), 6) AS x1, round(sum(n * embedding[64]::DOUBLE) / sum(n), 6) AS x64
+        FROM uses JOIN embeddings USING (vec_id) GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_known, 0) AS n_known, total, x1, x64 FROM clean LEFT JOIN found USING (doc_id)""",
+)
+def run_mean_vectors(spark, folder):
+    rows = en.encode_mean_vectors(clean_documents(spark, folder), word_table(spark, folder))
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
+    cells = [F.round(F.col("embedding")[i], 6).alias(f"x{i + 1}") for i in (0, 63)]
+    return rows.select("doc_id", "n_known", F.round(total, 6).alias("total"), *cells)
+
+
 @query(
     "skipgram_pairs",
     lambda: f"""WITH {CLEAN_CTE()},

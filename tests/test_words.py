@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tinta.operators import encoding as en
 from tinta.operators import frequency_tables as ft
 from tinta.operators import neighbours as nb
 from tinta.operators import subword_vectors as sv
@@ -310,3 +311,16 @@ def test_ngram_vectors_of_the_asked_words_only(spark):
     rows = sv.unseen_neighbours(words, sv.asked_gram_vectors(words, asked), asked, n=2, gram="ngram", buckets=None).collect()
     assert [(r.palabra_similar, r.esta_en_vocabulario_explicito) for r in rows if r.palabra_oov == "gat"] == [("gato", False), ("gatos", False)]
     assert [r.estado for r in rows if r.palabra_oov == "ñu"] == ["error: no known n-gram"]
+
+
+def test_mean_word_vectors_on_both_paths(spark):
+    vectors = table(spark, [("rey", [1.0, 0.0]), ("reina", [0.0, 2.0]), ("de", [4.0, 4.0])])
+    rows = [(1, ["rey", "rey", "reina", "nadie"]), (2, ["nadie"]), (3, []), (None, ["de"])] + [(i, ["de", "rey"]) for i in range(10, 60)]
+    sentences = spark.createDataFrame(rows, "doc_id bigint, tokens array<string>")
+    for limit in (10**9, 0):
+        found = {r["doc_id"]: (r["n_known"], r["embedding"]) for r in en.encode_mean_vectors(sentences, vectors, max_shared=limit).collect()}
+        assert len(found) == len(rows) and found[1] == (3, pytest.approx([2 / 3, 2 / 3])) and found[2] == (0, None) == found[3]
+        assert found[30] == (2, pytest.approx([2.5, 2.0]))
+    weights = spark.createDataFrame([("rey", 1.0), ("reina", 6.0)], "word string, weight double")
+    found = {r["doc_id"]: r["embedding"] for r in en.encode_mean_vectors(sentences, vectors, weights=weights).collect()}
+    assert found[1] == pytest.approx([2 / 8, 12 / 8]) and found[30] == pytest.approx([1.0, 0.0])
