@@ -24,9 +24,16 @@ from tinta.session import scratch_path
 MIX_WINDOW = 4096
 
 
+def put_aside(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """Documents without a column that the next operator adds: such columns of the input get another name, which the result undoes."""
+    aside = {c: f"{c} of the input" for c in docs.columns if c.lower() in names}
+    return docs.withColumnsRenamed(aside), {new: old for old, new in aside.items()}
+
+
 def recognise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    net = language_id.learn(docs, F.col("doc_id"))
-    return language_id.accepted(language_id.predict(docs, net)).select(*docs.columns)
+    rows, back = put_aside(docs, "lang_pred", "score")
+    net = language_id.learn(rows, F.col("doc_id"))
+    return language_id.accepted(language_id.predict(rows, net)).select(*rows.columns).withColumnsRenamed(back)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,14 +42,16 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def remove_test_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    clean = decontaminate.remove_spans(decontaminate.find_contamination(docs, benchmark))
+    rows, back = put_aside(docs, "n_words", "spans", "items")
+    clean = decontaminate.remove_spans(decontaminate.find_contamination(rows, benchmark))
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return clean.select(*docs.columns)
+    return clean.select(*rows.columns).withColumnsRenamed(back)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.in_training_order(mixing.mix(docs)).select(*docs.columns)
+    rows, back = put_aside(docs, *mixing.ADDED)
+    return mixing.in_training_order(mixing.mix(rows)).select(*rows.columns).withColumnsRenamed(back)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

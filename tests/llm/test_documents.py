@@ -355,3 +355,13 @@ def test_token_output_round_trip_and_resume(spark, documents, none):
     feistel_output.write_shards(sequences, half, vocabulary, layout)
     assert spark.read.parquet(half).count() == spark.read.parquet(path).count() == -(-len(rows) // 128)
     assert feistel_output.materialised(none).count() == 0
+
+
+def test_columns_with_the_names_used_on_the_way_are_kept(spark):
+    rows = [(i, f"one two three four five six {i % 4}", "abc"[i % 3], i, -i, "x") for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, _row int, _digest int, _k1 string")
+    mixed = mixing.mix(docs, settings=mixing.Mixing(block=2))
+    assert mixed.columns == [*docs.columns, *mixing.ADDED]
+    assert sorted(tuple(r)[:6] for r in mixed.collect()) == sorted(rows)
+    single = jaccard_join.deduplicate(docs)
+    assert single.columns == docs.columns and sorted(map(tuple, single.collect())) == sorted(rows)[:4]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm.test_documents import similar, words
 from tinta.llm import decontaminate, feistel_output, mixing
@@ -55,3 +57,23 @@ def test_shards_keep_the_mix_from_window_to_window(spark, tmp_path):
 def test_run_gives_the_last_stage(spark):
     rows = corpus_pipeline.run(spark, DATA)
     assert rows.columns == feistel_output.materialised(spark.read.parquet(f"{DATA}/documents.parquet").limit(3)).columns and rows.count() > 0
+
+
+def test_stages_with_nulls_repeated_rows_clashing_columns_and_no_rows(spark, tmp_path):
+    """What the module says of odd rows; all but the last stage return the columns they were given."""
+    start = spark.read.parquet(f"{DATA}/documents.parquet")
+    long = start.where("length(text) > 400").limit(30)
+    odd = spark.createDataFrame([(None, None, None, None, None), (7001, "", "es", None, 0), (7002, " \n ", None, "s", 3)], start.schema)
+    rows = long.unionByName(long.limit(5)).unionByName(odd).withColumn("source", F.when(F.col("doc_id") % 2 == 0, F.col("source")))
+    rows = rows.withColumns({"spans": F.lit(1), "_row": F.lit(2), "slot": F.lit(3)})
+    for table, name in ((rows, "odd"), (rows.limit(0), "none")):
+        table.write.parquet(str(tmp_path / name / "start"))
+        held = spark.read.parquet(str(tmp_path / name / "start"))
+        columns, ids = held.columns, {r["doc_id"] for r in long.collect()} if name == "odd" else set()
+        for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, held, DATA)
+            assert out.columns == columns or number == len(corpus_pipeline.STAGES) - 1
+            out.write.parquet(str(tmp_path / name / str(number)))
+            held = spark.read.parquet(str(tmp_path / name / str(number)))
+            assert {r["doc_id"] for r in held.select("doc_id").collect()} <= ids
+        assert (held.count() > 0) == (name == "odd")

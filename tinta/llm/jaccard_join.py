@@ -416,6 +416,8 @@ def near_duplicates(docs: DataFrame, s: JoinSettings = JoinSettings()) -> DataFr
 def deduplicate(docs: DataFrame, s: JoinSettings = JoinSettings()) -> DataFrame:
     """The documents, one of each component; of rows that repeat in full one stays if they have words."""
     kept = near_duplicates(docs, s).where("kept").select("k1", "k2").distinct()
-    named = docs.withColumns({c: k for c, k in zip(("_k1", "_k2"), row_keys())})
-    stay = named.join(kept, (named["_k1"] == kept["k1"]) & (named["_k2"] == kept["k2"]), "left_semi")
-    return stay.dropDuplicates(["_k1", "_k2"]).drop("_k1", "_k2")
+    held = {c.lower() for c in docs.columns}
+    k1, k2 = (next(n for n in (f"_k{i}" + "_" * j for j in range(len(held) + 1)) if n not in held) for i in (1, 2))
+    named = docs.withColumns(dict(zip((k1, k2), row_keys())))
+    stay = named.join(kept.toDF(f"{k1}of", f"{k2}of"), (F.col(k1) == F.col(f"{k1}of")) & (F.col(k2) == F.col(f"{k2}of")), "left_semi")
+    return stay.dropDuplicates([k1, k2]).drop(k1, k2)

@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tinta.session import cut_lineage
 
 ADDED = ("block", "in_block", "slot", "release", "deadline")
+# Names that are used on the way; columns of the input with these names are put aside.
+OWN = ("_digest", "_bucket", "_row", "_in", "_name", "_at", "_start", "_n", "_weight", "_given", "_source", "_block", "_slot", "_release", "_deadline")
 
 
 @dataclass(frozen=True)
@@ -128,6 +130,10 @@ def mix(docs: DataFrame, weights: dict | None = None, source: str = "source", se
     Without ``weights`` (source to weight) the sizes to the given power are taken.
     """
     docs = docs.drop(*ADDED)
+    aside = {c: f"{c} of the input" for c in docs.columns if c.lower() in OWN}
+    if aside:
+        mixed = mix(docs.withColumnsRenamed(aside), weights, aside.get(source, source), settings, power)
+        return mixed.withColumnsRenamed({v: k for k, v in aside.items()})
     sizes = cut_lineage(source_weights(docs, source, weights, power))
     count = sizes.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.sum(F.ceil(F.col("_n") / settings.block)), F.lit(0)))
     sources, rows, blocks = count.first()
