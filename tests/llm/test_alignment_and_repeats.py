@@ -129,7 +129,8 @@ def test_alignment_of_an_empty_table(spark):
 def test_the_memo_may_start_anew_between_runs():
     paths = token_alignment.Tokenizers()
     memo = token_alignment.PieceEncoder(open(paths.a, "rb").read(), open(paths.b, "rb").read(), most=3)
-    for text in ("one two three four", "five six", "one two", "x▁y one"):
+    odd = "  lead  \n and trail  \t \u3000 wide\u3000 gap\u00a0 nbsp  "
+    for text in ("one two three four", "five six", "one two", "x▁y one", odd, odd + " ".join(f"w{i}" for i in range(200)) + odd):
         columns, same = token_alignment.encode_texts(pa.array([text]), memo)
         plain = plain_alignment([text])[0]
         assert [np.frombuffer(c[0].as_py(), np.uint16).tolist() for c in columns] == [plain["a"], plain["b"]] and same[0] == bool(plain["a"])

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tinta.llm.byte_words import EXACT_VALUES, place_in, runs_of_rows, small_batches, span_hashes, text_bytes
+from tinta.llm.byte_words import EXACT_VALUES, byte_class, place_in, runs_of_rows, small_batches, span_hashes, text_bytes
 from tinta.llm.perfect_hash import PerfectHash, bucket_of, build_bucket
 from tinta.session import cut_lineage, scratch_path
 
@@ -40,6 +40,10 @@ NUMBERS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 BLOCK = 4096
 FAN = 32
 RUN_BYTES = 1 << 20
+# Pieces that are encoded in one go.
+TOGETHER = 64
+# Bytes that are, or may begin, white space.
+CLOSED = byte_class({32, *range(9, 14), 0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3})
 
 
 @dataclass(frozen=True)
@@ -66,7 +70,7 @@ def byte_letters() -> dict[str, int]:
 class PieceEncoder:
     """Ids of both tokenizers for the pieces met before; it starts anew when it holds too much."""
 
-    def __init__(self, a_file: bytes, b_file: bytes, most: int = 150_000, most_ids: int = 4_000_000):
+    def __init__(self, a_file: bytes, b_file: bytes, most: int = 300_000, most_ids: int = 4_000_000):
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -101,24 +105,48 @@ class PieceEncoder:
         new = np.flatnonzero(found < 0)
         if len(new):
             raw = [pieces[i] for i in new]
-            texts = [x.decode() for x in raw]
-            each = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)], self.b.encode([t[1:] for t in texts], num_threads=1)
             found[new] = np.arange(len(new)) + len(self.number)
             self.number.update(zip(hashes[new].tolist(), found[new].tolist()))
             differs = np.zeros(len(new), bool)
-            for side, ids in enumerate(each):
-                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-                flat = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-                said = list(map(self.bytes[side].__getitem__, flat.tolist()))
-                if b"".join(said) != b"".join(raw):
-                    ends = np.cumsum(sizes).tolist()
-                    differs |= np.array([b"".join(said[b:e]) != x for b, e, x in zip([0, *ends[:-1]], ends, raw)])
+            for side in (0, 1):
+                flat, sizes, other = self._together(side, raw) or self._one_by_one(side, raw)
+                differs |= other
                 self.begin[side] = np.concatenate((self.begin[side], self.begin[side][-1] + np.cumsum(sizes)))
                 self.ids[side] = np.concatenate((self.ids[side], flat))
             self.differs = np.concatenate((self.differs, differs))
         return found
 
 
+    def _encode(self, side: int, texts: list[str]) -> list[list[int]]:
+        if side:
+            return self.b.encode([t[1:] for t in texts], num_threads=1)  # B puts the space in front itself
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _together(self, side: int, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """Ids of all pieces, their number in each piece, and that no piece differs: pieces that may stand side by side are encoded in one go
+        and told apart by the ends of their tokens. None if a tokenizer changes one of them."""
+        plain = np.array([x[0] == 32 and len(x) > 1 and not CLOSED[x[1]] and x[-1] != 32 for x in raw])
+        cut = np.ones(len(raw), bool)
+        cut[1:] = ~(plain[1:] & plain[:-1])
+        cut[np.arange(0, len(raw), TOGETHER)] = True
+        first = np.flatnonzero(cut).tolist()
+        texts = [b"".join(raw[b:e]).decode() for b, e in zip(first, [*first[1:], len(raw)])]
+        flat = np.fromiter(itertools.chain.from_iterable(self._encode(side, texts)), np.uint32)
+        if b"".join(map(self.bytes[side].__getitem__, flat.tolist())) != b"".join(raw):
+            return None
+        ends, wanted = np.cumsum(self.sizes[side][flat]), np.cumsum([len(x) for x in raw])
+        last = np.searchsorted(ends, wanted, "left")
+        if not (ends[last] == wanted).all():
+            return None
+        return flat, np.diff(last, prepend=-1), np.zeros(len(raw), bool)
+
+    def _one_by_one(self, side: int, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ids = self._encode(side, [x.decode() for x in raw])
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        differs = np.array([b"".join(map(self.bytes[side].__getitem__, own)) != x for own, x in zip(ids, raw)], bool)
+        return np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes, differs
+
+
 @lru_cache(maxsize=1)
 def _encoder(a: str, b: str, files: tuple[bytes, bytes]) -> PieceEncoder:
     """One encoder per worker process, kept over its tasks."""
@@ -136,11 +164,9 @@ def led_by_space(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 def cut_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Spans of the pieces: cut before a space that no space precedes and no space character follows, and between texts."""
-    closed = np.zeros(256, bool)  # bytes that are, or may begin, white space
-    closed[[32, *range(9, 14), 0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
     cut = np.zeros(len(data) + 1, bool)
     if len(data) > 2:
-        cut[1:-2] = (data[1:-1] == 32) & (data[:-2] != 32) & ~closed[data[2:]]
+        cut[1:-2] = (data[1:-1] == 32) & (data[:-2] != 32) & ~CLOSED[data[2:]]
     cut[offsets] = True
     cut[-1] = False
     starts = np.flatnonzero(cut)
@@ -267,7 +293,6 @@ class Alignment:
                     part = batch.slice(first, last - first)
                     columns, _ = encode_texts(part.column("text"), encoder)
                     yield pa.RecordBatch.from_arrays([part.column("row"), *columns], names=["row", "a", "b"])
-            _encoder.cache_clear()  # a worker may go on with other work
 
         rows = docs.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others]).alias("row"), "text")
         path = scratch_path(self.spark, "tokens")
