@@ -18,7 +18,8 @@ CHECKED = (
     "token_rows_to_sentences grouped_tokens identifier_ratio split_70_15_15 first_n_per_split parse_token_list "
     "cell_tokens wordpiece_encode sentencepiece_encode token_metrics fragmentation_summary chunk_documents "
     "chunk_fixed encode_texts cosine_scores best_chunk attach_scores topk_per_query similar_words "
-    "nearest_by_blocks skipgram_pairs stream_clean stream_token_counts sentences_jsonl report_csv"
+    "nearest_by_blocks skipgram_pairs stream_clean stream_token_counts stream_statistics sentences_jsonl report_csv "
+    "chunk_recursive oov_neighbours encode_mean_vectors vectors_of_words"
 ).split()
 
 
