@@ -39,3 +39,7 @@ def test_vocabulary_statistics_count_every_word(spark, folder):
     rows = {r[0]: r for r in answers(spark, folder, "vocab_stats")}
     assert {name: r[1] for name, r in rows.items()} == {"Word2Vec": 330, "FastText": 330}
     assert rows["Word2Vec"][3].count('"word"') == 30 and rows["FastText"][3].count('"word"') == 130
+
+
+def test_matrix_holds_each_of_the_first_words(spark, folder):
+    assert sorted(r[0] for r in answers(spark, folder, "embedding_matrix")) == list(range(300))
