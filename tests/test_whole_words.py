@@ -43,3 +43,8 @@ def test_vocabulary_statistics_count_every_word(spark, folder):
 
 def test_matrix_holds_each_of_the_first_words(spark, folder):
     assert sorted(r[0] for r in answers(spark, folder, "embedding_matrix")) == list(range(300))
+
+
+def test_default_words_are_the_most_frequent_ones(spark, folder):
+    frequent = entry_points.queries()["vocabulary_index"](spark, folder).where("idx < 5").collect()
+    assert sorted(answers(spark, folder, "default_words")) == sorted((r["word"], r["idx"] + 1) for r in frequent)
