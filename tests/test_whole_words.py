@@ -48,3 +48,8 @@ def test_matrix_holds_each_of_the_first_words(spark, folder):
 def test_default_words_are_the_most_frequent_ones(spark, folder):
     frequent = entry_points.queries()["vocabulary_index"](spark, folder).where("idx < 5").collect()
     assert sorted(answers(spark, folder, "default_words")) == sorted((r["word"], r["idx"] + 1) for r in frequent)
+
+
+def test_words_to_show_leave_no_frequent_word_out(spark, folder):
+    frequent = {r["word"] for r in entry_points.queries()["vocabulary_index"](spark, folder).where("idx < 200").collect()}
+    assert {r[0] for r in answers(spark, folder, "display_words")} == frequent
