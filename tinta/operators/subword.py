@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tinta.functions.rows import explode_rows
 from tinta.functions.text import pretokenize, rebuild_text, split_words
@@ -26,7 +26,11 @@ MAX_WORD = 100
 VOCABULARY_SIZE = 2000
 COST_SCALE = 1_000_000
 UNKNOWN_COST = 10 * COST_SCALE
-MEMO_WORDS = 200_000
+# Words that a task works on at a time, and the longest word that is cut together with others.
+RUN_WORDS = 200_000
+BATCH_WORD = 64
+# Cells of a table of children that a task may hold.
+EDGE_TABLE = 2_000_000
 
 
 def wordpiece_words(text: Column) -> Column:
@@ -44,19 +48,21 @@ def _substrings(word: Column, start: Column, longest: int) -> Column:
     return F.transform(F.sequence(F.lit(1), room), lambda n: F.substring(word, start, n))
 
 
-def _piece_counts(words: DataFrame, pieces: Column) -> DataFrame:
-    """Counts of pieces, weighted by the word counts; only distinct words are taken apart."""
+def _distinct_words(words: DataFrame) -> DataFrame:
+    """``token, count``, spread over the cores: a word grows some sixty-fold when it is taken apart."""
     counted = token_counts(words).where(F.length("token") > 0)
-    # a word grows some sixty-fold here, so the small table of words is spread before it does
-    partitions = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    exploded = explode_rows(counted.repartition(partitions), pieces, "piece", "count")
-    return exploded.groupBy("piece").agg(F.sum("count").alias("count"))
+    return counted.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _piece_counts(counted: DataFrame, pieces: Column) -> DataFrame:
+    """Counts of pieces, weighted by the word counts; only distinct words are taken apart."""
+    return explode_rows(counted, pieces, "piece", "count").groupBy("piece").agg(F.sum("count").alias("count"))
 
 
-def _top_vocabulary(counts: DataFrame, single: Column, size: int) -> DataFrame:
-    """All single-character pieces and the ``size`` most frequent longer ones."""
+def _top_vocabulary(singles: DataFrame, counts: DataFrame, single: Column, size: int) -> DataFrame:
+    """All single-character pieces, out of ``singles``, and the ``size`` most frequent longer ones."""
     longer = counts.where(~single).orderBy(F.desc("count"), "piece").limit(size)
-    return counts.where(single).unionByName(longer)
+    return singles.where(single).unionByName(longer)
 
 
 def wordpiece_vocabulary(words: DataFrame, size: int = VOCABULARY_SIZE, longest: int = MAX_PIECE) -> DataFrame:
@@ -64,20 +70,25 @@ def wordpiece_vocabulary(words: DataFrame, size: int = VOCABULARY_SIZE, longest:
 
     Pieces have at most ``longest`` characters; every word counts, whatever its length.
     """
-    word = F.col("token")
-    inner = F.when(
-        F.length(word) > 1,
-        F.flatten(
-            F.transform(
-                F.sequence(F.lit(2), F.length(word)),
-                lambda start: F.transform(_substrings(word, start, longest), lambda p: F.concat(F.lit("##"), p)),
-            )
-        ),
-    ).otherwise(F.array().cast("array<string>"))
-    counts = _piece_counts(words, F.concat(_substrings(word, F.lit(1), longest), inner))
+    word, counted = F.col("token"), _distinct_words(words)
+
+    def pieces(first: int, others: int) -> Column:
+        inner = F.when(
+            F.length(word) > 1,
+            F.flatten(
+                F.transform(
+                    F.sequence(F.lit(2), F.length(word)),
+                    lambda start: F.transform(_substrings(word, start, others), lambda p: F.concat(F.lit("##"), p)),
+                )
+            ),
+        ).otherwise(F.array().cast("array<string>"))
+        return F.concat(_substrings(word, F.lit(1), first), inner)
+
     # "##" itself is no continuation, and neither is a single "#"
     bare_length = F.length(F.regexp_replace("piece", r"^##(?=.)", ""))
-    return _top_vocabulary(counts, bare_length == 1, size)
+    # a word may begin with "##" and a character: such a piece has three characters and is single
+    singles = _piece_counts(counted, pieces(min(3, longest), 1))
+    return _top_vocabulary(singles, _piece_counts(counted, pieces(longest, longest)), bare_length == 1, size)
 
 
 def substring_counts(words: DataFrame, longest: int = MAX_PIECE) -> DataFrame:
@@ -92,11 +103,12 @@ def sentencepiece_vocabulary(units: DataFrame, size: int = VOCABULARY_SIZE, long
 
     The cost is the negative log share in whole millionths, so paths add up without rounding.
     """
-    unit = F.col("token")
+    unit, counted = F.col("token"), _distinct_words(units)
     pieces = F.flatten(
         F.transform(F.sequence(F.lit(1), F.length(unit)), lambda start: _substrings(unit, start, longest))
     )
-    vocabulary = _top_vocabulary(_piece_counts(units, pieces), F.length("piece") == 1, size)
+    characters = F.transform(F.sequence(F.lit(1), F.length(unit)), lambda start: F.substring(unit, start, F.lit(1)))
+    vocabulary = _top_vocabulary(_piece_counts(counted, characters), _piece_counts(counted, pieces), F.length("piece") == 1, size)
     total = vocabulary.agg(F.sum("count")).scalar()
     cost = F.round(-F.ln(F.col("count") / total) * COST_SCALE).cast("bigint")
     return vocabulary.withColumn("cost", cost)
@@ -175,38 +187,250 @@ def vocabulary_from_pieces(spark: SparkSession, pieces: list[str], counts: list[
     return spark.createDataFrame(list(zip(pieces, weights, strict=True)), "piece string, count bigint")
 
 
-def _segment_udf(spark: SparkSession, segmenter: Segmenter) -> Callable[[Column], Column]:
-    shared = spark.sparkContext.broadcast(segmenter)
-    memo: dict[str, list[str]] = {}
-
-    @F.arrow_udf("struct<tokens array<string>, input_ids array<int>>")
-    def segment(words: pa.Array) -> pa.Array:
-        cut = shared.value
-        flat = words.flatten().dictionary_encode()
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        distinct = []
-        for word in flat.dictionary.to_pylist():
-            pieces = memo.get(word)
-            if pieces is None:
-                pieces = memo[word] = cut(word)
-            distinct.append(pieces)
-        by_word = pa.array(distinct, pa.list_(pa.string())).take(flat.indices)
-        ends = np.concatenate([[0], np.cumsum(by_word.value_lengths().to_numpy(zero_copy_only=False))])
-        rows = np.concatenate([[0], np.cumsum(words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
-        offsets = pa.array(ends[rows], pa.int32())
-        pieces = by_word.flatten()
-        encoded = pieces.dictionary_encode()
-        id_of = pa.array([cut.ids.get(p, cut.ids[cut.unknown]) for p in encoded.dictionary.to_pylist()], pa.int32())
-        return pa.StructArray.from_arrays(
-            [
-                pa.ListArray.from_arrays(offsets, pieces),
-                pa.ListArray.from_arrays(offsets, id_of.take(encoded.indices)),
-            ],
-            ["tokens", "input_ids"],
-        )
-
-    return segment
+@dataclass
+class _Trie:
+    """Pieces by their characters: an edge is a node and a character in one number. Children are a table by edge if that is small, else they
+    are found among the sorted edges, so any alphabet fits. No child is the root."""
+
+    alphabet: np.ndarray
+    edges: np.ndarray
+    children: np.ndarray
+    piece: np.ndarray  # code of the piece that ends at a node, or -1
+    table: np.ndarray | None
+
+    @classmethod
+    def of(cls, pieces: dict[str, int]) -> _Trie:
+        alphabet = sorted({ord(c) for piece in pieces for c in piece})
+        place = {chr(c): i for i, c in enumerate(alphabet)}
+        edges: dict[int, int] = {}
+        codes = [-1]
+        for piece, code in pieces.items():
+            node = 0
+            for c in piece:
+                edge = node * (len(alphabet) + 1) + place[c]
+                if edge not in edges:
+                    edges[edge] = len(codes)
+                    codes.append(-1)
+                node = edges[edge]
+            codes[node] = code
+        order = sorted(edges)
+        last = [np.iinfo(np.int64).max]  # no lookup runs over the end
+        children, table = np.array([edges[e] for e in order] + [0]), None
+        if len(codes) * (len(alphabet) + 1) <= EDGE_TABLE:
+            table = np.zeros(len(codes) * (len(alphabet) + 1), np.int64)
+            table[order] = children[:-1]
+        return cls(np.array(alphabet + [1 << 32]), np.array(order + last), children, np.array(codes), table)
+
+    def _child(self, edge: np.ndarray) -> np.ndarray:
+        if self.table is not None:
+            return self.table[edge]
+        place = np.searchsorted(self.edges, edge)
+        return np.where(self.edges[place] == edge, self.children[place], 0)
+
+    def matches(self, chars: np.ndarray, room: np.ndarray, longest: int) -> list[np.ndarray]:
+        """For each length from 1 the codes of the pieces that begin at each character, -1 where there is none."""
+        letters = np.searchsorted(self.alphabet, chars)
+        letters[self.alphabet[letters] != chars] = len(self.alphabet) - 1
+        at, node, found = np.arange(len(chars)), np.zeros(len(chars), np.int64), []
+        for length in range(1, longest + 1):
+            inside = room[at] >= length
+            at, node = at[inside], node[inside]
+            edge = node * len(self.alphabet) + letters[at + length - 1]
+            child = self._child(edge)
+            at, node = at[child > 0], child[child > 0]
+            codes = np.full(len(chars), -1, np.int32)
+            codes[at] = self.piece[node]
+            found.append(codes)
+        return found
+
+
+class BatchCutter:
+    """The cuts of a ``Segmenter`` for many words at once, as codes of ``names``; one place of all words is worked on at a time."""
+
+    def __init__(self, segmenter: Segmenter) -> None:
+        self.segmenter = segmenter
+        self.names = list(dict.fromkeys([*segmenter.ids, *(segmenter.costs or {}), segmenter.unknown]))
+        self.codes = {name: i for i, name in enumerate(self.names)}
+        self.unknown = self.codes[segmenter.unknown]
+        fits = {n: c for n, c in self.codes.items() if 0 < len(n) <= segmenter.longest}
+        if segmenter.costs is None:
+            self.first = _Trie.of({n: c for n, c in fits.items() if n in segmenter.ids})
+            self.inner = _Trie.of({n[2:]: c for n, c in self.codes.items() if n in segmenter.ids and n.startswith("##") and n != "##"})
+        else:
+            self.trie = _Trie.of({n: c for n, c in fits.items() if n in segmenter.costs})
+            self.cost = np.array([segmenter.costs.get(n, 0) for n in self.names], np.int64)
+
+    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of all words in one array, and how many each word has."""
+        sizes = np.array([len(w) for w in words], np.int64)
+        short = np.flatnonzero((sizes > 0) & (sizes <= BATCH_WORD))
+        short = short[np.argsort(-sizes[short], kind="stable")]  # words that reach a place are a prefix
+        counts = np.zeros(len(words), np.int64)
+        steps: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        if len(short):
+            text = "".join([words[i] for i in short]).encode("utf-32-le", "surrogatepass")
+            cut = self._greedy if self.segmenter.costs is None else self._cheapest
+            steps, counts[short] = cut(np.frombuffer(text, np.uint32).astype(np.int64), sizes[short])
+        plain = {int(i): [self.codes[p] for p in self.segmenter(words[i])] for i in np.flatnonzero(sizes > BATCH_WORD)}
+        for i, codes in plain.items():
+            counts[i] = len(codes)
+        begin = np.cumsum(counts) - counts
+        out = np.zeros(int(counts.sum()), np.int32)
+        for rows, places, codes in steps:
+            out[begin[short[rows]] + places] = codes
+        for i, codes in plain.items():
+            out[begin[i] : begin[i] + len(codes)] = codes
+        return out, counts
+
+    def _greedy(self, chars: np.ndarray, sizes: np.ndarray):
+        starts = np.cumsum(sizes) - sizes
+        room = np.repeat(starts + sizes, sizes) - np.arange(len(chars))
+        head = np.zeros(len(chars), bool)
+        head[starts] = True
+        code, length = np.full(len(chars), -1, np.int32), np.zeros(len(chars), np.int64)
+        longest = self.segmenter.longest
+        for n, (first, inner) in enumerate(zip(self.first.matches(chars, room, longest), self.inner.matches(chars, room, longest)), 1):
+            here = np.where(head, first, inner)
+            code, length = np.where(here >= 0, here, code), np.where(here >= 0, n, length)
+        steps, counts = [], np.zeros(len(sizes), np.int64)
+        rows, at = np.arange(len(sizes)), starts.copy()
+        failed = np.zeros(len(sizes), bool)
+        while len(rows):
+            known = code[at] >= 0
+            failed[rows[~known]] = True
+            rows, at = rows[known], at[known]
+            steps.append((rows, counts[rows], code[at]))
+            counts[rows] += 1
+            at = at + length[at]
+            left = at < starts[rows] + sizes[rows]
+            rows, at = rows[left], at[left]
+        lost = np.flatnonzero(failed)
+        counts[lost] = 1
+        kept = [(r[~failed[r]], p[~failed[r]], c[~failed[r]]) for r, p, c in steps]
+        return [*kept, (lost, np.zeros(len(lost), np.int64), np.full(len(lost), self.unknown, np.int32))], counts
+
+    def _cheapest(self, chars: np.ndarray, sizes: np.ndarray):
+        starts = np.cumsum(sizes) - sizes
+        room = np.repeat(starts + sizes, sizes) - np.arange(len(chars))
+        longest = max(1, self.segmenter.longest)
+        found = self.trie.matches(chars, room, longest)
+        none = np.iinfo(np.int64).max // 4
+        costs = [np.where(codes >= 0, self.cost[codes], none) for codes in found]
+        costs[0] = np.where(found[0] >= 0, costs[0], UNKNOWN_COST)
+        # a word of n characters has n + 1 places
+        base = starts + np.arange(len(sizes))
+        best, taken = np.zeros(len(chars) + len(sizes), np.int64), np.zeros(len(chars) + len(sizes), np.int64)
+        for end in range(1, int(sizes[0]) + 1):
+            n = int(np.searchsorted(-sizes, -end, side="right"))
+            least, by = np.full(n, none), np.ones(n, np.int64)
+            for length in range(min(longest, end), 0, -1):  # of equal paths the one with the longest last piece
+                path = best[base[:n] + end - length] + costs[length - 1][starts[:n] + end - length]
+                by = np.where(path < least, length, by)
+                least = np.minimum(path, least)
+            best[base[:n] + end], taken[base[:n] + end] = least, by
+        lengths = np.stack(found)
+        steps, counts = [], np.zeros(len(sizes), np.int64)
+        rows, at, before = np.arange(len(sizes)), sizes.copy(), np.full(len(sizes), -1)
+        while len(rows):  # from the end of each word
+            length = taken[base[rows] + at]
+            at = at - length
+            code = lengths[length - 1, starts[rows] + at]
+            known = code >= 0
+            code = np.where(known, code, self.unknown)
+            new = known | (before != self.unknown)
+            steps.append((rows[new], counts[rows[new]], code[new]))
+            counts[rows[new]] += 1
+            left = at > 0
+            rows, at, before = rows[left], at[left], code[left]
+        return [(r, counts[r] - 1 - p, c) for r, p, c in steps], counts
+
+
+@dataclass
+class Encoding:
+    """One encoding of a row: the column of its words, the special tokens around it, the prefix of its columns."""
+
+    words: Column
+    segmenter: Segmenter
+    first: tuple[str, ...] = ()
+    last: tuple[str, ...] = ()
+    prefix: str = ""
+
+
+def _code_rows(words: pa.ListArray, cutter: BatchCutter, first: list[int], last: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of the rows and the codes of their pieces between the special tokens."""
+    flat = words.flatten().dictionary_encode()
+    codes, counts = cutter(flat.dictionary.to_pylist())
+    begin, picked = np.cumsum(counts) - counts, flat.indices.to_numpy(zero_copy_only=False)
+    sizes = counts[picked]
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    pieces = codes[np.repeat(begin[picked] - ends[:-1], sizes) + np.arange(ends[-1])]
+    borders = ends[np.concatenate([[0], np.cumsum(words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])]
+    lengths = np.diff(borders)
+    offsets = np.concatenate([[0], np.cumsum(lengths + len(first) + len(last))])
+    out = np.empty(offsets[-1], np.int32)
+    out[np.repeat(offsets[:-1] + len(first) - borders[:-1], lengths) + np.arange(borders[-1])] = pieces
+    for i, code in enumerate(first):
+        out[offsets[:-1] + i] = code
+    for i, code in enumerate(last):
+        out[offsets[1:] - len(last) + i] = code
+    return offsets, out
+
+
+def _row_runs(batch: pa.RecordBatch, columns: list[str]) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most ``RUN_WORDS`` words, or one row."""
+    sizes = sum(batch.column(c).value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns)
+    ends, at = np.cumsum(sizes), 0
+    while at < batch.num_rows:
+        room = RUN_WORDS + (ends[at - 1] if at else 0)
+        end = max(at + 1, int(np.searchsorted(ends, room, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def encode_all(df: DataFrame, encodings: list[Encoding], ids: bool = True) -> DataFrame:
+    """Add ``tokens`` and, with ``ids``, ``input_ids, attention_mask`` of each encoding: pieces of the words between special tokens.
+
+    A narrow map: words are found in the JVM, and a task cuts each distinct word of a run of rows once, so
+    nothing is shuffled and a word that fills the corpus costs one lookup. What a task holds is bounded by the
+    words of a run, not by its rows.
+    """
+    names = [f"_words{i}" for i in range(len(encodings))]
+    shared = df.sparkSession.sparkContext.broadcast([e.segmenter for e in encodings])
+    specials = [(e.first, e.last) for e in encodings]
+    kept = df.columns
+
+    def map_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutters = [BatchCutter(s) for s in shared.value]
+        pieces = [pa.array(c.names, pa.string()) for c in cutters]
+        numbers = [np.array([c.segmenter.ids.get(n, c.segmenter.ids[c.segmenter.unknown]) for n in c.names], np.int32) for c in cutters]
+        for batch in batches:
+            for run in _row_runs(batch, names):
+                columns = run.columns[: len(kept)]
+                for i, cutter in enumerate(cutters):
+                    first, last = ([cutter.codes[t] for t in tokens] for tokens in specials[i])
+                    offsets, codes = _code_rows(run.column(len(kept) + i), cutter, first, last)
+                    borders = pa.array(offsets, pa.int32())
+                    columns.append(pa.ListArray.from_arrays(borders, pieces[i].take(pa.array(codes))))
+                    if ids:
+                        columns.append(pa.ListArray.from_arrays(borders, pa.array(numbers[i][codes])))
+                yield pa.RecordBatch.from_arrays(columns, names=[f"c{i}" for i in range(len(columns))])
+
+    # columns go through by place, whatever their names
+    fields = [T.StructField(f"c{i}", f.dataType) for i, f in enumerate(df.schema.fields)]
+    added = []
+    for e in encodings:
+        added.append((f"{e.prefix}tokens", T.ArrayType(T.StringType())))
+        if ids:
+            added.append((f"{e.prefix}input_ids", T.ArrayType(T.IntegerType())))
+    schema = T.StructType(fields + [T.StructField(f"c{len(kept) + i}", kind) for i, (_, kind) in enumerate(added)])
+    sent = df.withColumns({name: e.words for name, e in zip(names, encodings)}).toDF(*[f.name for f in fields], *names)
+    new = [name for name, _ in added]
+    coded = sent.mapInArrow(map_runs, schema)
+    back = [F.col(f"c{i}").alias(c) for i, c in enumerate(kept) if c not in new] + [F.col(f"c{len(kept) + i}").alias(c) for i, c in enumerate(new)]
+    coded = coded.select(*back)
+    if not ids:
+        return coded
+    return coded.withColumns({f"{e.prefix}attention_mask": F.array_repeat(F.lit(1), F.size(f"{e.prefix}tokens")) for e in encodings})
 
 
 def encode(
@@ -217,28 +441,8 @@ def encode(
     last: tuple[str, ...] = (),
     prefix: str = "",
 ) -> DataFrame:
-    """Add ``tokens, input_ids, attention_mask``: pieces of the words between special tokens.
-
-    A narrow map: words are found in the JVM, and a task cuts each distinct word of a batch once, so
-    nothing is shuffled and a word that fills the corpus costs one lookup.
-    """
-
-    def ends(tokens: tuple[str, ...]) -> tuple[Column, Column]:
-        names = F.array(*[F.lit(t) for t in tokens]).cast("array<string>")
-        return names, F.array(*[F.lit(segmenter.ids[t]) for t in tokens]).cast("array<int>")
-
-    segment = _segment_udf(df.sparkSession, segmenter)
-    (first_tokens, first_ids), (last_tokens, last_ids) = ends(first), ends(last)
-    coded = df.withColumn("_pieces", segment(words))
-    return coded.withColumns(
-        {
-            f"{prefix}tokens": F.concat(first_tokens, F.col("_pieces.tokens"), last_tokens),
-            f"{prefix}input_ids": F.concat(first_ids, F.col("_pieces.input_ids"), last_ids),
-            f"{prefix}attention_mask": F.array_repeat(
-                F.lit(1), F.size("_pieces.tokens") + len(first) + len(last)
-            ),
-        }
-    ).drop("_pieces")
+    """Add ``tokens, input_ids, attention_mask``: pieces of the words between special tokens."""
+    return encode_all(df, [Encoding(words, segmenter, first, last, prefix)])
 
 
 def wordpiece_segmenter(df: DataFrame, text: str = "text", size: int = VOCABULARY_SIZE) -> Segmenter:
@@ -251,12 +455,20 @@ def sentencepiece_segmenter(df: DataFrame, text: str = "text", size: int = VOCAB
     return collect_segmenter(sentencepiece_vocabulary(units, size), SENTENCEPIECE_SPECIALS, "<unk>")
 
 
+def wordpiece_encoding(text: Column, segmenter: Segmenter, prefix: str = "") -> Encoding:
+    return Encoding(wordpiece_words(text), segmenter, ("[CLS]",), ("[SEP]",), prefix)
+
+
+def sentencepiece_encoding(text: Column, segmenter: Segmenter, prefix: str = "") -> Encoding:
+    return Encoding(sentencepiece_units(text), segmenter, (), ("</s>",), prefix)
+
+
 def encode_wordpiece(df: DataFrame, segmenter: Segmenter, text: str = "text", prefix: str = "") -> DataFrame:
-    return encode(df, wordpiece_words(F.col(text)), segmenter, ("[CLS]",), ("[SEP]",), prefix)
+    return encode_all(df, [wordpiece_encoding(F.col(text), segmenter, prefix)])
 
 
 def encode_sentencepiece(df: DataFrame, segmenter: Segmenter, text: str = "text", prefix: str = "") -> DataFrame:
-    return encode(df, sentencepiece_units(F.col(text)), segmenter, (), ("</s>",), prefix)
+    return encode_all(df, [sentencepiece_encoding(F.col(text), segmenter, prefix)])
 
 
 # Columns of the comparison table.
@@ -285,9 +497,8 @@ def compare_tokenizers(
     Both are computed in the example's own row, so the sides need no join and cannot lose rows.
     """
     rebuilt = examples.withColumn("text", rebuild_text(F.col(tokens)))
-    coded = encode_sentencepiece(
-        encode_wordpiece(rebuilt, wordpiece, prefix="beto_"), sentencepiece, prefix="t5_"
-    )
+    text = F.col("text")
+    coded = encode_all(rebuilt, [wordpiece_encoding(text, wordpiece, "beto_"), sentencepiece_encoding(text, sentencepiece, "t5_")], ids=False)
     return coded.withColumns(
         {
             "beto_model": F.lit(WORDPIECE_MODEL),
