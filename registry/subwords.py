@@ -11,7 +11,7 @@ from tinta.functions.text import PRETOKEN_PATTERN, rebuild_text, split_words
 from tinta.operators import subword as sw
 from tinta.operators.unigram import unigram_vocabulary
 from tinta.operators.splits import split_rows
-from tinta.session import cut_lineage, spread
+from tinta.session import scratch_path, spread
 from tinta.sources.corpus import load, record_tokens
 
 PATTERN = quote(PRETOKEN_PATTERN)
@@ -233,8 +233,10 @@ def run_comparison(spark, folder):
         CAST(len(sp) AS BIGINT) AS t5_token_count FROM compared""",
 )
 def run_join(spark, folder):
-    rows = cut_lineage(comparison(spark, folder))  # encoded once, used three times
     keys = ["dataset", "split", "example_index"]
+    path = scratch_path(spark, "comparison")  # encoded once, used three times; each reads its own columns
+    comparison(spark, folder).select(*keys, "original_tokens", "beto_tokens", "t5_tokens").write.parquet(path)
+    rows = spark.read.parquet(path)
     wordpiece = rows.select(*keys, F.col("beto_tokens").alias("tokens"))
     sentencepiece = rows.select(*keys, F.col("t5_tokens").alias("tokens"))
     found = sw.join_tokenized(rows.select(*keys, "original_tokens"), wordpiece, sentencepiece)

@@ -45,3 +45,17 @@ def test_other_columns_and_empty_rows_go_through(spark):
     assert found[1].tokens == ["[CLS]", "ho", "##la", "[UNK]", "[SEP]"] and found[1].input_ids == [1, 3, 4, 0, 2]
     assert found[1]["a.b"] == {"k": 1.5} and found[1].attention_mask == [1] * 5
     assert found[2].tokens == found[3].tokens == ["[CLS]", "[SEP]"]
+
+
+def test_joins_of_outputs_move_no_list_that_is_not_read(spark):
+    keys = "dataset string, split string, example_index int"
+    examples = spark.createDataFrame([("a", "train", 0, ["x", ","])], f"{keys}, original_tokens array<string>")
+    side = spark.createDataFrame([("a", "train", 0, ["x", "##y"])], f"{keys}, tokens array<string>")
+    found = sw.join_tokenized(examples, side, side)
+    assert found.first().asDict() == {
+        "dataset": "a", "split": "train", "example_index": 0, "original_tokens": ["x", ","], "beto_tokens": ["x", "##y"],
+        "t5_tokens": ["x", "##y"], "text": "x,", "beto_token_count": 2, "t5_token_count": 2,
+    }
+    read = found.select("dataset", "split", "example_index", "text", "beto_token_count", "t5_token_count")
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert "beto_tokens" not in plan and "t5_tokens" not in plan

@@ -517,19 +517,22 @@ def join_tokenized(examples: DataFrame, wordpiece: DataFrame, sentencepiece: Dat
     """
     keys = ["dataset", "split", "example_index"]
     sides = {"beto": wordpiece, "t5": sentencepiece}
-    joined = examples
+    # sizes and text are worked out before the joins, so that lists that nobody reads are not moved
+    original = F.col("original_tokens")
+    joined = examples.withColumns({"text": rebuild_text(original), "_original": original.isNotNull()})
     for name, side in sides.items():
-        joined = joined.join(side.select(*keys, F.col("tokens").alias(f"{name}_tokens")), keys, "full_outer")
-    complete = F.col("original_tokens").isNotNull()
+        size = F.when(F.col("tokens").isNotNull(), F.size("tokens").cast("bigint"))
+        counted = side.select(*keys, F.col("tokens").alias(f"{name}_tokens"), size.alias(f"{name}_token_count"))
+        joined = joined.join(counted, keys, "full_outer")
+    complete = F.coalesce("_original", F.lit(False))
     for name in sides:
-        complete = complete & F.col(f"{name}_tokens").isNotNull()
-    checked = F.when(complete, F.col("original_tokens")).otherwise(
-        F.raise_error(F.lit("examples and tokenizer outputs differ in number")).cast("array<string>")
-    )
-    return joined.withColumn("original_tokens", checked).withColumns(
-        {
-            "text": rebuild_text(F.col("original_tokens")),
-            "beto_token_count": F.size("beto_tokens").cast("bigint"),
-            "t5_token_count": F.size("t5_tokens").cast("bigint"),
-        }
+        complete = complete & F.col(f"{name}_token_count").isNotNull()
+
+    def checked(column: str) -> Column:
+        failed = F.raise_error(F.lit("examples and tokenizer outputs differ in number"))
+        return F.when(complete, F.col(column)).otherwise(failed.cast(joined.schema[column].dataType))
+
+    columns = [c for c in joined.columns if c not in ("text", "_original", "beto_token_count", "t5_token_count")]
+    return joined.withColumns({"original_tokens": checked("original_tokens"), "text": checked("text")}).select(
+        *columns, "text", "beto_token_count", "t5_token_count"
     )
