@@ -1,12 +1,16 @@
-"""Queries over whole word tables: every word of the corpus has a vector in both of them."""
+"""Queries over whole word tables, where every word of the corpus has a vector in both of them, and training pairs."""
 
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import duckdb
 import numpy as np
 import pytest
 
 import __spark_entry__ as entry_points
+from tinta.operators import word_vectors as wv
 
 
 @pytest.fixture(scope="module")
@@ -53,3 +57,16 @@ def test_default_words_are_the_most_frequent_ones(spark, folder):
 def test_words_to_show_leave_no_frequent_word_out(spark, folder):
     frequent = {r["word"] for r in entry_points.queries()["vocabulary_index"](spark, folder).where("idx < 200").collect()}
     assert {r[0] for r in answers(spark, folder, "display_words")} == frequent
+
+
+def test_pairs_are_counted_once_for_both_orders(spark):
+    draw = random.Random(4)
+    sentences = [[draw.choice("abcde") for _ in range(draw.randint(0, 12))] for _ in range(60)]
+    wanted = Counter(
+        (s[i], s[j]) for s in sentences for i in range(len(s)) for j in range(max(0, i - 3), min(len(s), i + 4)) if i != j
+    )
+    pairs = wv.skipgram_pairs(spark.createDataFrame([(s,) for s in sentences], "tokens array<string>"), 3)
+    assert pairs.columns == ["center", "context", "count"]
+    assert {(r[0], r[1]): r[2] for r in pairs.collect()} == dict(wanted)
+    # what is grouped and shuffled is an unordered pair
+    assert "least(" in pairs._jdf.queryExecution().optimizedPlan().toString()
