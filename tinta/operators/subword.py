@@ -9,9 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tinta.functions.rows import explode_rows
 from tinta.functions.text import pretokenize, rebuild_text, split_words
 from tinta.operators.corpus_stats import token_counts
+from tinta.session import cut_lineage
 
 # Special tokens in id order, and the model names of the comparison table.
 WORDPIECE_SPECIALS = ("[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]")
@@ -29,6 +29,11 @@ UNKNOWN_COST = 10 * COST_SCALE
 # Words that a task works on at a time, and the longest word that is cut together with others.
 RUN_WORDS = 200_000
 BATCH_WORD = 64
+# Characters of the words that a task takes apart at a time, about the words of a task, the characters of a stem, and the most stems that are sent along.
+RUN_CHARACTERS = 500_000
+TASK_WORDS = 100_000
+STEM = 3
+MOST_STEMS = 1_000_000
 # Cells of a table of children that a task may hold.
 EDGE_TABLE = 2_000_000
 
@@ -42,27 +47,112 @@ def sentencepiece_units(text: Column) -> Column:
     return F.transform(split_words(text), lambda unit: F.concat(F.lit(MARKER), unit))
 
 
-def _substrings(word: Column, start: Column, longest: int) -> Column:
-    """The pieces of up to ``longest`` characters that begin at a 1-based start."""
-    room = F.least(F.length(word) - start + 1, F.lit(longest))
-    return F.transform(F.sequence(F.lit(1), room), lambda n: F.substring(word, start, n))
+def distinct_words(words: DataFrame) -> DataFrame:
+    """``token, count``, spread over the cores and stored: they are read for the short pieces and again for the longer ones."""
+    spark = words.sparkSession
+    counted = token_counts(words).where(F.length("token") > 0)
+    counted = cut_lineage(counted.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return counted.coalesce(max(spark.sparkContext.defaultParallelism, -(-counted.count() // TASK_WORDS)))
 
 
-def _distinct_words(words: DataFrame) -> DataFrame:
-    """``token, count``, spread over the cores: a word grows some sixty-fold when it is taken apart."""
-    counted = token_counts(words).where(F.length("token") > 0)
-    return counted.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def _run_pieces(words: list[str], counts: list[int], shortest: int, longest: int, heads: bool, kept: tuple[np.ndarray, np.ndarray] | None) -> Iterator[pa.RecordBatch]:
+    """``piece, count`` of the different pieces of some words, a batch per length; with ``heads``, pieces inside a word are marked.
+
+    ``kept`` holds the stems of words' beginnings and of places inside words; a piece with another stem at any place is left out.
+    """
+    text, sizes = "".join(words), np.array([len(w) for w in words], np.int64)
+    chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    starts = np.cumsum(sizes) - sizes
+    room = np.repeat(starts + sizes, sizes) - np.arange(len(chars))
+    uses = np.repeat(np.array(counts, np.int64), sizes)
+    head = np.zeros(len(chars), np.int64)
+    head[starts] = 1 if heads else 0
+    letters, letter = np.unique(chars, return_inverse=True)
+    at = np.flatnonzero(room >= min(shortest, STEM))
+    good = np.ones(len(chars), bool)
+    if shortest > STEM:
+        key = np.zeros(len(chars), np.int64)
+        key[at] = (chars[at] << 42) | (chars[at + 1] << 21) | chars[at + 2]
+        if kept is not None:
+            good[:] = False
+            for kind, stems in enumerate(kept):
+                mine = at[head[at] == 1 - kind] if heads else at
+                good[mine] |= np.isin(key[mine], stems)
+            at = at[good[at]]
+        code = np.unique(key[at], return_inverse=True)[1] * 2 + head[at]
+        begin = STEM + 1
+    else:
+        code, begin = head[at], 1
+    for length in range(begin, longest + 1):
+        inside = (room[at] >= length) & good[np.minimum(at + max(0, length - STEM), len(chars) - 1)]
+        at, code = at[inside], code[inside]
+        _, first, code = np.unique(code * len(letters) + letter[at + length - 1], return_index=True, return_inverse=True)
+        if not len(first):
+            return
+        if length >= shortest:
+            total = np.zeros(len(first), np.int64)
+            np.add.at(total, code, uses[at])
+            inner = heads & (head[at[first]] == 0)
+            pieces = ["##" + text[i : i + length] if marked else text[i : i + length] for i, marked in zip(at[first].tolist(), inner.tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.string()), pa.array(total)], names=["piece", "count"])
+
+
+def _counted_pieces(counted: DataFrame, shortest: int, longest: int, heads: bool, kept: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """``piece, count`` of ``token, count`` for lengths from ``shortest`` (1, or above the stem); equal pieces of a run of words are added up first."""
+    shared = counted.sparkSession.sparkContext.broadcast(kept)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, counts, held = [], [], 0
+        for batch in batches:
+            for word, n in zip(batch.column("token").to_pylist(), batch.column("count").to_pylist()):
+                words.append(word)
+                counts.append(n)
+                held += len(word)
+                if held >= RUN_CHARACTERS:
+                    yield from _run_pieces(words, counts, shortest, longest, heads, shared.value)
+                    words, counts, held = [], [], 0
+        if words:
+            yield from _run_pieces(words, counts, shortest, longest, heads, shared.value)
 
+    found = counted.select("token", "count").mapInArrow(count, "piece string, count bigint")
+    return found.groupBy("piece").agg(F.sum("count").alias("count"))
 
-def _piece_counts(counted: DataFrame, pieces: Column) -> DataFrame:
-    """Counts of pieces, weighted by the word counts; only distinct words are taken apart."""
-    return explode_rows(counted, pieces, "piece", "count").groupBy("piece").agg(F.sum("count").alias("count"))
 
+def _stems(pieces: list[str]) -> np.ndarray:
+    return np.array(sorted((ord(p[0]) << 42) | (ord(p[1]) << 21) | ord(p[2]) for p in pieces), np.int64)
 
-def _top_vocabulary(singles: DataFrame, counts: DataFrame, single: Column, size: int) -> DataFrame:
-    """All single-character pieces, out of ``singles``, and the ``size`` most frequent longer ones."""
+
+def leading_pieces(counted: DataFrame, size: int, longest: int, single: Column, heads: bool = False, by_length: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``piece, count`` of the pieces of up to three characters, and of these and every longer one that can be among the ``size`` first
+    ones that are not ``single``: by count, or ``by_length`` by count times length.
+
+    No piece occurs more often than a part of it. The value that stands at place ``size`` among the short pieces is at most the one that
+    stands there among all, so a longer piece is counted only if all its stems of three characters reach that value.
+    """
+    short = cut_lineage(_counted_pieces(counted, 1, min(STEM, longest), heads))
+    if longest <= STEM:
+        return short, short
+    value = F.col("count") * F.length("piece") if by_length else F.col("count")
+    least, found = short.where(~single).select(value.alias("v")).orderBy(F.desc("v")).limit(size).agg(F.min("v"), F.count("*")).first()
+    kept = None
+    # the beginning of a word may look like a marked piece and adds to it: nothing is known from its stems then
+    mixed = heads and not counted.where(F.startswith("token", F.lit("##"))).isEmpty()
+    if found == size and size > 0 and not mixed:
+        marked = F.startswith("piece", F.lit("##")) if heads else F.lit(False)
+        reach = F.col("count") * longest if by_length else F.col("count")
+        stems = short.where((F.length("piece") - F.when(marked, 2).otherwise(0) == STEM) & (reach >= least)).select("piece", marked.alias("inner"))
+        rows = stems.limit(MOST_STEMS + 1).collect()
+        if len(rows) <= MOST_STEMS:
+            own, inner = [r["piece"] for r in rows if not r["inner"]], [r["piece"][2:] for r in rows if r["inner"]]
+            kept = _stems(own), _stems(inner)
+    pieces = short.unionByName(_counted_pieces(counted, STEM + 1, longest, heads, kept))
+    return short, pieces.groupBy("piece").agg(F.sum("count").alias("count")) if mixed else pieces
+
+
+def _top_vocabulary(short: DataFrame, counts: DataFrame, single: Column, size: int) -> DataFrame:
+    """All single-character pieces, which are among the ``short`` ones, and the ``size`` most frequent longer ones."""
     longer = counts.where(~single).orderBy(F.desc("count"), "piece").limit(size)
-    return singles.where(single).unionByName(longer)
+    return short.where(single).unionByName(longer)
 
 
 def wordpiece_vocabulary(words: DataFrame, size: int = VOCABULARY_SIZE, longest: int = MAX_PIECE) -> DataFrame:
@@ -70,32 +160,9 @@ def wordpiece_vocabulary(words: DataFrame, size: int = VOCABULARY_SIZE, longest:
 
     Pieces have at most ``longest`` characters; every word counts, whatever its length.
     """
-    word, counted = F.col("token"), _distinct_words(words)
-
-    def pieces(first: int, others: int) -> Column:
-        inner = F.when(
-            F.length(word) > 1,
-            F.flatten(
-                F.transform(
-                    F.sequence(F.lit(2), F.length(word)),
-                    lambda start: F.transform(_substrings(word, start, others), lambda p: F.concat(F.lit("##"), p)),
-                )
-            ),
-        ).otherwise(F.array().cast("array<string>"))
-        return F.concat(_substrings(word, F.lit(1), first), inner)
-
-    # "##" itself is no continuation, and neither is a single "#"
-    bare_length = F.length(F.regexp_replace("piece", r"^##(?=.)", ""))
-    # a word may begin with "##" and a character: such a piece has three characters and is single
-    singles = _piece_counts(counted, pieces(min(3, longest), 1))
-    return _top_vocabulary(singles, _piece_counts(counted, pieces(longest, longest)), bare_length == 1, size)
-
-
-def substring_counts(words: DataFrame, longest: int = MAX_PIECE) -> DataFrame:
-    """``piece, count`` of all substrings of up to ``longest`` characters of ``token, count``."""
-    unit = F.col("token")
-    pieces = F.flatten(F.transform(F.sequence(F.lit(1), F.length(unit)), lambda start: _substrings(unit, start, longest)))
-    return explode_rows(words, pieces, "piece", "count").groupBy("piece").agg(F.sum("count").alias("count"))
+    # "##" itself is no continuation, and neither is a single "#"; a word may begin with "##" and a character: such a piece is single
+    single = F.length(F.regexp_replace("piece", r"^##(?=.)", "")) == 1
+    return _top_vocabulary(*leading_pieces(distinct_words(words), size, longest, single, heads=True), single, size)
 
 
 def sentencepiece_vocabulary(units: DataFrame, size: int = VOCABULARY_SIZE, longest: int = MAX_PIECE) -> DataFrame:
@@ -103,12 +170,9 @@ def sentencepiece_vocabulary(units: DataFrame, size: int = VOCABULARY_SIZE, long
 
     The cost is the negative log share in whole millionths, so paths add up without rounding.
     """
-    unit, counted = F.col("token"), _distinct_words(units)
-    pieces = F.flatten(
-        F.transform(F.sequence(F.lit(1), F.length(unit)), lambda start: _substrings(unit, start, longest))
-    )
-    characters = F.transform(F.sequence(F.lit(1), F.length(unit)), lambda start: F.substring(unit, start, F.lit(1)))
-    vocabulary = _top_vocabulary(_piece_counts(counted, characters), _piece_counts(counted, pieces), F.length("piece") == 1, size)
+    single = F.length("piece") == 1
+    # read for the total and for the rows
+    vocabulary = cut_lineage(_top_vocabulary(*leading_pieces(distinct_words(units), size, longest, single), single, size))
     total = vocabulary.agg(F.sum("count")).scalar()
     cost = F.round(-F.ln(F.col("count") / total) * COST_SCALE).cast("bigint")
     return vocabulary.withColumn("cost", cost)
@@ -188,7 +252,7 @@ def vocabulary_from_pieces(spark: SparkSession, pieces: list[str], counts: list[
 
 
 @dataclass
-class _Trie:
+class Trie:
     """Pieces by their characters: an edge is a node and a character in one number. Children are a table by edge if that is small, else they
     are found among the sorted edges, so any alphabet fits. No child is the root."""
 
@@ -199,7 +263,7 @@ class _Trie:
     table: np.ndarray | None
 
     @classmethod
-    def of(cls, pieces: dict[str, int]) -> _Trie:
+    def of(cls, pieces: dict[str, int]) -> Trie:
         alphabet = sorted({ord(c) for piece in pieces for c in piece})
         place = {chr(c): i for i, c in enumerate(alphabet)}
         edges: dict[int, int] = {}
@@ -254,10 +318,10 @@ class BatchCutter:
         self.unknown = self.codes[segmenter.unknown]
         fits = {n: c for n, c in self.codes.items() if 0 < len(n) <= segmenter.longest}
         if segmenter.costs is None:
-            self.first = _Trie.of({n: c for n, c in fits.items() if n in segmenter.ids})
-            self.inner = _Trie.of({n[2:]: c for n, c in self.codes.items() if n in segmenter.ids and n.startswith("##") and n != "##"})
+            self.first = Trie.of({n: c for n, c in fits.items() if n in segmenter.ids})
+            self.inner = Trie.of({n[2:]: c for n, c in self.codes.items() if n in segmenter.ids and n.startswith("##") and n != "##"})
         else:
-            self.trie = _Trie.of({n: c for n, c in fits.items() if n in segmenter.costs})
+            self.trie = Trie.of({n: c for n, c in fits.items() if n in segmenter.costs})
             self.cost = np.array([segmenter.costs.get(n, 0) for n in self.names], np.int64)
 
     def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:

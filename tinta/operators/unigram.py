@@ -12,16 +12,15 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tinta.operators.corpus_stats import token_counts
-from tinta.operators.subword import COST_SCALE, MAX_PIECE, VOCABULARY_SIZE, substring_counts
-from tinta.session import cut_lineage
+from tinta.operators.subword import BATCH_WORD, COST_SCALE, MAX_PIECE, RUN_CHARACTERS, VOCABULARY_SIZE, Trie, distinct_words, leading_pieces
 
 SEEDS = 4  # times the wanted size
 ROUNDS = 2  # between two cuts
@@ -71,20 +70,69 @@ def best_without(piece: str, pieces: dict[str, float], longest: int) -> float:
     return best[-1]
 
 
+def _log_sum(options: list[np.ndarray]) -> np.ndarray:
+    stacked = np.stack(options)
+    most = stacked.max(axis=0)
+    most = np.where(np.isfinite(most), most, 0.0)
+    with np.errstate(divide="ignore"):
+        return most + np.log(np.exp(stacked - most).sum(axis=0))
+
+
+def batch_uses(words: list[str], counts: np.ndarray, trie: Trie, shares: np.ndarray, longest: int) -> tuple[np.ndarray, float]:
+    """Expected uses of the pieces by their codes and the logarithm of the likelihood: ``forward_backward`` for many words, a place of all at once."""
+    sizes = np.array([len(w) for w in words], np.int64)
+    order = np.argsort(-sizes, kind="stable")  # words that reach a place are a prefix
+    sizes, counts = sizes[order], counts[order]
+    chars = np.frombuffer("".join([words[i] for i in order]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    starts = np.cumsum(sizes) - sizes
+    found = trie.matches(chars, np.repeat(starts + sizes, sizes) - np.arange(len(chars)), longest)
+    logs = [np.where(codes >= 0, shares[codes], -np.inf) for codes in found]
+    # a word of n characters has n + 1 places
+    base, word = starts + np.arange(len(sizes)), np.repeat(np.arange(len(sizes)), sizes)
+    ahead, back = np.zeros(len(chars) + len(sizes)), np.zeros(len(chars) + len(sizes))
+    for step in range(1, int(sizes[0]) + 1):
+        n = int(np.searchsorted(-sizes, -step, side="right"))
+        first, place, lengths = starts[:n], base[:n], range(1, min(longest, step) + 1)
+        ahead[place + step] = _log_sum([ahead[place + step - m] + logs[m - 1][first + step - m] for m in lengths])
+        at = sizes[:n] - step
+        back[place + at] = _log_sum([back[place + at + m] + logs[m - 1][first + at] for m in lengths])
+    whole = ahead[base + sizes]
+    uses = np.zeros(len(shares))
+    for m, codes in enumerate(found, 1):
+        arc = np.flatnonzero(codes >= 0)
+        place, of = arc + word[arc], word[arc]
+        chance = np.exp(ahead[place] + logs[m - 1][arc] + back[place + m] - whole[of])
+        uses += np.bincount(codes[arc], weights=counts[of] * chance, minlength=len(shares))
+    return uses, float((counts * whole).sum())
+
+
 def expected_uses(words: DataFrame, pieces: dict[str, float], longest: int) -> tuple[dict[str, float], float]:
     """Expected uses of every piece in ``token, count``, and the logarithm of the likelihood."""
     shared = words.sparkSession.sparkContext.broadcast(pieces)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uses: dict[str | None, float] = defaultdict(float)  # None is the likelihood
+        names, shares = list(shared.value), np.array(list(shared.value.values()))
+        code = {name: i for i, name in enumerate(names)}
+        trie = Trie.of(code)
+        total, likelihood, some = np.zeros(len(names)), 0.0, False
         for batch in batches:
-            for word, n in zip(batch.column("token").to_pylist(), batch.column("count").to_pylist()):
-                whole, found = forward_backward(word, shared.value, longest)
-                uses[None] += n * whole
+            sizes = pc.utf8_length(batch.column("token")).to_numpy(zero_copy_only=False)
+            tokens, counts = batch.column("token"), batch.column("count").to_numpy(zero_copy_only=False).astype(np.float64)
+            runs = np.cumsum(sizes) // RUN_CHARACTERS
+            for run in np.unique(runs):
+                mine = np.flatnonzero((runs == run) & (sizes <= BATCH_WORD))
+                if len(mine):
+                    uses, more = batch_uses(tokens.take(pa.array(mine)).to_pylist(), counts[mine], trie, shares, longest)
+                    total, likelihood, some = total + uses, likelihood + more, True
+            for i in np.flatnonzero(sizes > BATCH_WORD):
+                whole, found = forward_backward(tokens[i].as_py(), shared.value, longest)
+                likelihood, some = likelihood + counts[i] * whole, True
                 for piece, chance in found:
-                    uses[piece] += n * chance
-        if uses:
-            yield pa.RecordBatch.from_arrays([pa.array(list(uses), pa.string()), pa.array(list(uses.values()))], names=["piece", "uses"])
+                    total[code[piece]] += counts[i] * chance
+        if some:
+            used = np.flatnonzero(total)
+            # the row without a piece is the likelihood
+            yield pa.RecordBatch.from_arrays([pa.array([None, *(names[i] for i in used)], pa.string()), pa.array([likelihood, *total[used]])], names=["piece", "uses"])
 
     # at most a row per piece and task, added up per piece
     rows = words.mapInArrow(count, "piece string, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).collect()
@@ -101,13 +149,11 @@ def train_unigram(
     units: DataFrame, size: int = VOCABULARY_SIZE, longest: int = MAX_PIECE, rounds: int = ROUNDS, shrink: float = SHRINK, seeds: int | None = None
 ) -> UnigramTraining:
     """Pieces of a ``tokens`` column of marked units: all single characters and ``size`` longer ones (all there are if fewer)."""
-    counted = token_counts(units).where(F.length("token") > 0)
-    partitions = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    words = cut_lineage(counted.repartition(partitions))
-    counts = cut_lineage(substring_counts(words, longest))
-    single = {r["piece"]: float(r["count"]) for r in counts.where(F.length("piece") == 1).collect()}
+    words, wanted = distinct_words(units), seeds or SEEDS * size
+    short, counts = leading_pieces(words, wanted, longest, F.length("piece") == 1, by_length=True)
+    single = {r["piece"]: float(r["count"]) for r in short.where(F.length("piece") == 1).collect()}
     # frequent and long pieces first
-    longer = counts.where(F.length("piece") > 1).orderBy(F.desc(F.col("count") * F.length("piece")), "piece").limit(seeds or SEEDS * size)
+    longer = counts.where(F.length("piece") > 1).orderBy(F.desc(F.col("count") * F.length("piece")), "piece").limit(wanted)
     uses = single | {r["piece"]: float(r["count"]) for r in longer.collect()}
     if not uses:
         return UnigramTraining({}, {}, [])
