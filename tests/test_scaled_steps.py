@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tinta.operators import encoding as en
 from tinta.operators import subword as sw
 from tinta.operators import unigram as ug
 
@@ -63,3 +64,18 @@ def test_expected_uses_of_many_words_at_once_equal_those_word_by_word(spark):
     table = spark.createDataFrame([(w, int(n)) for w, n in zip(words, counts)], "token string, count bigint")
     found, told = ug.expected_uses(table, pieces, 3)
     assert told == pytest.approx(likelihood) and found == pytest.approx(dict(plain))
+
+
+def test_a_vector_meets_a_block_of_texts_once(spark, monkeypatch):
+    vectors = spark.createDataFrame([("de", [4.0, 0.0]), ("rey", [0.0, 1.0]), ("rey", [0.0, 3.0])], "word string, vector array<float>")
+    rows = [("k", ["de", "rey", None]), ("k", ["de"]), (None, ["de"]), ("z", ["nadie"]), ("y", None)]
+    sentences = spark.createDataFrame(rows, "doc_id string, tokens array<string>")
+    few = en.encode_mean_vectors(sentences, vectors)
+    for numbers in (1, 64_000_000):
+        monkeypatch.setattr(en, "BLOCK_NUMBERS", numbers)
+        many = en.encode_mean_vectors(sentences, vectors, max_shared=0)
+        assert sorted(map(str, many.collect())) == sorted(map(str, few.collect()))
+    assert [list(r) for r in many.where("doc_id = 'k'").collect()] == [["k", 4, [2.0, 1.0]]] * 2
+    # one row per text goes on, not one per text and word
+    table = vectors.select("word", F.col("vector").alias("_vector"), F.lit(1.0).alias("_weight"))
+    assert en._means_by_block(sentences, table, "doc_id", 2).count() == 3
