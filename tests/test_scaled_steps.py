@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tinta.operators import chunking as ch
 from tinta.operators import encoding as en
+from tinta.operators import retrieval as rt
 from tinta.operators import subword as sw
 from tinta.operators import unigram as ug
 
@@ -79,3 +83,31 @@ def test_a_vector_meets_a_block_of_texts_once(spark, monkeypatch):
     # one row per text goes on, not one per text and word
     table = vectors.select("word", F.col("vector").alias("_vector"), F.lit(1.0).alias("_weight"))
     assert en._means_by_block(sentences, table, "doc_id", 2).count() == 3
+
+
+def test_windows_take_a_text_apart_once(spark):
+    plan = spark.range(1).select(ch.fixed_windows(F.col("id").cast("string"), 10, 3).alias("w"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_extract_all") == 1
+
+
+def test_encoders_of_a_task_share_the_terms_of_a_text():
+    """Equal to counting by regular expression, whatever is remembered; equal texts are taken apart once for all vector lengths."""
+    texts = ["Una casa, una_casa İ ΟΔΟΣ ²x", "", "a\x85b c\x1cd ß", "Una casa, una_casa İ ΟΔΟΣ ²x"]
+    hashes = en.TermHashes()
+    for dim in (16, 7):
+        expected = np.zeros((len(texts), dim))
+        for row, text in zip(expected, texts):
+            for term in re.findall(r"[^\W_]+", text.lower()):
+                row[int(hashlib.md5(term.encode()).hexdigest()[:7], 16) % dim] += 1
+        assert (en.hashing_encoder(dim, hashes)(texts) == expected).all()
+        assert len(hashes.texts) == 3 and hashes.held == sum(map(len, set(texts)))
+
+
+def test_best_chunks_are_joined_without_moving_the_texts(spark):
+    chunks = spark.createDataFrame([("a", i, f"t{i}", [float(i), 1.0]) for i in range(9)], "model_name string, global_chunk_index bigint, text string, embedding array<float>")
+    queries = spark.createDataFrame([("a", "q", [1.0, 0.0])], "model_name string, query string, embedding array<float>")
+    found = rt.top_k_by_model(chunks, queries, 2)
+    assert [(r["rank"], r["text"]) for r in found.orderBy("rank").collect()] == [(1, "t8"), (2, "t7")]
+    assert "strategy=broadcast" in found._jdf.queryExecution().optimizedPlan().toString()
+    few, many = (sorted(r[0] for r in rt.ranked_chunks_only(chunks, found, most_broadcast=n).select("text").collect()) for n in (10, 0))
+    assert few == many == ["t7", "t8"]
