@@ -111,3 +111,18 @@ def test_best_chunks_are_joined_without_moving_the_texts(spark):
     assert "strategy=broadcast" in found._jdf.queryExecution().optimizedPlan().toString()
     few, many = (sorted(r[0] for r in rt.ranked_chunks_only(chunks, found, most_broadcast=n).select("text").collect()) for n in (10, 0))
     assert few == many == ["t7", "t8"]
+
+
+def test_batches_of_an_encoding_are_small(spark):
+    """A task's batch is bounded by bytes, so its memory does not grow with the rows that a task has."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, str(64 << 20))
+        segmenter = sw.Segmenter({"[UNK]": 0, "[CLS]": 1, "[SEP]": 2, "a": 3, "##b": 4}, "[UNK]")
+        rows = spark.createDataFrame([("ab a",), ("x",)], "text string")
+        found = sw.encode_wordpiece(rows, segmenter)
+        assert int(spark.conf.get(name)) <= 8 << 20
+        assert sorted(r["tokens"] for r in found.collect()) == [["[CLS]", "[UNK]", "[SEP]"], ["[CLS]", "a", "##b", "a", "[SEP]"]]
+    finally:
+        spark.conf.set(name, before)

@@ -6,12 +6,12 @@ Two different words share a hash with probability 2**-64, about V*V / 2**65 for
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
+
+from tinta.session import small_batches as small_batches
 
 CHUNK = 1 << 18
 BASE = np.uint64(0x9E3779B97F4A7C15 | 5)
@@ -87,14 +87,6 @@ def runs_of_rows(column: pa.Array, most_bytes: int = 1 << 20) -> list[tuple[int,
     return runs
 
 
-def small_batches(spark: SparkSession, most_bytes: int = 8 << 20) -> None:
-    """Arrow batches of the session hold at most so many bytes from now on: a batch of long texts is copied several times on its way through a worker."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    held = re.fullmatch(r"(\d+)b?", spark.conf.get(name))
-    if held is None or not 0 < int(held[1]) <= most_bytes:
-        spark.conf.set(name, str(most_bytes))
-
-
 @dataclass
 class Words:
     """Words of a batch of texts, in order. ``first[i]:first[i + 1]`` are the words of text i."""

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tinta.functions.text import pretokenize, rebuild_text, split_words
 from tinta.operators.corpus_stats import token_counts
-from tinta.session import cut_lineage
+from tinta.session import cut_lineage, small_batches
 
 # Special tokens in id order, and the model names of the comparison table.
 WORDPIECE_SPECIALS = ("[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]")
@@ -458,6 +458,7 @@ def encode_all(df: DataFrame, encodings: list[Encoding], ids: bool = True) -> Da
     nothing is shuffled and a word that fills the corpus costs one lookup. What a task holds is bounded by the
     words of a run, not by its rows.
     """
+    small_batches(df.sparkSession)
     names = [f"_words{i}" for i in range(len(encodings))]
     shared = df.sparkSession.sparkContext.broadcast([e.segmenter for e in encodings])
     specials = [(e.first, e.last) for e in encodings]
