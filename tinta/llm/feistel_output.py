@@ -84,8 +84,11 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     closed = np.zeros(256, bool)
     closed[[32, *range(9, 14), 0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
-    cut = np.flatnonzero((data[:-1] == 32) & ~closed[data[1:]])
-    starts = np.union1d(cut, offsets[:-1][np.diff(offsets) > 0])
+    spaces = np.flatnonzero(data[:-1] == 32)
+    begins = np.zeros(len(data), bool)
+    begins[spaces[~closed[data[spaces + 1]]]] = True
+    begins[offsets[:-1][np.diff(offsets) > 0]] = True
+    starts = np.flatnonzero(begins)
     return starts, np.append(starts[1:], len(data))
 
 
@@ -100,14 +103,14 @@ class PieceMemo:
         self.number: dict[int, int] = {}
         self.begin, self.flat = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
-    def numbers(self, hashes: np.ndarray, pieces_: list[bytes]) -> np.ndarray:
-        """Number of each of some different pieces in the memo."""
+    def numbers(self, hashes: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Number of each of some different pieces, which are spans of ``raw``, in the memo."""
         if len(self.number) > self.most:
             self._reset()
         found = np.fromiter((self.number.get(h, -1) for h in hashes.tolist()), np.int64, len(hashes))
         new = np.flatnonzero(found < 0)
         if len(new):
-            ids = [self.encoding.encode_ordinary(pieces_[i].decode("utf-8", "replace")) for i in new]
+            ids = [self.encoding.encode_ordinary(raw[b:e].decode("utf-8", "replace")) for b, e in zip(starts[new].tolist(), ends[new].tolist())]
             found[new] = np.arange(len(new)) + len(self.number)
             self.number.update(zip(hashes[new].tolist(), found[new].tolist()))
             sizes = np.array([len(k) for k in ids], np.int64)
@@ -119,11 +122,13 @@ class PieceMemo:
 def encode_texts(data: np.ndarray, offsets: np.ndarray, memo: PieceMemo, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of all texts, each with the end token behind, and where each text begins. Every different piece is encoded once."""
     starts, ends = pieces(data, offsets)
-    hashes, first, which = np.unique(span_hashes(data, starts, ends, EXACT_VALUES), return_index=True, return_inverse=True)
-    raw = data.tobytes()
-    number = memo.numbers(hashes, [raw[b:e] for b, e in zip(starts[first].tolist(), ends[first].tolist())])[which]
+    # a hash table instead of a sort; any occurrence of a piece tells its bytes
+    which, hashes = pd.factorize(span_hashes(data, starts, ends, EXACT_VALUES))
+    one = np.zeros(len(hashes), np.int64)
+    one[which] = np.arange(len(which))
+    number = memo.numbers(hashes, data.tobytes(), starts[one], ends[one])[which]
     at, sizes = memo.begin[number], memo.begin[number + 1] - memo.begin[number]
-    text = np.searchsorted(offsets, starts, "right") - 1
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(starts, offsets)))
     n = np.bincount(text, weights=sizes, minlength=len(offsets) - 1).astype(np.int64) + 1
     begin = np.concatenate(([0], np.cumsum(n)))
     tokens = np.full(begin[-1], end, np.uint32)
