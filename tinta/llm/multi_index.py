@@ -7,8 +7,9 @@ together) until the sum passes the stop, and vectors in visited cells are verifi
 squared distance of the threshold, and no link is lost; below 1 it is the quantile of the sums at the true pairs of the sample.
 
 Codebooks are fitted on a bounded sample (``IndexSettings.sample``); every vector is indexed and every vector asks. Equal vectors of a label form a class and are
-indexed once with their count. Cells are cut into tiles of bounded size on the side of the members and of the visitors. A pair is compared from
-the cell with the smaller number only. Links are counted per task, and a spanning forest goes out, not the pairs.
+indexed once with their count. A pair is compared from the cell with the smaller number only. Cells that follow each other form blocks of a label; a
+vector is sent to a block once, however many of its cells it visits, and which of them is worked out there again. Blocks are cut into tiles of bounded size on
+the side of the members and of the visitors. Links are counted per task, and a spanning forest goes out, not the pairs.
 
 Defined results: NULL, empty and zero vectors, vectors with NULL or non-finite components and rows with a NULL label link with nothing; vectors of
 different lengths do not link; repeated rows get a row each; an empty table gives no rows. Columns other than ``vec_id, embedding, label`` are ignored.
@@ -29,11 +30,17 @@ from tinta.llm.group_rows import forest, groups
 from tinta.session import cut_lineage, scratch_path
 
 GROUP = ("cell", "a", "b")
+# Ranges of cells that a codebook's grid is cut into: a label has as many blocks at most.
+RANGES = 64
+# Cells that are walked at once, visitors and members that are compared at once.
+WALKED = 2_000_000
+VISITORS = 512
+MEMBERS = 1024
 
 
 @dataclass(frozen=True)
 class IndexSettings:
-    """``cell``: classes of a cell, about, in the largest label; ``most_centres`` bounds a codebook."""
+    """``cell``: classes of a cell, about, in the largest label; ``most_centres`` bounds a codebook. ``block``: classes of a block, about; ``tile``: the most of them in a task, about."""
 
     threshold: float = 0.93
     target_recall: float = 1.0
@@ -41,7 +48,8 @@ class IndexSettings:
     cell: int = 64
     most_centres: int = 256
     rounds: int = 10
-    tile: int = 1024
+    block: int = 32_768
+    tile: int = 65_536
     seed: int = 5
 
     @property
@@ -146,8 +154,10 @@ def linkable() -> Column:
 
 def class_table(rows: DataFrame) -> DataFrame:
     """Stored ``cno, h1, h2, label, dims, vector, size, vec_id``: equal vectors of a label as one."""
+    stored = rows.schema["embedding"].dataType.simpleString()
+    vector = F.col("embedding").cast(stored if stored in ("array<float>", "array<double>") else "array<double>")
     grouped = rows.where("linkable").groupBy("h1", "h2").agg(
-        F.first("label").alias("label"), F.first("embedding").cast("array<double>").alias("vector"), F.count("*").alias("size"), F.min("vec_id").alias("vec_id")
+        F.first("label").alias("label"), F.first(vector).alias("vector"), F.count("*").alias("size"), F.min("vec_id").alias("vec_id")
     )
     path = scratch_path(rows.sparkSession, "vectors")
     grouped.select("*", F.size("vector").alias("dims"), F.monotonically_increasing_id().alias("cno")).write.parquet(path)
@@ -168,65 +178,112 @@ def fit_codebooks(classes: DataFrame, s: IndexSettings) -> dict[int, Codebooks]:
 
 
 def matrix(column: pa.ListArray) -> np.ndarray:
-    return column.flatten().to_numpy().reshape(len(column), -1)
-
-
-def coded(classes: DataFrame, books: dict[int, Codebooks]) -> DataFrame:
-    """``cno, label, dims, code, visits``: own cell, and the visited cells with larger numbers. Unknown lengths have one cell."""
-    shared = classes.sparkSession.sparkContext.broadcast(books)  # bounded by the number of centres
+    """Rows in double precision."""
+    return column.flatten().to_numpy().astype(np.float64).reshape(len(column), -1)
+
+
+def _later_ranges(book: Codebooks, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Own cells and their ranges; ``query, range`` of all later ranges that hold a visited cell."""
+    width = len(book.halves[1])
+    cells_of, found = len(book.halves[0]) * width, []
+    step = max(1, WALKED // cells_of)
+    own = np.zeros(len(units), np.int64)
+    for begin in range(0, len(units), step):
+        (first, low), (second, low2) = book.bounds(units[begin : begin + step])
+        own[begin : begin + step] = first * width + second
+        query, i, j = visited(low, low2, book.stop)
+        found.append(np.unique((begin + query) * RANGES + (i * width + j) * RANGES // cells_of))
+    query, range_ = np.divmod(np.concatenate(found) if found else np.zeros(0, np.int64), RANGES)
+    part = own * RANGES // cells_of
+    later = range_ > part[query]
+    return own, part, query[later], range_[later]
+
+
+def coded(classes: DataFrame, shared) -> DataFrame:
+    """``cno, label, dims, code, part, visits``: own cell and its range, and the later ranges that hold visited cells. Unknown lengths have one cell.
+
+    ``shared`` holds the codebooks, which are bounded by the number of centres.
+    """
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for d in pc.unique(batch.column("dims")).to_pylist():
                 part = batch.filter(pc.equal(batch.column("dims"), d))
                 n, book = part.num_rows, shared.value.get(d)
-                own, visits, each = np.zeros(n, np.int64), np.zeros(0, np.int64), np.zeros(n, np.int64)
+                own, ranges, visits, each = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(0, np.int64), np.zeros(n, np.int64)
                 if book is not None:
-                    width = len(book.halves[1])
-                    (first, low), (second, low2) = book.bounds(unit_rows(matrix(part.column("vector"))))
-                    own = first * width + second
-                    query, i, j = visited(low, low2, book.stop)
-                    cells = i * width + j
-                    later = cells > own[query]
-                    query, cells = query[later], cells[later]
-                    order = np.argsort(query, kind="stable")
-                    visits, each = cells[order], np.bincount(query, minlength=n)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(each))).astype(np.int32)), pa.array(visits.astype(np.int64)))
+                    own, ranges, query, visits = _later_ranges(book, unit_rows(matrix(part.column("vector"))))
+                    each = np.bincount(query, minlength=n)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(each))).astype(np.int32)), pa.array(visits.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("cno"), part.column("label"), part.column("dims"), pa.array(own), lists], names=["cno", "label", "dims", "code", "visits"]
+                    [part.column("cno"), part.column("label"), part.column("dims"), pa.array(own), pa.array(ranges.astype(np.int32)), lists],
+                    names=["cno", "label", "dims", "code", "part", "visits"],
                 )
 
     kind = classes.schema["label"].dataType.simpleString()
-    rows = classes.select("cno", "label", "dims", "vector").mapInArrow(code, f"cno bigint, label {kind}, dims int, code bigint, visits array<bigint>")
+    rows = classes.select("cno", "label", "dims", "vector").mapInArrow(code, f"cno bigint, label {kind}, dims int, code bigint, part int, visits array<int>")
     path = scratch_path(classes.sparkSession, "codes")
     rows.write.parquet(path)
     return classes.sparkSession.read.parquet(path)
 
 
 def placed(codes: DataFrame, s: IndexSettings) -> DataFrame:
-    """``cell, a, b, t, cno``: every class in the groups where it is compared.
+    """``cell, a, b, t, cno, code``: every class in the groups where it is compared; ``cell`` names a block of a label.
 
-    ``b >= 0``: pairs of the tiles ``a`` and ``b`` of a cell's members; ``b < 0``: member tile ``a`` with visitor tile ``-b - 1``. ``t`` is the own tile of a
+    ``b >= 0``: pairs of the tiles ``a`` and ``b`` of a block's members; ``b < 0``: member tile ``a`` with visitor tile ``-b - 1``. ``t`` is the own tile of a
     member in the first kind, and 0 for members and 1 for visitors in the second.
     """
-    cell = ["label", "dims", "code"]
-    members = codes.select("cno", *cell)
-    visitors = codes.select("cno", "label", "dims", F.explode("visits").alias("code"))
+    block = ["label", "dims", "block"]
+    blocks = codes.groupBy("label", "dims").agg(F.least(F.ceil(F.count("*") / s.block), F.lit(RANGES)).cast("int").alias("blocks"))
+    of = lambda range_: F.floor(range_ * F.col("blocks") / RANGES).cast("int")
+    codes = codes.join(blocks, ["label", "dims"]).withColumn("block", of(F.col("part")))
+    members = codes.select("cno", "code", *block)
+    others = F.filter(F.array_distinct(F.transform("visits", of)), lambda other: other > F.col("block"))
+    visitors = codes.select("cno", "code", "label", "dims", F.explode(others).alias("block"))
     tiles = lambda n: F.ceil(n / s.tile).cast("int")
-    sizes = members.groupBy(*cell).agg(tiles(F.count("*")).alias("km"))
-    sizes = sizes.join(visitors.groupBy(*cell).agg(tiles(F.count("*")).alias("kv")), cell, "left").fillna(0, ["kv"])
+    sizes = members.groupBy(*block).agg(tiles(F.count("*")).alias("km"))
+    sizes = sizes.join(visitors.groupBy(*block).agg(tiles(F.count("*")).alias("kv")), block, "left").fillna(0, ["kv"])
     sizes = cut_lineage(sizes.withColumn("cell", F.monotonically_increasing_id()))
     tile = lambda seed, count: F.pmod(F.xxhash64(F.lit(seed), "cno"), count).cast("int")
     upto = lambda count: F.explode(F.sequence(F.lit(0), count - 1))
-    held = members.join(sizes, cell).withColumn("t", tile(1, F.col("km")))
-    among = held.withColumn("o", upto(F.col("km"))).select("cell", F.least("t", "o").alias("a"), F.greatest("t", "o").alias("b"), "t", "cno")
-    facing = held.where("kv > 0").withColumn("v", upto(F.col("kv"))).select("cell", F.col("t").alias("a"), (-F.col("v") - 1).alias("b"), F.lit(0).alias("t"), "cno")
-    asking = visitors.join(sizes, cell).withColumn("v", tile(2, F.col("kv"))).withColumn("a", upto(F.col("km")))
-    asking = asking.select("cell", "a", (-F.col("v") - 1).alias("b"), F.lit(1).alias("t"), "cno")
+    held = members.join(sizes, block).withColumn("t", tile(1, F.col("km")))
+    among = held.withColumn("o", upto(F.col("km"))).select("cell", F.least("t", "o").alias("a"), F.greatest("t", "o").alias("b"), "t", "cno", "code")
+    facing = held.where("kv > 0").withColumn("v", upto(F.col("kv")))
+    facing = facing.select("cell", F.col("t").alias("a"), (-F.col("v") - 1).alias("b"), F.lit(0).alias("t"), "cno", "code")
+    asking = visitors.join(sizes, block).withColumn("v", tile(2, F.col("kv"))).withColumn("a", upto(F.col("km")))
+    asking = asking.select("cell", "a", (-F.col("v") - 1).alias("b"), F.lit(1).alias("t"), "cno", "code")
     return among.unionByName(facing).unionByName(asking)
 
 
-def verified(places: DataFrame, classes: DataFrame, s: IndexSettings) -> DataFrame:
+def linked(x: np.ndarray, code: np.ndarray, book: Codebooks | None, asking: np.ndarray, members: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``x`` that are linked: one that asks, and one that is a member of a later cell it visits; with ``same``, or of its own cell.
+
+    Members stand in the order of their cells, and a run of them is compared with the vectors that visit one of its cells.
+    """
+    norms, found = np.linalg.norm(x, axis=1), []
+    members = members[np.argsort(code[members], kind="stable")]
+    for begin in range(0, len(asking), VISITORS):
+        ask = asking[begin : begin + VISITORS]
+        if book is not None:
+            width = len(book.halves[1])
+            (_, low), (_, low2) = book.bounds(x[ask] / norms[ask][:, None])
+        for at in range(0, len(members), MEMBERS):
+            run = members[at : at + MEMBERS]
+            cells = np.unique(code[run])
+            met = cells[None] >= code[ask][:, None] + (not same)
+            if book is not None:
+                met &= low[:, cells // width] + low2[:, cells % width] <= book.stop + 1e-9
+            rows = np.flatnonzero(met.any(axis=1))
+            if not len(rows):
+                continue
+            close = (x[ask[rows]] @ x[run].T) / (norms[ask[rows]][:, None] * norms[run][None]) >= threshold
+            i, j = np.nonzero(close)
+            kept = met[rows[i], np.searchsorted(cells, code[run[j]])]
+            found.append((ask[rows[i[kept]]], run[j[kept]]))
+    return tuple(np.concatenate(part) for part in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+
+
+def verified(places: DataFrame, classes: DataFrame, s: IndexSettings, shared) -> DataFrame:
     """``cno, links, other``: counts of linked vectors per class, and edges of spanning forests (``other`` not NULL)."""
     rows = places.join(classes.select("cno", "size", "vector"), "cno").repartition(*GROUP).sortWithinPartitions(*GROUP)
 
@@ -234,18 +291,19 @@ def verified(places: DataFrame, classes: DataFrame, s: IndexSettings) -> DataFra
         for group in groups(batches, GROUP):
             a, b = group.column("a")[0].as_py(), group.column("b")[0].as_py()
             t = group.column("t").to_numpy()
-            left, right = (np.flatnonzero(t == 0), np.flatnonzero(t == 1)) if b < 0 else (np.flatnonzero(t == a), np.flatnonzero(t == b))
+            left, right = (np.flatnonzero(t == 1), np.flatnonzero(t == 0)) if b < 0 else (np.flatnonzero(t == a), np.flatnonzero(t == b))
             if not len(left) or not len(right):
                 continue
-            x = matrix(group.column("vector"))
-            norms = np.linalg.norm(x, axis=1)
-            close = (x[left] @ x[right].T) / (norms[left][:, None] * norms[right][None]) >= s.threshold
+            x, code = matrix(group.column("vector")), group.column("code").to_numpy()
+            book = shared.value.get(x.shape[1])
+            i, j = linked(x, code, book, left, right, s.threshold, b >= 0)
             if a == b:
-                close = np.triu(close, 1)
-            i, j = np.nonzero(close)
+                once = (code[i] != code[j]) | (i < j)
+                i, j = i[once], j[once]
+            elif b >= 0:
+                i, j = (np.concatenate(both) for both in zip((i, j), linked(x, code, book, right, left, s.threshold, False)))
             if not len(i):
                 continue
-            i, j = left[i], right[j]
             cno, size, m = group.column("cno").to_numpy(), group.column("size").to_numpy(), len(t)
             links = (np.bincount(i, size[j], m) + np.bincount(j, size[i], m)).astype(np.int64)
             at = np.flatnonzero(links)
@@ -266,7 +324,8 @@ def near_vectors(embeddings: DataFrame, s: IndexSettings = IndexSettings()) -> D
     """``vec_id, n_links, component_id, kept`` for every row of ``vec_id, embedding, label``."""
     rows = embeddings.select("vec_id", "embedding", "label", linkable().alias("linkable"), *keys())
     classes = class_table(rows)
-    result = verified(placed(coded(classes, fit_codebooks(classes, s)), s), classes, s)
+    shared = embeddings.sparkSession.sparkContext.broadcast(fit_codebooks(classes, s))
+    result = verified(placed(coded(classes, shared), s), classes, s, shared)
     links = result.groupBy("cno").agg(F.sum("links").alias("links"))
     labels = components(result.where("other IS NOT NULL").select(F.col("cno").alias("a"), F.col("other").alias("b")))
     labels = labels.select(F.col("node").alias("cno"), F.col("label").alias("component"))
