@@ -14,6 +14,7 @@ from tinta.functions.tokens import (
     tokenizer_kind,
     without_specials,
 )
+from tinta.session import stored
 
 # Names of the analysis table for those of the comparison table.
 RENAMES = {
@@ -197,11 +198,13 @@ def informative_sentences(df: DataFrame) -> DataFrame:
 
 
 def by_continuations(df: DataFrame) -> DataFrame:
-    """Sentences in falling order of their WordPiece continuations."""
+    """Sentences in falling order of their WordPiece continuations.
+
+    A sort reads its rows for the cuts of its ranges and again to move them, so they are stored: nothing is encoded twice.
+    """
     rows = enriched(df)
-    return rows.select(
-        "dataset", "split", "indice_sentencia", "subtokens_con_prefijo_wordpiece", "n_continuaciones_wordpiece"
-    ).orderBy(F.desc("n_continuaciones_wordpiece"), "dataset", "split", "indice_sentencia")
+    rows = rows.select("dataset", "split", "indice_sentencia", "subtokens_con_prefijo_wordpiece", "n_continuaciones_wordpiece")
+    return stored(rows, "continuations").orderBy(F.desc("n_continuaciones_wordpiece"), "dataset", "split", "indice_sentencia")
 
 
 def union_comparisons(first: DataFrame, *others: DataFrame) -> DataFrame:
