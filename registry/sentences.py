@@ -9,7 +9,7 @@ from registry.sqltext import joined, words
 from tinta.functions.rows import posexplode_rows
 from tinta.functions.text import cell_tokens, column_key_expr, parse_token_list, split_words
 from tinta.operators.splits import first_per_split, split_counts, split_rows
-from tinta.session import scratch_path
+from tinta.session import scratch_path, spread
 from tinta.sources.conll import parse_conll, read_conll
 from tinta.sources.corpus import load
 from tinta.sources.files import split_files
@@ -80,7 +80,8 @@ def run_conll(spark, folder):
 def run_conll_read(spark, folder):
     """The same sentences out of CoNLL files, which are written first; documents end with a blank line."""
     path = scratch_path(spark, "conll")
-    conll_texts(spark, folder).select(F.concat("value", F.lit("\n")).alias("value")).write.text(path)
+    texts = spread(conll_texts(spark, folder).select(F.concat("value", F.lit("\n")).alias("value")))
+    texts.write.text(path, compression="gzip")
     return read_conll(spark, path).select("text", F.size("tokens").cast("bigint").alias("n_tokens"))
 
 
